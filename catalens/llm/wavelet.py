@@ -77,7 +77,7 @@ class WaveletMatrix:
         padded = np.concatenate([plane, np.zeros(BLOCK // 8 + 1, np.uint8)])
         rows = padded[(block * (BLOCK // 8))[..., None] + np.arange(BLOCK // 8)]
         ones = np.unpackbits(rows, axis=-1)
-        return out + (ones * (np.arange(BLOCK) < (at % BLOCK)[..., None])).sum(-1)
+        return out + (ones * (np.arange(BLOCK) < (at % BLOCK)[..., None])).sum(-1, dtype=np.int64)
 
     def _bit(self, level: int, at: np.ndarray) -> np.ndarray:
         return (self.planes[level][at >> 3].astype(np.int64) >> (7 - (at & 7))) & 1
