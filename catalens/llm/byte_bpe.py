@@ -17,10 +17,9 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from catalens.llm.chunks import ChunkEncoder
-from catalens.llm.common import Memo, append, texts_of, with_columns
+from catalens.llm.common import Memo, append, piped, texts_of, with_columns
 
 #: The pattern that splits a text before the merges (a fixed value of the rank files).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -29,12 +28,13 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 class Ranks:
     """A vocabulary of byte strings with merge ranks, and which pairs of its tokens are compatible."""
 
-    def __init__(self, ranks: dict[bytes, int], limit: int = 300_000):
+    def __init__(self, ranks: dict[bytes, int], limit: int = 240_000):
         self.ranks = ranks
         self.bytes_of = {v: k for k, v in ranks.items()}
         self.longest = max(map(len, ranks))
         self.split = Memo(self._split, 1 << 20)
         self.compatible = Memo(lambda pair: self._compatible(*pair), limit)
+        self.last = Memo(self._last, limit)
 
     @classmethod
     def load(cls, path: str) -> Ranks:
@@ -64,6 +64,26 @@ class Ranks:
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
         return tuple(self.ranks[p] for p in parts)
 
+    def _last(self, prefix: bytes) -> int:
+        """The last token of a byte prefix; prefixes are shared by all strings that begin with them."""
+        ranks, compatible = self.ranks, self.compatible
+        for start in range(max(0, len(prefix) - self.longest), len(prefix)):
+            token = ranks.get(prefix[start:])
+            if token is not None and (not start or compatible[self.last[prefix[:start]], token]) and self.split[token]:
+                return token
+        raise ValueError("the vocabulary lacks a byte of the text")
+
+    def ids(self, data: bytes) -> list[int]:
+        """The ids of a byte string, last to first by the prefixes' last tokens; no prefix that isn't asked for is worked out."""
+        if len(data) > 200:  # too deep to work out from its end
+            return PrefixTable(self, data).ids()
+        out, bytes_of, last = [], self.bytes_of, self.last
+        while data:
+            token = last[data]
+            out.append(token)
+            data = data[: -len(bytes_of[token])]
+        return out[::-1]
+
     def _compatible(self, left: int, right: int) -> bool:
         """Whether BPE of both tokens' bytes gives just these two: no merge across the border comes before those inside."""
         bound = 1 << 60
@@ -138,7 +158,7 @@ class PrefixTable:
 def piece_ids(ranks: Ranks, piece: bytes) -> list[int]:
     """Ids of one match of the pattern; a piece that is itself a token is that token, as the rank files' library has it."""
     token = ranks.ranks.get(piece)
-    return [token] if token is not None else PrefixTable(ranks, piece).ids()
+    return [token] if token is not None else ranks.ids(piece)
 
 
 _ENCODERS: dict[str, tuple[Ranks, ChunkEncoder]] = {}
@@ -153,68 +173,66 @@ def encoder(path: str) -> tuple[Ranks, ChunkEncoder]:
     return _ENCODERS[path]
 
 
-def encode(df: DataFrame, path: str, text: str = "text", to: str = "ids") -> DataFrame:
-    """``df`` with column ``to``: the token ids (array<int>) of each whole text by the rank file at ``path``.
-
-    A null or empty text has no ids. All other columns stay, with any names; an old column ``to`` is replaced. Rows are
-    taken one by one, so repeated rows give repeated results, and an empty table an empty one.
-    """
-
+def encoded(path: str, text: str, to: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, encode_text = encoder(path)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
                 found = [encode_text(t) for t in texts_of(part, text)]
                 offsets = np.zeros(len(found) + 1, np.int32)
                 np.cumsum([len(x) // 4 for x in found], out=offsets[1:])
                 values = np.frombuffer(b"".join(found), "<i4")
                 yield append(part, **{to: pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))})
 
-    return df.mapInArrow(run, with_columns(df.schema, f"`{to}` array<int>"))
+    return run
 
 
-def decode(df: DataFrame, path: str, ids: str = "ids", to: str = "decoded") -> DataFrame:
-    """``df`` with column ``to``: the bytes (binary) that the token ids stand for; null ids give no bytes."""
+def _flat(column: pa.ListArray) -> tuple[list[int], list[tuple[int, int]]]:
+    """All ids, and where each row's begin and end."""
+    ends = np.cumsum(np.nan_to_num(column.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)).tolist()
+    return column.flatten().to_pylist(), list(zip([0, *ends[:-1]], ends))
 
+
+def decoded(path: str, ids: str, to: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks, _ = encoder(path)
-        names = np.empty(max(ranks.bytes_of) + 1, object)
-        for k, v in ranks.bytes_of.items():
-            names[k] = v
         for batch in batches:
-            column = batch.column(batch.schema.get_field_index(ids))
-            flat = names[column.flatten().to_numpy(zero_copy_only=False)].tolist()
-            ends = np.cumsum(np.nan_to_num(column.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64))
-            out = [b"".join(flat[a:b]) for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
-            yield append(batch, **{to: pa.array(out, pa.binary())})
+            flat, spans = _flat(batch.column(batch.schema.get_field_index(ids)))
+            parts = list(map(ranks.bytes_of.__getitem__, flat))
+            yield append(batch, **{to: pa.array([b"".join(parts[a:b]) for a, b in spans], pa.binary())})
 
-    return df.mapInArrow(run, with_columns(df.schema, f"`{to}` binary"))
+    return run
 
 
-def digest(df: DataFrame, ids: str = "ids") -> DataFrame:
-    """``df`` with n_tokens and ids_sha256, the hash of the ids' decimal digits joined by commas, instead of the ids."""
+def encode(df: DataFrame, path: str, text: str = "text", to: str = "ids") -> DataFrame:
+    """``df`` with column ``to``: the token ids (array<int>) of each whole text by the rank file at ``path``.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names: list[str] = []
-        for batch in batches:
-            at = batch.schema.get_field_index(ids)
-            column = batch.column(at)
-            flat = column.flatten().to_numpy(zero_copy_only=False)
-            if len(flat) and flat.max() >= len(names):
-                names = list(map(str, range(int(flat.max()) + 1)))
-            words = [names[i] for i in flat.tolist()]
-            counts = np.nan_to_num(column.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
-            ends = np.cumsum(counts)
-            out = [hashlib.sha256(",".join(words[a:b]).encode()).hexdigest() for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
-            kept = pa.RecordBatch.from_arrays([c for i, c in enumerate(batch.columns) if i != at], names=[n for i, n in enumerate(batch.schema.names) if i != at])
-            yield append(kept, n_tokens=pa.array(counts), ids_sha256=pa.array(out, pa.string()))
+    A null or empty text has no ids. All other columns stay, with any names; an old column ``to`` is replaced. Rows are
+    taken one by one, so repeated rows give repeated results, and an empty table an empty one.
+    """
+    return piped(df, with_columns(df.schema, f"`{to}` array<int>"), encoded(path, text, to))
 
-    return df.mapInArrow(run, with_columns(df.drop(ids).schema, "n_tokens long, ids_sha256 string"))
+
+def decode(df: DataFrame, path: str, ids: str = "ids", to: str = "decoded") -> DataFrame:
+    """``df`` with column ``to``: the bytes (binary) that the token ids stand for; null ids give no bytes."""
+    return piped(df, with_columns(df.schema, f"`{to}` binary"), decoded(path, ids, to))
+
+
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names: dict[int, str] = Memo(str, 1 << 20)
+    for batch in batches:
+        column = lambda name: batch.column(batch.schema.get_field_index(name))  # noqa: B023,E731
+        flat, spans = _flat(column("ids"))
+        words = list(map(names.__getitem__, flat))
+        hashes = [hashlib.sha256(",".join(words[a:b]).encode()).hexdigest() for a, b in spans]
+        back = [hashlib.sha256(x).hexdigest() for x in column("decoded").to_pylist()]
+        yield pa.RecordBatch.from_arrays([column("doc_id"), pa.array([b - a for a, b in spans], pa.int64()), pa.array(hashes, pa.string()), pa.array(back, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
 
 def op6_byte_bpe(documents: DataFrame, path: str) -> DataFrame:
-    """Per document: n_tokens, ids_sha256 and decoded_sha256, the hash of the bytes decoded from the ids."""
-    coded = encode(documents.select("doc_id", "text"), path).select("doc_id", "ids")
-    back = decode(coded, path).select("doc_id", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
-    return digest(back).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    """Per document: n_tokens, ids_sha256 (of the ids' decimal digits joined by commas) and decoded_sha256 (of the bytes decoded from the ids).
+
+    Encoding, decoding and hashing run in one worker, so that ids don't go back and forth between it and the JVM.
+    """
+    return piped(documents.select("doc_id", "text"), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", encoded(path, "text", "ids"), decoded(path, "ids", "decoded"), _digests)

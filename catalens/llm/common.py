@@ -70,20 +70,37 @@ def texts_of(batch: pa.RecordBatch, name: str) -> list[str | None]:
 
 
 class Memo(dict):
-    """A dictionary that makes missing values, and starts afresh once it holds ``limit`` of them."""
+    """A dictionary that makes missing values and holds ``limit`` of them at most.
+
+    Once half of them are new, the older half goes, but for those asked for since: what is frequent stays.
+    """
 
     def __init__(self, make: Callable, limit: int):
         super().__init__()
-        self.make, self.limit = make, limit
+        self.make, self.half, self.old = make, max(1, limit // 2), {}
 
     def __missing__(self, key):
-        value = self.make(key)
-        if len(self) >= self.limit:
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.half:
+            self.old = dict(self)
             self.clear()
         self[key] = value
         return value
 
 
+def piped(df: DataFrame, schema: T.StructType | str, *steps: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> DataFrame:
+    """Several batch functions in one Python worker, each fed with the one before it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for step in steps:
+            batches = step(batches)
+        return batches
+
+    return df.mapInArrow(run, schema)
+
+
 def whole_runs(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Tables of whole runs of equal ``keys`` from batches in which equal keys are neighbours."""
     held: list[pa.RecordBatch] = []
