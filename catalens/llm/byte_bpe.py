@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -169,7 +170,7 @@ def encoder(path: str) -> tuple[Ranks, ChunkEncoder]:
     if path not in _ENCODERS:
         ranks = Ranks.load(path)
         find = regex.compile(PATTERN).findall
-        _ENCODERS[path] = ranks, ChunkEncoder(find, lambda piece: np.array(piece_ids(ranks, piece.encode()), "<u4").tobytes())
+        _ENCODERS[path] = ranks, ChunkEncoder(find, lambda piece: array("I", piece_ids(ranks, piece.encode())).tobytes())
     return _ENCODERS[path]
 
 

@@ -19,7 +19,7 @@ _TORN = re.compile(r"\s (?:\s|\Z)")
 class ChunkEncoder:
     """``pieces(text)`` cuts a text into the parts that are encoded separately; ``encode(piece)`` gives little-endian bytes."""
 
-    def __init__(self, pieces: Callable[[str], list[str]], encode: Callable[[str], bytes], limit: int = 240_000):
+    def __init__(self, pieces: Callable[[str], list[str]], encode: Callable[[str], bytes], limit: int = 700_000):
         self.pieces = pieces
         self.of_piece = Memo(encode, limit)
         self.of_chunk = Memo(lambda part: self._join(" " + part), limit)

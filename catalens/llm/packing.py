@@ -10,6 +10,7 @@ no task holds more than its share of pieces.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from functools import reduce
 
@@ -146,7 +147,7 @@ def word_encoder(path: str) -> ChunkEncoder:
 
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True
-        ids = lambda s: np.array(tokenizer.encode(s, add_special_tokens=False).ids, "<u4").tobytes()
+        ids = lambda s: array("I", tokenizer.encode(s, add_special_tokens=False).ids).tobytes()
         _ENCODERS[path] = ChunkEncoder(lambda s: s.split(" "), ids)
     return _ENCODERS[path]
 

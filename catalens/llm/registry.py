@@ -9,15 +9,26 @@ from pyspark.sql import DataFrame, SparkSession
 
 from catalens.llm.byte_bpe import op6_byte_bpe
 from catalens.llm.common import table
+from catalens.llm.packing import op3_packing
+from catalens.llm.ppm import op1_language
+from catalens.llm.simhash import op7_simhash
+from catalens.llm.vectors import op4_near_vectors, op8_neighbours
 from catalens.llm.wavelet import op9_wavelet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
+    documents = lambda f, *a: lambda spark, d: f(table(spark, d, "documents"), *a)
+    embeddings = lambda f: lambda spark, d: f(table(spark, d, "embeddings"))
     return {
-        "op6_byte_bpe": lambda spark, d: op6_byte_bpe(table(spark, d, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken")),
-        "op9_wavelet": lambda spark, d: op9_wavelet(table(spark, d, "documents"), public_tokenizers.path("byte_bpe_50k.json")),
+        "op1_language": documents(op1_language),
+        "op3_packing": documents(op3_packing, public_tokenizers.path("word_bpe_49k.json")),
+        "op4_near_vectors": embeddings(op4_near_vectors),
+        "op6_byte_bpe": documents(op6_byte_bpe, public_tokenizers.path("byte_bpe_multi_50k.tiktoken")),
+        "op7_simhash": documents(op7_simhash),
+        "op8_neighbours": embeddings(op8_neighbours),
+        "op9_wavelet": documents(op9_wavelet, public_tokenizers.path("byte_bpe_50k.json")),
     }
 
 

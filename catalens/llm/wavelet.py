@@ -9,6 +9,7 @@ again by another, and any store that Spark can write will do.
 from __future__ import annotations
 
 import struct
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -167,7 +168,7 @@ def byte_level_encoder(path: str) -> ChunkEncoder:
         letters = str.maketrans({chr(b): chr(256 + i) for i, b in enumerate(hidden)})
 
         def ids(piece: str) -> bytes:
-            return np.array([t.id for t in model.tokenize(piece.encode().decode("latin-1").translate(letters))], "<u4").tobytes()
+            return array("I", [t.id for t in model.tokenize(piece.encode().decode("latin-1").translate(letters))]).tobytes()
 
         _ENCODERS[path] = ChunkEncoder(regex.compile(PATTERN).findall, ids)
     return _ENCODERS[path]
@@ -189,14 +190,14 @@ def write_shards(df: DataFrame, encoder: Callable[[], Callable[[str | None], byt
         encode, part = encoder(), TaskContext.get().partitionId()
         ids: list[bytes] = []
         docs: list[int | None] = []
-        total, shard = 0, 0
+        total, before = 0, 0
 
         def image() -> pa.RecordBatch:
             ends = np.cumsum([len(x) // 4 for x in ids])
             matrix = WaveletMatrix.build(np.frombuffer(b"".join(ids), "<u4"))
             return pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), pa.array([shard], pa.int32()), pa.array([int(ends[-1])], pa.int64()), pa.array([docs], pa.list_(pa.int64())), pa.array([ends.tolist()], pa.list_(pa.int64())), pa.array([matrix.to_bytes()], pa.binary())],
-                names=["part", "shard", "n_tokens", "docs", "ends", "image"],
+                [pa.array([part], pa.int32()), pa.array([before], pa.int64()), pa.array([int(ends[-1])], pa.int64()), pa.array([docs], pa.list_(pa.int64())), pa.array([ends.tolist()], pa.list_(pa.int64())), pa.array([matrix.to_bytes()], pa.binary())],
+                names=["part", "before", "n_tokens", "docs", "ends", "image"],
             )
 
         for batch in batches:
@@ -206,24 +207,22 @@ def write_shards(df: DataFrame, encoder: Callable[[], Callable[[str | None], byt
                 total += len(ids[-1]) // 4
                 if total >= SHARD_TOKENS:
                     yield image()
-                    ids, docs, total, shard = [], [], 0, shard + 1
+                    ids, docs, total, before = [], [], 0, before + total
         if docs:
             yield image()
 
-    dealt.mapInArrow(run, "part int, shard int, n_tokens long, docs array<long>, ends array<long>, image binary").write.option("compression", "zstd").parquet(to)
+    dealt.mapInArrow(run, "part int, before long, n_tokens long, docs array<long>, ends array<long>, image binary").write.option("compression", "zstd").parquet(to)
 
 
 def read_shards(spark, path: str) -> DataFrame:
     """The documents of a folder of shards: doc_id, start (ids of all documents before it), ids (little-endian uint32, end id included)."""
     shards = spark.read.parquet(path)
-    sizes = sorted((r["part"], r["n"]) for r in shards.groupBy("part").agg(F.sum("n_tokens").alias("n")).collect())  # one row for each file written
+    sizes = sorted((r["part"], r["n"]) for r in shards.groupBy("part").agg(F.sum("n_tokens").alias("n")).collect())  # one row for each task of the writer
     starts, total = [], 0
     for part, n in sizes:
         starts.append((part, total))
         total += n
-    before = spark.createDataFrame(starts, "part int, before long")
-    places = shards.select("part", "shard", "n_tokens").withColumn("within", F.expr("sum(n_tokens) over (partition by part order by shard) - n_tokens"))
-    places = places.join(F.broadcast(before), "part").select("part", "shard", (F.col("before") + F.col("within")).alias("start"))
+    firsts = spark.createDataFrame(starts, "part int, first long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -235,7 +234,7 @@ def read_shards(spark, path: str) -> DataFrame:
                 ids = [data[4 * a : 4 * b] for a, b in zip(starts.tolist(), ends.tolist())]
                 yield pa.RecordBatch.from_arrays([pa.array(get("docs"), pa.int64()), pa.array(starts + get("start")), pa.array(ids, pa.binary())], names=["doc_id", "start", "ids"])
 
-    return shards.join(places, ["part", "shard"]).select("start", "docs", "ends", "image").mapInArrow(run, "doc_id long, start long, ids binary")
+    return shards.join(F.broadcast(firsts), "part").select((F.col("first") + F.col("before")).alias("start"), "docs", "ends", "image").mapInArrow(run, "doc_id long, start long, ids binary")
 
 
 def op9_wavelet(documents: DataFrame, path: str, end_id: int = 0) -> DataFrame:
