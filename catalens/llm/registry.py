@@ -12,7 +12,10 @@ from catalens.llm.common import table
 from catalens.llm.packing import op3_packing
 from catalens.llm.ppm import op1_language
 from catalens.llm.simhash import op7_simhash
+from catalens.llm.substrings import op5_substrings
+from catalens.llm.toxicity import op2_toxicity
 from catalens.llm.vectors import op4_near_vectors, op8_neighbours
+from catalens.llm.warc import ORACLE, op10_revisits
 from catalens.llm.wavelet import op9_wavelet
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,14 +26,17 @@ def queries() -> dict[str, Query]:
     embeddings = lambda f: lambda spark, d: f(table(spark, d, "embeddings"))
     return {
         "op1_language": documents(op1_language),
+        "op2_toxicity": lambda spark, d: op2_toxicity(table(spark, d, "documents"), table(spark, d, "labels")),
         "op3_packing": documents(op3_packing, public_tokenizers.path("word_bpe_49k.json")),
         "op4_near_vectors": embeddings(op4_near_vectors),
+        "op5_substrings": documents(op5_substrings),
         "op6_byte_bpe": documents(op6_byte_bpe, public_tokenizers.path("byte_bpe_multi_50k.tiktoken")),
         "op7_simhash": documents(op7_simhash),
         "op8_neighbours": embeddings(op8_neighbours),
         "op9_wavelet": documents(op9_wavelet, public_tokenizers.path("byte_bpe_50k.json")),
+        "op10_revisits": lambda spark, d: op10_revisits(table(spark, d, "pages")),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_revisits": ORACLE}

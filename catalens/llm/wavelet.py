@@ -170,7 +170,7 @@ def byte_level_encoder(path: str) -> ChunkEncoder:
         def ids(piece: str) -> bytes:
             return array("I", [t.id for t in model.tokenize(piece.encode().decode("latin-1").translate(letters))]).tobytes()
 
-        _ENCODERS[path] = ChunkEncoder(regex.compile(PATTERN).findall, ids)
+        _ENCODERS[path] = ChunkEncoder(regex.compile(PATTERN).findall, ids, 1_200_000)
     return _ENCODERS[path]
 
 
