@@ -31,12 +31,6 @@ PAIRS_SQL = f"""
 """
 
 
-@query("facet_keys", f"SELECT key FROM ({KEYS_SQL})")
-def facet_keys(spark, d):
-    """The key domain of the axes; made from the domains as they stand in the orders."""
-    return ops.facet_keys(spark, DOMAINS)
-
-
 @query("facet_counts", f"SELECT k.key, count(p.o_orderkey) AS n FROM ({KEYS_SQL}) k LEFT JOIN ({PAIRS_SQL}) p USING (key) GROUP BY k.key")
 def facet_counts(spark, d):
     return ops.facet_counts(order_items(spark, d), "o_orderkey", DOMAINS)

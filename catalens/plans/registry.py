@@ -26,7 +26,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def _load() -> None:
-    from catalens.plans import facets  # noqa: F401
+    from catalens.plans import facets, search, stats  # noqa: F401
 
 
 def queries() -> dict[str, Query]:
