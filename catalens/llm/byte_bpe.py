@@ -29,7 +29,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 class Ranks:
     """A vocabulary of byte strings with merge ranks, and which pairs of its tokens are compatible."""
 
-    def __init__(self, ranks: dict[bytes, int], limit: int = 240_000):
+    def __init__(self, ranks: dict[bytes, int], limit: int = 500_000):
         self.ranks = ranks
         self.bytes_of = {v: k for k, v in ranks.items()}
         self.longest = max(map(len, ranks))
@@ -170,7 +170,7 @@ def encoder(path: str) -> tuple[Ranks, ChunkEncoder]:
     if path not in _ENCODERS:
         ranks = Ranks.load(path)
         find = regex.compile(PATTERN).findall
-        _ENCODERS[path] = ranks, ChunkEncoder(find, lambda piece: array("I", piece_ids(ranks, piece.encode())).tobytes())
+        _ENCODERS[path] = ranks, ChunkEncoder(find, lambda piece: array("I", piece_ids(ranks, piece.encode())).tobytes(), 1_200_000)
     return _ENCODERS[path]
 
 
