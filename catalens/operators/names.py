@@ -160,7 +160,8 @@ def entity_names(entities: DataFrame) -> DataFrame:
 
 def page_names(pages: DataFrame) -> DataFrame:
     """Name rows of page texts (item_id, latin, synonyms, text): lines that a marker opens list names of its language."""
-    parts = [F.transform(split_cited_names(labelled_line(F.col("text"), marker)), lambda n, lang=lang: F.struct(F.lit(lang).alias("lang"), n.alias("name"), F.lit("page").alias("source"))) for marker, lang in NAME_LINES]
+    named = lambda lang: lambda n: F.struct(F.lit(lang).alias("lang"), n.alias("name"), F.lit("page").alias("source"))
+    parts = [F.transform(split_cited_names(labelled_line(F.col("text"), marker)), named(lang)) for marker, lang in NAME_LINES]
     return pages.select("item_id", "latin", "synonyms", F.lit(2).alias("src"), F.posexplode(F.concat(*parts)).alias("pos", "n")).select("item_id", "latin", "synonyms", "src", "pos", "n.*")
 
 
