@@ -90,6 +90,12 @@ class Memo(dict):
         return value
 
 
+def byte_letters() -> dict[int, int]:
+    """For str.translate: the letters that byte-level files of the tokenizers library show bytes as."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}  # the bytes that stand for themselves
+    return {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in shown)}
+
+
 def piped(df: DataFrame, schema: T.StructType | str, *steps: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> DataFrame:
     """Several batch functions in one Python worker, each fed with the one before it."""
 

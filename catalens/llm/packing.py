@@ -11,7 +11,7 @@ no task holds more than its share of pieces.
 from __future__ import annotations
 
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -20,8 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalens.llm.chunks import ChunkEncoder
-from catalens.llm.common import append, map_batches, saved, texts_of, with_columns
+from catalens.llm.common import Memo, append, byte_letters, map_batches, saved, texts_of, with_columns
 
 CAPACITY, END_ID, PIECES_PER_TASK, ROUNDS = 4096, 1, 40_000, 4
 
@@ -134,21 +133,40 @@ def pack(pieces: DataFrame, length: str = "length", capacity: int = CAPACITY, pe
     return reduce(DataFrame.unionByName, done)
 
 
-_ENCODERS: dict[str, ChunkEncoder] = {}
+#: The pattern whose matches a word-level file encodes, white space left out (a fixed value of the file).
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_ENCODERS: dict[str, Callable[[str | None], bytes]] = {}
 
 
-def word_encoder(path: str) -> ChunkEncoder:
-    """Encoder of a word-level BPE file of the tokenizers library that drops white space: each distinct chunk is encoded once.
+def word_encoder(path: str) -> Callable[[str | None], bytes]:
+    """Encoder of a word-level BPE file of the tokenizers library, kept by each Python worker.
 
-    Its normalizer and pattern never join characters across a space, so chunks can be encoded by themselves.
+    The file's normalizer composes characters, lowers them and drops white space, and never joins characters across a
+    space; so texts are cut at spaces and line feeds, and the library's model is asked for each distinct match of the
+    pattern once. Strings of special tokens are ordinary text.
     """
     if path not in _ENCODERS:
+        import regex
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
-        ids = lambda s: array("I", tokenizer.encode(s, add_special_tokens=False).ids).tobytes()
-        _ENCODERS[path] = ChunkEncoder(lambda s: s.split(" "), ids)
+        model, normalize, find = tokenizer.model, tokenizer.normalizer.normalize_str, regex.compile(WORD_PATTERN).findall
+        letters = byte_letters()
+
+        def ids(piece: str) -> bytes:
+            return array("I", [t.id for t in model.tokenize(piece.encode().decode("latin-1").translate(letters))]).tobytes()
+
+        of_piece = Memo(ids, 600_000)
+        of_chunk = Memo(lambda chunk: b"".join(map(of_piece.__getitem__, find(chunk.lower() if chunk.isascii() else normalize(chunk)))), 700_000)
+
+        def encode(text: str | None) -> bytes:
+            if not text:
+                return b""
+            if "Σ" not in text:  # whose lower case depends on what follows, but not for the normalizer
+                text = text.lower()
+            return b"".join(map(of_chunk.__getitem__, text.replace("\n", " ").split(" ")))
+
+        _ENCODERS[path] = encode
     return _ENCODERS[path]
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalens.llm.chunks import ChunkEncoder
-from catalens.llm.common import append, shared_path, texts_of
+from catalens.llm.common import byte_letters, shared_path, texts_of
 
 MAGIC, BLOCK = b"WMX1", 512
 #: A shard is closed once it holds so many tokens (a longer document makes a longer shard).
@@ -163,9 +163,7 @@ def byte_level_encoder(path: str) -> ChunkEncoder:
         from catalens.llm.byte_bpe import PATTERN
 
         model = Tokenizer.from_file(path).model
-        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # the bytes that stand for themselves in such files
-        hidden = [b for b in range(256) if b not in set(shown)]
-        letters = str.maketrans({chr(b): chr(256 + i) for i, b in enumerate(hidden)})
+        letters = byte_letters()
 
         def ids(piece: str) -> bytes:
             return array("I", [t.id for t in model.tokenize(piece.encode().decode("latin-1").translate(letters))]).tobytes()
