@@ -3,7 +3,8 @@
 A single space before a non-space character always begins a new match of the pre-tokenizer's pattern, and takes the
 characters after it along. So a text can be cut before such spaces and the parts encoded by themselves. Where a space
 stands between white space and more white space, or at the end behind white space, a run of white space would be torn;
-texts with such a place are encoded whole.
+texts with such a place are encoded whole. A line feed between characters that aren't white space is a match of its
+own, so texts whose line feeds all stand so are cut before them as well.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from collections.abc import Callable
 from catalens.llm.common import Memo
 
 _TORN = re.compile(r"\s (?:\s|\Z)")
+_LINES = re.compile(r"\s\n|\n\s|\n\Z|\A\n")
 
 
 class ChunkEncoder:
@@ -22,7 +24,8 @@ class ChunkEncoder:
     def __init__(self, pieces: Callable[[str], list[str]], encode: Callable[[str], bytes], limit: int = 700_000):
         self.pieces = pieces
         self.of_piece = Memo(encode, limit)
-        self.of_chunk = Memo(lambda part: self._join(" " + part), limit)
+        self.of_chunk = Memo(lambda part: self._join(" " + part), limit // 4)
+        self.of_line = Memo(lambda part: self._join(part if part[:1] == "\n" else " " + part), limit)
 
     def _join(self, text: str) -> bytes:
         return b"".join(map(self.of_piece.__getitem__, self.pieces(text)))
@@ -32,5 +35,8 @@ class ChunkEncoder:
             return b""
         if _TORN.search(text):
             return self._join(text)
-        head, *rest = text.split(" ")
-        return self._join(head) + b"".join(map(self.of_chunk.__getitem__, rest))
+        if _LINES.search(text):
+            head, *rest = text.split(" ")
+            return self._join(head) + b"".join(map(self.of_chunk.__getitem__, rest))
+        head, *rest = text.replace("\n", " \n").split(" ")
+        return self._join(head) + b"".join(map(self.of_line.__getitem__, rest))
