@@ -26,7 +26,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def _load() -> None:
-    from catalens.plans import facets, names, search, stats  # noqa: F401
+    from catalens.plans import catalog, facets, names, search, stats, taxonomy  # noqa: F401
 
 
 def queries() -> dict[str, Query]:
