@@ -142,6 +142,6 @@ def last_run(whole: pa.Table, keys: list[str]) -> int:
     return int(odd[-1]) + 1 if len(odd) else 0
 
 
-def partitions_for(spark: SparkSession, df: DataFrame) -> int:
-    """As many partitions as the input has, and as many as the session shuffles to at least."""
+def partitions_for(spark: SparkSession) -> int:
+    """As many partitions as the session shuffles to."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)

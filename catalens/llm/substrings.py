@@ -23,9 +23,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from catalens.llm.common import texts_of, whole_runs
+from catalens.llm.common import partitions_for, texts_of, whole_runs
 
 SIZE, ANCHOR, GROUP_ROWS = 20, 10, 4096
+#: Stands for a null id while documents are joined; a row of this id counts as one without.
+NO_ID = -(1 << 63)
 
 _P, _Q = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
 _powers: dict[str, np.ndarray] = {}
@@ -106,18 +108,23 @@ def _suffix_rows(size: int):
                 get = lambda name: part.column(part.schema.get_field_index(name))  # noqa: B023,E731
                 hashes, counts = word_hashes(texts_of(part, "text"))
                 codes = (hashes >> np.uint64(32)).astype("<u4")
-                first = np.cumsum(counts) - counts
+                key, row, start, windows = anchors(hashes, counts, size)
                 places = get("places")
-                row = np.repeat(np.arange(part.num_rows), places.value_lengths().to_numpy(zero_copy_only=False))
-                flat = places.flatten()
-                key, place, rows = (flat.field(i).to_numpy() for i in range(3))
-                start, windows = place // 256, place % 256
+                place = places.flatten().to_numpy()
+                of = np.repeat(np.arange(part.num_rows), places.value_lengths().to_numpy(zero_copy_only=False))
+                known = (of << 40) | (place >> 28)
+                order = np.argsort(known)
+                spot = (row << 40) | start
+                at_ = np.minimum(np.searchsorted(known, spot, sorter=order), max(0, len(known) - 1))
+                hit = np.flatnonzero(known[order[at_]] == spot) if len(known) else np.zeros(0, np.int64)
+                parts = (place[order[at_[hit]]] >> 8) & 0xFFFFF
+                key, row, start, windows = (x[hit] for x in (key, row, start, windows))
+                first = np.cumsum(counts) - counts
                 begin = first[row] + start
                 words = [codes[a:b].tobytes() for a, b in zip(begin.tolist(), (begin + windows - 1 + size).tolist())]
                 take = pa.array(row)
                 salt = _mix((start + 1).astype(np.uint64) * np.uint64(_P) + get("doc_id").take(take).to_numpy().astype(np.uint64))
-                parts = -(-rows // GROUP_ROWS)
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array((salt % parts.astype(np.uint64)).astype(np.int32)), pa.array(parts > 1), get("doc_id").take(take), get("body").take(take), pa.array(start), pa.array(words, pa.binary())], names=["key", "part", "cut", "doc_id", "body", "start", "words"])
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array((salt % parts.astype(np.uint64)).astype(np.int32)), pa.array(parts > 1), get("doc_id").take(take), get("body").take(take), pa.array(start), pa.array(words, pa.binary())], names=["key", "part", "cut", "doc_id", "body", "start", "words"])
 
     return run
 
@@ -196,22 +203,29 @@ def repeats(df: DataFrame, size: int = SIZE, text: str = "text", doc_id: str = "
     """
     if not 4 <= size <= 60:
         raise ValueError("size must be from 4 to 60 words")
-    every = df.withColumnRenamed(doc_id, "doc_id").withColumnRenamed(text, "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text", *[c for c in df.columns if c not in (doc_id, text)])
-    docs = every.filter("doc_id is not null").withColumn("body", F.xxhash64(F.coalesce("text", F.lit(""))))
+    others = [c for c in df.columns if c not in (doc_id, text)]
+    named = df.withColumnRenamed(doc_id, "doc_id").withColumnRenamed(text, "text")
+    # ids that can't be null, so that both uses of ``dealt`` are read from one shuffle
+    every = named.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.hash(F.coalesce("text", F.lit(""))).alias("body"), "text", *others)
+    docs = every.filter(F.col("doc_id") != NO_ID)
     firsts = docs.select("doc_id", "body", F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha")).groupBy("sha").agg(F.min(F.struct("doc_id", "body")).alias("f")).select("f.doc_id", "f.body")
     counted = docs.select("text").mapInArrow(_anchor_rows(size, False), "key long").groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    placed = docs.select("doc_id", "body", "text").mapInArrow(_anchor_rows(size, True), "key long, doc_id long, body long, place long")
-    inner = placed.join(counted, "key").groupBy("doc_id", "body").agg(F.collect_list(F.struct("key", "place", "n")).alias("places"))
-    work = docs.select("doc_id", "body", "text").join(inner.join(firsts, ["doc_id", "body"]), ["doc_id", "body"])
-    suffixes = work.mapInArrow(_suffix_rows(size), "key long, part int, cut boolean, doc_id long, body long, start long, words binary")
-    found = suffixes.repartition("key", "part").sortWithinPartitions("key", "part").mapInArrow(_repeats(size), "doc_id long, body long, start long, mask long, h1 long, h2 long, left boolean")
+    placed = docs.select("doc_id", "body", "text").mapInArrow(_anchor_rows(size, True), "key long, doc_id long, body int, place long")
+    # start, parts of the group and windows in one number
+    packed = F.shiftleft(F.shiftright("place", 8), 28) + F.least(F.ceil(F.col("n") / GROUP_ROWS), F.lit(0xFFFFF)) * 256 + F.col("place") % 256
+    inner = placed.join(counted, "key").groupBy("doc_id", "body").agg(F.collect_list(packed).alias("places"))
+    # dealt once, for the suffixes and for the answer
+    dealt = every.repartition(partitions_for(df.sparkSession), "doc_id", "body")
+    work = dealt.select("doc_id", "body", "text").join(inner.join(firsts, ["doc_id", "body"]), ["doc_id", "body"])
+    suffixes = work.mapInArrow(_suffix_rows(size), "key long, part int, cut boolean, doc_id long, body int, start long, words binary")
+    found = suffixes.repartition("key", "part").sortWithinPartitions("key", "part").mapInArrow(_repeats(size), "doc_id long, body int, start long, mask long, h1 long, h2 long, left boolean")
     earliest = F.min(F.struct("doc_id", "start")).over(Window.partitionBy("left", "h1", "h2"))
     marks = found.withColumn("first", earliest).withColumn("mask", F.when(F.col("left"), ((F.col("first.doc_id") != F.col("doc_id")) | (F.col("first.start") != F.col("start"))).cast("long")).otherwise(F.col("mask"))).filter("mask != 0")
     marks = marks.groupBy("doc_id", "body").agg(F.collect_list(F.struct("start", "mask")).alias("repeats"))
     known = firsts.join(marks, ["doc_id", "body"], "left").withColumn("copy", F.lit(False))
-    out = docs.join(known, ["doc_id", "body"], "left").withColumn("copy", F.coalesce("copy", F.lit(True)) & (F.col("text") != "")).drop("body")
-    lone = every.filter("doc_id is null").withColumn("repeats", F.lit(None).cast(out.schema["repeats"].dataType)).withColumn("copy", F.lit(False))
-    return out.unionByName(lone).withColumnRenamed("doc_id", doc_id).withColumnRenamed("text", text)
+    has_id = F.col("doc_id") != NO_ID
+    out = dealt.join(known, ["doc_id", "body"], "left").withColumn("copy", has_id & F.coalesce("copy", F.lit(True)) & F.coalesce(F.col("text") != "", F.lit(False)))
+    return out.select(F.when(has_id, F.col("doc_id")).alias(doc_id), F.col("text").alias(text), *others, "repeats", "copy")
 
 
 def covered(n_words: int, pairs: list | None, copy: bool, size: int) -> np.ndarray:
