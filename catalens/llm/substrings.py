@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from catalens.llm.common import partitions_for, texts_of, whole_runs
 
-SIZE, ANCHOR, GROUP_ROWS = 20, 10, 4096
+SIZE, ANCHOR, GROUP_ROWS = 20, 8, 4096
 #: Stands for a null id while documents are joined; a row of this id counts as one without.
 NO_ID = -(1 << 63)
 
