@@ -87,13 +87,13 @@ def review_decisions(observations: DataFrame, decisions: DataFrame) -> DataFrame
 def majority_codes(lists: DataFrame, key: str, codes: str) -> DataFrame:
     """(key, codes): codes in more than half of a group's non-empty lists, else those in most of them; ascending."""
     full = lists.filter(F.size(codes) > 0)
-    n = full.groupBy(key).agg(F.count("*").alias("n"))
-    counts = full.select(key, F.explode(F.array_distinct(codes)).alias("code")).groupBy(key, "code").agg(F.count("*").alias("k")).join(n, key)
-    most = F.max("k").over(Window.partitionBy(key))
-    strict = F.col("k") * 2 > F.col("n")
+    n = full.groupBy(key).agg(F.count("*").alias("__n"))
+    counts = full.select(key, F.explode(F.array_distinct(codes)).alias("__code")).groupBy(key, "__code").agg(F.count("*").alias("__k")).join(n, key)
+    most = F.max("__k").over(Window.partitionBy(key))
+    strict = F.col("__k") * 2 > F.col("__n")
     any_strict = F.max(strict.cast("int")).over(Window.partitionBy(key)) == 1
-    kept = counts.withColumn("keep", F.when(any_strict, strict).otherwise(F.col("k") == most)).filter("keep")
-    return kept.groupBy(key).agg(F.sort_array(F.collect_list("code")).alias("codes"))
+    kept = counts.withColumn("__keep", F.when(any_strict, strict).otherwise(F.col("__k") == most)).filter("__keep")
+    return kept.groupBy(key).agg(F.sort_array(F.collect_list("__code")).alias("codes"))
 
 
 def group_median_int(value: str) -> Column:
