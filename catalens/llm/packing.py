@@ -157,7 +157,7 @@ def word_encoder(path: str) -> Callable[[str | None], bytes]:
             return array("I", [t.id for t in model.tokenize(piece.encode().decode("latin-1").translate(letters))]).tobytes()
 
         of_piece = Memo(ids, 1_200_000)
-        of_chunk = Memo(lambda chunk: b"".join(map(of_piece.__getitem__, find(chunk if chunk.isascii() else normalize(chunk)))), 900_000)
+        of_chunk = Memo(lambda chunk: b"".join(map(of_piece.__getitem__, find(chunk.lower() if chunk.isascii() else normalize(chunk)))), 900_000)
 
         def encode(text: str | None) -> bytes:
             if not text:
