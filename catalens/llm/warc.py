@@ -112,7 +112,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     get = lambda name: F.regexp_extract("head", f"(?i)\r\n{name}:[ \t]*([^\r\n]*)", 1)
     size = F.expr("try_cast(size as int)")
     parts = parts.select("*", get("Content-Length").alias("size"))
-    cut = parts.withColumn("block", F.when(size.isNotNull() & (F.octet_length("block") > size), F.decode(F.substring(F.encode("block", "UTF-8"), F.lit(1), size), F.lit("UTF-8"))).otherwise(F.col("block")))
+    cut = parts.withColumn("block", F.when(size.isNotNull() & (F.octet_length("block") > size), F.decode(F.substring(F.encode("block", "UTF-8"), F.lit(1), size), "UTF-8")).otherwise(F.col("block")))
     http = F.instr("block", _END)
     names = F.slice(F.split(F.substring("block", F.lit(1), http - 1), "\r\n"), 2, 1000)
     headers = F.map_from_entries(F.transform(F.filter(names, lambda x: F.instr(x, ":") > 0), lambda x: F.struct(F.lower(F.trim(F.substring_index(x, ":", 1))), F.trim(F.substring(x, F.instr(x, ":") + 1, F.length(x))))))

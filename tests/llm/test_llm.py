@@ -1,0 +1,434 @@
+"""The operators against brute force, round trips, held-out accuracy and odd tables."""
+
+import base64
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import public_tokenizers as P
+import pytest
+import tiktoken
+import tokenizers
+import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+import corpus_pipeline
+from catalens.llm import byte_bpe, components, packing, ppm, registry, simhash, substrings, toxicity, vectors, warc, wavelet
+from catalens.llm.common import table
+
+DATA = "/root/testdata/sf0.001"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+ODD = [(5, None, None, None, None), (None, "a b c", "en", "s", 5), (6, "", "en", "s", 0), (7, " \n\t", None, "s", 3), (8, "x " * 30_000, "en", "s", 60_000), (8, "x " * 30_000, "en", "s", 60_000), (9, "Σ ß 漢字 1 !?", "de", None, 12)]
+MULTI, BYTES, WORDS = P.path("byte_bpe_multi_50k.tiktoken"), P.path("byte_bpe_50k.json"), P.path("word_bpe_49k.json")
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return table(spark, DATA, "documents")
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    return spark.createDataFrame(ODD, DOCS)
+
+
+@pytest.fixture(scope="module")
+def tik():
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(MULTI, "rb"))}
+    return tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def texts(df):
+    return [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
+
+
+def ids_bytes(ids):
+    return np.array(ids, "<u4").tobytes()
+
+
+# ---- byte-level BPE
+
+
+def test_bpe_equals_the_library(docs, odd, tik):
+    for df in (docs, odd):
+        want = sorted((repr(i), len(x := tik.encode_ordinary(t or "")), hashlib.sha256(",".join(map(str, x)).encode()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()) for i, t in texts(df))
+        assert sorted((repr(r.doc_id), r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in byte_bpe.op6_byte_bpe(df, MULTI).collect()) == want
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.text(alphabet=st.sampled_from("abthe ing\n\t'sΣé漢🙂\x1c\xa0 0$"), max_size=60))
+def test_bpe_of_any_text(text):
+    ranks, encode = byte_bpe.encoder(MULTI)
+    tik = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks.ranks, special_tokens={})
+    assert np.frombuffer(encode(text), "<u4").tolist() == tik.encode_ordinary(text)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.binary(max_size=120), st.binary(max_size=8), st.integers(0, 120), st.integers(0, 9))
+def test_prefix_tables_after_edits_and_appends(data, new, at, gone):
+    ranks, _ = byte_bpe.encoder(MULTI)
+    one = byte_bpe.PrefixTable(ranks, data)
+    at = min(at, len(data))
+    one.edit(at, min(len(data), at + gone), new)
+    one.append(b" more")
+    assert one.last == byte_bpe.PrefixTable(ranks, data[:at] + new + data[at + gone :] + b" more").last
+
+
+def test_bpe_keeps_other_columns(spark):
+    df = spark.createDataFrame([(1, "the thing", 5, "x")], "id int, text string, ids int, TEXT2 string")
+    coded = byte_bpe.decode(byte_bpe.encode(df, MULTI), MULTI)
+    assert coded.columns == ["id", "text", "TEXT2", "ids", "decoded"] and bytes(coded.first().decoded) == b"the thing"
+
+
+# ---- wavelet shards
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 600, 5000])
+def test_wavelet_queries(n):
+    a = np.random.default_rng(n).integers(0, 50, n).astype(np.uint32) * 997
+    w = wavelet.WaveletMatrix.from_bytes(wavelet.WaveletMatrix.build(a).to_bytes())
+    assert (w.sequence() == a).all()
+    if n:
+        assert (w.access(np.arange(n)) == a).all()
+    for token in {*a.tolist(), 5}:
+        at = np.flatnonzero(a == token)
+        assert w.count(token) == len(at) and (w.occurrences(token) == at).all() and w.rank(token, n // 2) == (a[: n // 2] == token).sum()
+        if len(at):
+            assert w.select(token, len(at) - 1) == at[-1]
+
+
+def test_shards_come_back(docs, odd):
+    tk = tokenizers.Tokenizer.from_file(BYTES)
+    for df in (docs, odd.filter("doc_id is not null")):
+        start, want = 0, []
+        for i, t in sorted(texts(df), key=lambda x: (x[0], x[1] or "")):
+            ids = tk.encode(t or "", add_special_tokens=False).ids + [0]
+            want.append((i, start, len(ids), zlib.crc32(ids_bytes(ids))))
+            start += len(ids)
+        assert sorted(map(tuple, wavelet.op9_wavelet(df, BYTES).collect())) == want
+    assert wavelet.op9_wavelet(odd, BYTES).filter("doc_id is null").first().start == 0
+
+
+# ---- packing
+
+
+def test_packing_is_whole_and_near_its_bound(docs, odd):
+    tk = tokenizers.Tokenizer.from_file(WORDS)
+    for df in (docs, odd):
+        rows = packing.op3_packing(df, WORDS).collect()
+        want = []
+        for i, t in texts(df):
+            ids = tk.encode(t or "", add_special_tokens=False).ids + [1]
+            want += [(repr(i), k, a, len(ids[a : a + 4096]), zlib.crc32(ids_bytes(ids[a : a + 4096]))) for k, a in enumerate(range(0, len(ids), 4096))]
+        assert sorted((repr(r.doc_id), r.piece, r.start, r.length, r.ids_crc32) for r in rows) == sorted(want)
+        bins = {}
+        for r in rows:
+            bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
+        for b in bins.values():
+            at = 0
+            for o, n in sorted(b):
+                assert o == at
+                at += n
+            assert at <= 4096
+        assert len(bins) <= packing.lower_bound(np.array([r.length for r in rows]), 4096) + 1
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.lists(st.integers(1, 20), max_size=9))
+def test_bounds_hold(lengths):
+    def fewest(left, bins):
+        if not left:
+            return len(bins)
+        best = 99
+        for i in range(len(bins) + 1):
+            room = bins[i] if i < len(bins) else 20
+            if left[0] <= room:
+                best = min(best, fewest(left[1:], [*bins[:i], room - left[0], *bins[i + 1 :]]))
+        return best
+
+    x = np.array(lengths, np.int64)
+    true = fewest(sorted(lengths, reverse=True)[:6], [])
+    assert packing.lower_bound(np.array(sorted(lengths, reverse=True)[:6], np.int64), 20) <= true
+    bins, offsets, fill = packing.best_fit_decreasing(x, 20)
+    assert sum(fill) == sum(lengths) and all(f <= 20 for f in fill)
+
+
+def test_rounds_exchange_pieces(spark):
+    rows = spark.createDataFrame([(i, int(x)) for i, x in enumerate(np.random.default_rng(1).integers(1, 3000, 800))] + [(-1, None), (-2, 5000)], "id long, length long")
+    out = packing.pack(rows, per_task=60, rounds=5).toPandas()
+    assert len(out) == 802 and out.sequence_id.isna().sum() == 2
+    ok = out.dropna()
+    assert ok.sequence_id.nunique() <= packing.lower_bound(ok.length.to_numpy(np.int64), 4096) * 1.03 + 1
+
+
+# ---- language and toxicity
+
+
+def test_language_is_told_on_held_out_documents(spark):
+    df = table(spark, "/root/testdata/sf0.01", "documents")
+    got = ppm.op1_language(df).join(df.select("doc_id", "lang"), "doc_id").filter("held_out").collect()
+    assert len(got) > 200 and sum(r.lang == r.lang_pred for r in got) / len(got) > 0.97
+    assert all(0 <= r.score <= 1 for r in got)
+
+
+def test_code_lengths_are_exact():
+    model = ppm.PPM({"a": ["abab ab", "ba"], "b": ["bbb", ""]}, order=2)
+
+    def slow(lang, word):
+        sample = [" " + w for t in {"a": ["abab ab", "ba"], "b": ["bbb", ""]}[lang] for w in t.split(" ")]
+        bits, data = 0.0, " " + word
+        for i in range(1, len(data)):
+            for o in range(min(i, 2), -1, -1):
+                after = [s[j] for s in sample for j in range(o, len(s)) if s[j - o : j] == data[i - o : i]]
+                if not after:
+                    continue
+                kinds = len(set(after))
+                if data[i] in after:
+                    bits -= np.log2(after.count(data[i]) / (len(after) + kinds))
+                    break
+                bits -= np.log2(kinds / (len(after) + kinds))
+            else:
+                bits += 8
+        return bits
+
+    words = ["abab", "b", "zz", "", "aab"]
+    got = model.word_costs(words)
+    for w, row in zip(words, got):
+        assert np.allclose(row, [slow("a", w), slow("b", w)], atol=1e-4)
+
+
+def test_language_of_odd_texts(spark, odd):
+    rows = ppm.identify(odd, ppm.PPM({"en": ["a b c the thing"], "de": ["der das ß"]})).collect()
+    assert len(rows) == len(ODD) and {r.lang_pred for r in rows if r.text is None or not re.search(r"[^\W\d_]", r.text)} == {"und"}
+    none = ppm.op1_language(odd.filter("false"))
+    assert none.count() == 0
+
+
+def test_deobfuscation_and_toxicity(spark):
+    d = "/root/testdata/sf0.1"
+    documents, labels = table(spark, d, "documents"), table(spark, d, "labels")
+    model = toxicity.fit(documents, labels)
+    s = toxicity.Scorer(model)
+    for text, plain in (("you 1d10t", "you idiot"), ("you i d i o t go", "you idiot go"), ("l0ser", "loser"), ("idioooot!!", "idiot"), ("st*pid", "stupid"), ("m-o-r-o-n", "moron"), ("tr@sh", "trash")):
+        assert s.restore(text) == plain and s.score(text) > 0.7
+    assert s.score("") == s.score(None) < 0.7 and s.score("The thing of the and") < 0.7
+    got = toxicity.op2_toxicity(documents, labels).join(labels, "doc_id").filter("held_out").collect()
+    hit = sum(r.predicted for r in got if r.toxic)
+    assert hit / sum(r.toxic for r in got) > 0.85 and sum(r.predicted for r in got if not r.toxic) / len(got) < 0.03
+
+
+def test_toxicity_of_odd_tables(spark, odd):
+    labels = spark.createDataFrame([(5, 1, 1), (None, 1, 0), (9, 1, None)], "doc_id long, quality int, toxic int")
+    assert toxicity.op2_toxicity(odd, labels).count() == len(ODD)
+    assert toxicity.op2_toxicity(odd.filter("false"), labels.filter("false")).count() == 0
+
+
+# ---- SimHash
+
+
+def slow_fingerprint(text):
+    w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    if not w:
+        return 0
+    sh = [" ".join(w[i : i + 3]) for i in range(len(w) - 2)] or [" ".join(w)]
+    h = [xxhash.xxh64_intdigest(x.encode(), 42) for x in sh]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def groups(ids, link):
+    top = {i: i for i in ids}
+
+    def find(i):
+        while top[i] != i:
+            i = top[i]
+        return i
+
+    for a, b in link:
+        a, b = find(a), find(b)
+        top[max(a, b)] = min(a, b)
+    return {i: find(i) for i in ids}
+
+
+def test_simhash_equals_brute_force(spark, docs, odd):
+    rng = random.Random(4)
+    base = [rng.getrandbits(64) for _ in range(30)]
+    near = [b ^ sum(1 << x for x in rng.sample(range(64), k)) for b in base for k in (0, 1, 2, 3, 3, 4, 5)]
+    fps = sorted({x - (1 << 64) if x >> 63 else x for x in near})
+    links = simhash.near_links(spark.createDataFrame([(x,) for x in fps], "fp long"), cap=4)
+    got = groups(fps, [tuple(r) for r in links.collect()])
+    want = groups(fps, [(a, b) for i, a in enumerate(fps) for b in fps[i + 1 :] if bin((a ^ b) & (1 << 64) - 1).count("1") <= 3])
+    assert got == want
+    for df in (docs, odd):
+        rows = [(i, slow_fingerprint(t)) for i, t in texts(df)]
+        first = {}
+        for i, f in rows:
+            first.setdefault(f, []).append(i)
+        cls = groups(sorted(first), [(a, b) for a in first for b in first if a < b and bin(a ^ b).count("1") <= 3])
+        least = {}
+        for f, c in cls.items():
+            least.setdefault(c, []).extend(x for x in first[f] if x is not None)
+        want = sorted((repr(i), f"{f:016x}", min(least[cls[f]], default=None)) for i, f in rows)
+        assert sorted((repr(r.doc_id), r.fingerprint, r.component_id) for r in simhash.op7_simhash(df).collect()) == want
+
+
+def test_components_of_a_long_chain(spark):
+    links = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 500), (None, 3)], "a long, b long")
+    got = {r.id: r.component_id for r in components.connected_components(links).collect()}
+    assert got == dict.fromkeys(range(201), 0)
+
+
+# ---- passages
+
+
+def brute(docs, size=20):
+    seen, out = set(), {}
+    for i, t in docs:
+        w = (t or "").encode().split()
+        gone = [False] * len(w)
+        for k in range(len(w) - size + 1):
+            q = tuple(w[k : k + size])
+            if q in seen:
+                gone[k : k + size] = [True] * size
+            seen.add(q)
+        out[i] = len(w), sum(gone), hashlib.sha256(b" ".join(x for x, g in zip(w, gone) if not g)).hexdigest()
+    return out
+
+
+def answers(df):
+    return {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substrings.op5_substrings(df).collect()}
+
+
+def test_passages_equal_brute_force(spark, docs, monkeypatch):
+    assert answers(docs) == brute(sorted(texts(docs)))
+    monkeypatch.setattr(substrings, "GROUP_ROWS", 3)
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choice("abc"[: 1 + i % 3]) for _ in range(rng.randrange(90)))) for i in range(60)] + [(100, None), (101, ""), (102, " \n"), (103, "for " * 500)]
+    assert answers(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
+
+
+def test_passages_of_odd_tables(spark, odd):
+    rows = substrings.dedupe(odd.withColumnRenamed("source", "spans")).collect()
+    assert len(rows) == len(ODD) and {r.text for r in rows if r.doc_id is None} == {"a b c"}
+    assert len({r.text for r in rows if r.doc_id == 8}) == 1
+    assert substrings.op5_substrings(odd.filter("false")).count() == 0
+
+
+# ---- vectors
+
+
+def brute_links(rows):
+    ok = [(i, np.array(v, float), c) for i, v, c in rows if c is not None and v is not None and None not in v and np.isfinite(v).all() and np.any(v)]
+    cos = lambda a, b: len(a) == len(b) and a @ b / np.sqrt((a @ a) * (b @ b)) >= 0.98
+    return [(a[0], b[0]) for k, a in enumerate(ok) for b in ok[k + 1 :] if a[2] == b[2] and cos(a[1], b[1])]
+
+
+def test_near_vectors_equal_brute_force(spark):
+    rng = np.random.default_rng(3)
+    rows, n = [], 0
+    for c in range(40):
+        v = rng.standard_normal(16)
+        for k in range(rng.integers(1, 6)):
+            rows.append((n, [float(x) for x in (v + rng.standard_normal(16) * 0.02 * k).astype(np.float32)], int(c % 3)))
+            n += 1
+    rows += [(n + 1, rows[0][1], 0), (n + 2, rows[0][1], 0), (n + 3, rows[0][1], 1), (n + 4, None, 0), (n + 5, [0.0] * 16, 0), (n + 6, [float("nan")] * 16, 0), (n + 7, [None, *[1.0] * 15], 0), (n + 8, rows[0][1], None), (n + 9, [2 * x for x in rows[0][1]], 0), (n + 10, [1.0, 2.0], 0), (n + 11, [2.0, 4.0], 0)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    links = brute_links([(i, None if v is None or None in v else np.array(v, np.float32).astype(float).tolist(), c) for i, v, c in rows])
+    count = {i: 0 for i, _, _ in rows}
+    for a, b in links:
+        count[a] += 1
+        count[b] += 1
+    comp = groups(sorted(count), links)
+    for cap in (512, 3):
+        got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in vectors.near_vectors(df, cap=cap).collect()}
+        assert got == {i: (count[i], comp[i], i == comp[i]) for i in count}
+    assert vectors.near_vectors(df.filter("false")).count() == 0
+
+
+def test_neighbours(spark):
+    df = table(spark, "/root/testdata/sf0.01", "embeddings")
+    rows = {r.vec_id: np.array(r.embedding, float) for r in df.collect()}
+    ids, x = np.array(sorted(rows)), np.stack([rows[i] for i in sorted(rows)])
+    got = {}
+    for r in vectors.op8_neighbours(df).collect():
+        got.setdefault(r.query_id, {})[r["rank"]] = (r.vec_id, r.score)
+    hit = 0
+    for q, found in got.items():
+        want, d = vectors.nearest_of(rows[q], ids, x, 10, q)
+        hit += len(set(want.tolist()) & {v for v, _ in found.values()})
+        assert sorted(found) == list(range(1, 11)) and all(abs(s - np.sqrt(((rows[v] - rows[q]) ** 2).sum())) < 1e-12 for v, s in found.values())
+    assert sorted(got) == [i for i in ids.tolist() if i % 100 == 0] and hit >= 0.9 * 10 * len(got)
+
+
+def test_neighbours_of_few_and_odd_rows(spark):
+    rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 3.0]), (3, None), (4, [0.0, 0.0]), (None, [1.0, 1.0]), (5, [1.0, None]), (6, [1.0, 2.0, 3.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = sorted((r.query_id, r["rank"], r.vec_id) for r in vectors.op8_neighbours(df).collect())
+    assert got == [(0, 1, 1), (0, 2, 2)]
+    assert vectors.op8_neighbours(df.filter("false")).count() == 0
+
+
+# ---- WARC
+
+
+def test_revisits(spark):
+    h = lambda **k: {a.replace("_", "-"): b for a, b in k.items()}
+    rows = [
+        (1, "http://www.a.org:80/x/?utm_source=f#t", 10, "response", 200, h(etag='"1"', server="s", date="d1"), "one"), (2, "https://A.org/x", 20, "revisit", 304, h(etag='W/"1"', date="d2", server="t"), None),
+        (3, "http://a.org/x", 30, "response", 404, h(etag='"9"'), "err"), (4, "http://a.org/x", 40, "revisit", 304, h(etag='"2"'), None), (5, "http://a.org/x", 10, "revisit", 304, h(etag='"1"'), None),
+        (6, "http://a.org/x", 50, "revisit", 304, None, None), (7, None, 60, "revisit", 304, h(etag='"1"'), None), (8, "http://a.org/x", None, "revisit", 304, h(), None),
+    ]
+    df = spark.createDataFrame(rows, "record_id long, url string, ts long, type string, status int, headers map<string,string>, body string")
+    for slices in (1, 7, 1024):
+        got = {r.record_id: r for r in warc.resolve_revisits(df, slices).collect()}
+        assert {k: (r.state, r.refers_to, r.body) for k, r in got.items()} == {2: ("resolved", 1, "one"), 4: ("mismatch", 1, None), 5: ("missing", None, None), 6: ("unverified", 1, None), 7: ("missing", None, None), 8: ("missing", None, None)}
+        assert got[2].headers == {"etag": 'W/"1"', "server": "s", "date": "d2"}
+    assert warc.resolve_revisits(df.filter("false")).count() == 0
+
+
+def test_warc_files_come_back(spark, tmp_path):
+    rows = [(1, "http://a/", 1_700_000_000, "response", {"etag": "x", "date": "é"}, "<p>\n\nä: b</p>"), (2, "http://b/", 1_700_000_001, "revisit", {"etag": "y"}, None)]
+    warc.write_warc(spark.createDataFrame(rows, "record_id long, url string, ts long, type string, headers map<string,string>, body string").coalesce(1), str(tmp_path / "w"))
+    got = sorted((r.record_id, r.url, r.ts, r.type, r.status, r.headers, r.body, r.whole) for r in warc.read_warc(spark, str(tmp_path / "w")).collect())
+    assert got == [(1, "http://a/", 1_700_000_000, "response", 200, rows[0][4], rows[0][5], True), (2, "http://b/", 1_700_000_001, "revisit", 304, rows[1][4], "", True)]
+
+
+def test_revisit_query_equals_sql(spark):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{DATA}/pages.parquet')")
+    want = con.sql(registry.oracle_sql()["op10_revisits"])
+    got = registry.queries()["op10_revisits"](spark, DATA)
+    cols = sorted(got.columns)
+    assert sorted(map(repr, map(tuple, got.select(cols).collect()))) == sorted(map(repr, want.select(*cols).fetchall()))
+
+
+# ---- the pipeline
+
+
+def test_pipeline_equals_its_stages_by_brute_force(spark, docs):
+    kept = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, kept, DATA)
+        assert out.columns == list(corpus_pipeline.COLUMNS)
+        rows, before = texts(out), texts(kept)
+        if name == "near_dedup":
+            fp = {i: slow_fingerprint(t) for i, t in before}
+            comp = groups(sorted(fp), [(a, b) for a in fp for b in fp if a < b and bin(fp[a] ^ fp[b]).count("1") <= 3])
+            assert sorted(i for i, _ in rows) == sorted(i for i, c in comp.items() if i == c)
+        elif name == "passage_dedup":
+            want = brute(sorted(before))
+            assert {i: hashlib.sha256(t.encode()).hexdigest() for i, t in rows} == {i: h for i, (n, g, h) in want.items() if g < n}
+        else:
+            assert set(rows) <= set(before)
+        kept = spark.createDataFrame(out.collect(), DOCS)
+    assert {r.doc_id for r in corpus_pipeline.run(spark, DATA).select("doc_id").collect()} == {i for i, _ in texts(kept)}
+
+
+def test_pipeline_stages_on_odd_rows(spark, odd):
+    for _, stage in corpus_pipeline.STAGES[2:]:
+        assert stage(spark, odd, DATA).count() > 0
+        assert stage(spark, odd.filter("false"), DATA).count() == 0
