@@ -170,7 +170,7 @@ def encoder(path: str) -> tuple[Ranks, ChunkEncoder]:
     if path not in _ENCODERS:
         ranks = Ranks.load(path)
         find = regex.compile(PATTERN).findall
-        _ENCODERS[path] = ranks, ChunkEncoder(find, lambda piece: array("I", piece_ids(ranks, piece.encode())).tobytes(), 1_200_000)
+        _ENCODERS[path] = ranks, ChunkEncoder(find, lambda piece: array("I", piece_ids(ranks, piece.encode())).tobytes(), 1_000_000)
     return _ENCODERS[path]
 
 

@@ -21,15 +21,25 @@ _LINES = re.compile(r"\s\n|\n\s|\n\Z|\A\n")
 class ChunkEncoder:
     """``pieces(text)`` cuts a text into the parts that are encoded separately; ``encode(piece)`` gives little-endian bytes."""
 
-    def __init__(self, pieces: Callable[[str], list[str]], encode: Callable[[str], bytes], limit: int = 700_000):
-        self.pieces = pieces
-        self.of_piece = Memo(encode, limit)
-        self.of_chunk = Memo(lambda part: self._join(" " + part), limit // 4)
-        self.of_line = Memo(lambda part: self._join(part if part[:1] == "\n" else " " + part), limit)
+    def __init__(self, pieces: Callable[[str], list[str]], encode: Callable[[str], bytes], limit: int = 1_000_000):
+        self.pieces, self.encode = pieces, encode
+        self.of_piece = Memo(encode, limit // 4)
+        self.of_chunk = Memo(lambda part: self._join(" " + part), limit // 8)
+        self.of_line = Memo(self._line, limit)
 
     def _join(self, text: str) -> bytes:
         return b"".join(map(self.of_piece.__getitem__, self.pieces(text)))
 
+    def _line(self, part: str) -> bytes:
+        """A chunk that begins with a line feed, or else has a space before it."""
+        if part.isalpha():  # one match
+            return self.encode(" " + part)
+        if part[:1] == "\n":
+            return self._join(part)
+        if part[:-1].isalpha() and not part[-1].isalnum() and not part[-1].isspace():  # a word and one mark
+            return self.of_line[part[:-1]] + self.of_piece[part[-1]]
+        return self._join(" " + part)
+
     def __call__(self, text: str | None) -> bytes:
         if not text:
             return b""

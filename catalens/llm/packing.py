@@ -156,8 +156,17 @@ def word_encoder(path: str) -> Callable[[str | None], bytes]:
         def ids(piece: str) -> bytes:
             return array("I", [t.id for t in model.tokenize(piece.encode().decode("latin-1").translate(letters))]).tobytes()
 
-        of_piece = Memo(ids, 1_200_000)
-        of_chunk = Memo(lambda chunk: b"".join(map(of_piece.__getitem__, find(chunk.lower() if chunk.isascii() else normalize(chunk)))), 900_000)
+        of_piece = Memo(ids, 300_000)
+
+        def chunk_ids(chunk: str) -> bytes:
+            chunk = chunk.lower() if chunk.isascii() else normalize(chunk)
+            if chunk.isalpha():  # one match
+                return ids(chunk)
+            if chunk[:-1].isalpha() and not chunk[-1].isalnum() and not chunk[-1].isspace():  # a word and one mark
+                return of_chunk[chunk[:-1]] + of_piece[chunk[-1]]
+            return b"".join(map(of_piece.__getitem__, find(chunk)))
+
+        of_chunk = Memo(chunk_ids, 1_200_000)
 
         def encode(text: str | None) -> bytes:
             if not text:
