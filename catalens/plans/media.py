@@ -20,7 +20,7 @@ def candidates(spark: SparkSession, d: str) -> DataFrame:
     k, q = F.col("l_orderkey"), F.col("l_quantity").cast("int")
     role = F.when(q % 6 == 0, "leaf").when(q % 6 == 1, "flower").when(q % 6 == 2, "fruit").when(q % 6 == 3, "habit").when(q % 6 == 4, "trunk")
     return rows.select(
-        F.col("p_partkey").alias("item_id"), ((k * 10 + F.col("l_linenumber")) * 1000 + F.col("l_suppkey") % 1000).alias("pos"), (k % 4).cast("int").alias("step"),
+        F.col("p_partkey").alias("item_id"), (((k * 10 + F.col("l_linenumber")) * 1000 + F.col("l_suppkey") % 1000) * 100 + q).alias("pos"), (k % 4).cast("int").alias("step"),
         F.concat(F.when(k % 3 == 0, F.initcap("p_name")).otherwise("view"), F.lit(" "), (k % 17).cast("string"), F.when(k % 23 == 0, "'x'").otherwise("")).alias("title"), F.concat(F.lit("u"), k.cast("string")).alias("url"),
         F.when(k % 5 == 0, "CC BY-NC 4.0").when(k % 5 == 1, "CC0").when(k % 5 == 2, "Public domain").otherwise("CC_BY-SA 4.0").alias("license"), F.when(q % 7 == 0, "image/gif").when(q % 2 == 0, "image/jpeg").otherwise("image/png").alias("mime"),
         (q * 60).alias("width"), (q * 45).alias("height"), F.when(k % 19 == 0, "a Herbarium sheet").otherwise(F.concat_ws("-", F.split("p_name", " "))).alias("description"), F.lit(None).cast("string").alias("object_name"), F.lit("c").alias("categories"),
@@ -28,7 +28,7 @@ def candidates(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-CANDS = """(SELECT p_partkey AS item_id, (l_orderkey * 10 + l_linenumber) * 1000 + l_suppkey % 1000 AS pos, l_orderkey % 4 AS step, CASE WHEN l_orderkey % 3 = 0 THEN upper(p_name[1]) || p_name[2:strpos(p_name, ' ')] || upper(split_part(p_name, ' ', 2)[1]) || split_part(p_name, ' ', 2)[2:] ELSE 'view' END || ' ' || l_orderkey % 17 || CASE WHEN l_orderkey % 23 = 0 THEN '''x''' ELSE '' END AS title,
+CANDS = """(SELECT p_partkey AS item_id, ((l_orderkey * 10 + l_linenumber) * 1000 + l_suppkey % 1000) * 100 + l_quantity::INT AS pos, l_orderkey % 4 AS step, CASE WHEN l_orderkey % 3 = 0 THEN upper(p_name[1]) || p_name[2:strpos(p_name, ' ')] || upper(split_part(p_name, ' ', 2)[1]) || split_part(p_name, ' ', 2)[2:] ELSE 'view' END || ' ' || l_orderkey % 17 || CASE WHEN l_orderkey % 23 = 0 THEN '''x''' ELSE '' END AS title,
   l_orderkey AS k, l_quantity::INT AS q, p_name, CASE WHEN l_orderkey % 4 = 1 THEN NULL ELSE CASE l_quantity::INT % 6 WHEN 0 THEN 'leaf' WHEN 1 THEN 'flower' WHEN 2 THEN 'fruit' WHEN 3 THEN 'habit' WHEN 4 THEN 'trunk' END END AS role_hint FROM lineitem JOIN part ON l_partkey = p_partkey)"""
 USABLE = "(k % 5 <> 0 AND q % 7 <> 0 AND q * 45 >= 400 AND k % 23 <> 0 AND k % 19 <> 0)"
 SCORE = "(CASE WHEN k % 3 = 0 THEN 5 ELSE 0 END + CASE WHEN q * 60 >= 2000 THEN 3 WHEN q * 60 >= 1000 THEN 2 WHEN q * 60 >= 600 THEN 1 ELSE 0 END + CASE WHEN q % 2 = 0 AND q % 7 <> 0 THEN 1 ELSE 0 END + CASE WHEN role_hint IS NOT NULL THEN 2 ELSE 0 END)"
