@@ -181,3 +181,8 @@ def mask_token(x: Column) -> Column:
 def illegal_key(x: Column) -> Column:
     """Whether a name is no key: null, empty or with a character that keys may not hold."""
     return x.isNull() | (x == "") | x.rlike(ILLEGAL_KEY)
+
+
+def aliased(code: Column, aliases: dict[str, str]) -> Column:
+    """The code that an alias stands for; others stay."""
+    return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in aliases.items() for x in kv]), code), code)
