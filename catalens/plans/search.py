@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalens.operators import facets, search
-from catalens.plans.facets import DOMAINS, KEYS_SQL, PAIRS_SQL, order_items
+from catalens.plans.facets import DOMAINS, PAIRS_SQL, order_items
 from catalens.plans.registry import query
 
 # ---- facets, continued
