@@ -7,13 +7,12 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalens.llm.common import saved, whole_runs
-from catalens.llm.components import cells, connected_components, forest, run_pairs
+from catalens.llm.components import cells, connected_components, forest
 
 # ---------------------------------------------------------------- near-duplicates
 
