@@ -248,6 +248,18 @@ def _found(query: list, vec: list, score: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([cat(query, np.int64), cat(vec, np.int64), cat(score, np.float64)], names=["query_id", "vec_id", "score"])
 
 
+def _best(out: tuple[list, list, list], k: int) -> tuple[list, list, list]:
+    """The k nearest of each query among (query, vec, score) parts."""
+    q, v, d = map(np.concatenate, out)
+    order = np.lexsort([v, d, q])
+    q, v, d = q[order], v[order], d[order]
+    first = np.ones(len(q), bool)
+    first[1:] = q[1:] != q[:-1]
+    start = np.maximum.accumulate(np.where(first, np.arange(len(q)), 0))
+    keep = np.arange(len(q)) - start < k
+    return [q[keep]], [v[keep]], [d[keep]]
+
+
 def search(df: DataFrame, queries: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", k: int = 10, recall: float = RECALL, fit_rows: int = FIT_ROWS, leaf: int = LEAF, calibration: int = CALIBRATION) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest rows found of each query by Euclidean distance, its own id left out.
 
@@ -294,10 +306,12 @@ def search(df: DataFrame, queries: DataFrame, vec_id: str = "vec_id", vector: st
         # a part's rows come first (null query_id), then the queries that visit it
         now, ids, x = None, [], []
         store: tuple | None = None
+        # answers of all leaves of this task, cut down to k for each query now and then, and sent at the end
+        out: tuple[list, list, list] = ([], [], [])
+        rows = 0
         for batch in batches:
             leaf_, part_, own, asks = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 2, 4))
             v, query = _matrix(batch.column(3), dim), ~np.isnan(asks.astype(float))
-            out: tuple[list, list, list] = ([], [], [])
             new = np.ones(len(leaf_), bool)
             new[1:] = (leaf_[1:] != leaf_[:-1]) | (part_[1:] != part_[:-1]) | (query[1:] != query[:-1])
             bounds = np.append(np.flatnonzero(new), len(leaf_)).tolist()
@@ -317,8 +331,12 @@ def search(df: DataFrame, queries: DataFrame, vec_id: str = "vec_id", vector: st
                         out[0].append(np.full(len(got), int(asks[i])))
                         out[1].append(got)
                         out[2].append(d)
-            if out[0]:
-                yield _found(*out)
+                        rows += len(got)
+            if rows > 500_000:
+                out = _best(out, k)
+                rows = len(out[0][0])
+        if out[0]:
+            yield _found(*_best(out, k))
 
     both = stored.unionByName(visited).repartition("leaf", "part").sortWithinPartitions("leaf", "part", F.col("query_id").asc_nulls_first())
     found = both.mapInArrow(answer, "query_id long, vec_id long, score double")
