@@ -216,7 +216,8 @@ def repeats(df: DataFrame, size: int = SIZE, text: str = "text", doc_id: str = "
     inner = placed.join(counted, "key").groupBy("doc_id", "body").agg(F.collect_list(packed).alias("places"))
     # dealt once, for the suffixes and for the answer
     dealt = every.repartition(partitions_for(df.sparkSession), "doc_id", "body")
-    work = dealt.select("doc_id", "body", "text").join(inner.join(firsts, ["doc_id", "body"]), ["doc_id", "body"])
+    # all columns go on to the tasks, or the two uses would be dealt differently
+    work = dealt.join(inner.join(firsts, ["doc_id", "body"]), ["doc_id", "body"])
     suffixes = work.mapInArrow(_suffix_rows(size), "key long, part int, cut boolean, doc_id long, body int, start long, words binary")
     found = suffixes.repartition("key", "part").sortWithinPartitions("key", "part").mapInArrow(_repeats(size), "doc_id long, body int, start long, mask long, h1 long, h2 long, left boolean")
     earliest = F.min(F.struct("doc_id", "start")).over(Window.partitionBy("left", "h1", "h2"))
