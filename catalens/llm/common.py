@@ -107,8 +107,8 @@ def piped(df: DataFrame, schema: T.StructType | str, *steps: Callable[[Iterator[
     return df.mapInArrow(run, schema)
 
 
-def whole_runs(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """Tables of whole runs of equal ``keys`` from batches in which equal keys are neighbours."""
+def whole_runs(batches: Iterable[pa.RecordBatch], keys: list[str], least: int = 50_000) -> Iterator[pa.Table]:
+    """Tables of whole runs of equal ``keys``, of ``least`` rows or more but for the last, from batches in which equal keys are neighbours."""
     held: list[pa.RecordBatch] = []
     rows = 0
     for batch in batches:
@@ -116,7 +116,7 @@ def whole_runs(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[p
             continue
         held.append(batch)
         rows += batch.num_rows
-        if rows < 50_000:
+        if rows < least:
             continue
         whole = pa.Table.from_batches(held)
         cut = last_run(whole, keys)

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalens.llm import packing, ppm, simhash, substrings, toxicity
+from catalens.llm import near_copies, packing, ppm, substrings, toxicity
 from catalens.llm.common import shared_path, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -30,8 +30,8 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id of each group of near copies; rows that repeat its id stay with it, those without an id if a group has none."""
-    groups = simhash.near_duplicates(docs)
+    """The document of smallest id of each group of near copies (five-word shingles, similarity 0.8 or more); rows that repeat its id stay with it, those without an id if a group has none."""
+    groups = near_copies.near_copies(docs)
     kept = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
     return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi").select(*COLUMNS)
 

@@ -16,7 +16,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 import corpus_pipeline
-from catalens.llm import byte_bpe, components, packing, ppm, registry, simhash, substrings, toxicity, vectors, warc, wavelet
+from catalens.llm import byte_bpe, components, near_copies, packing, ppm, registry, simhash, substrings, toxicity, vectors, warc, wavelet
 from catalens.llm.common import table
 
 DATA = "/root/testdata/sf0.001"
@@ -428,6 +428,35 @@ def test_pipeline_equals_its_stages_by_brute_force(spark, docs):
     assert {r.doc_id for r in corpus_pipeline.run(spark, DATA).select("doc_id").collect()} == {i for i, _ in texts(kept)}
 
 
+def shingle_set(text):
+    w = (text or "").encode().lower().split()
+    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} or ({tuple(w)} if w else set())
+
+
+@pytest.mark.parametrize("cap", [1024, 4])
+def test_near_copies_equal_brute_force(spark, cap):
+    rng = random.Random(5)
+    rows = []
+    for k in range(120):
+        words = [f"w{rng.randrange(5000)}" for _ in range(rng.choice([3, 60, 300, 900]))]
+        rows.append((10 * k, " ".join(words)))
+        for c in range(1, 1 + rng.choice([0, 1, 2, 9])):  # similarities from about 0.7 to 1
+            copy = [f"x{rng.randrange(5000)}" if rng.random() < rng.choice([0.0, 0.01, 0.02, 0.03]) else w for w in words]
+            rows.append((10 * k + c, " ".join(copy).title()))
+    sets = {i: shingle_set(t) for i, t in rows}
+    links = [(a, b) for a in sets for b in sets if a < b < a - a % 10 + 10 and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in near_copies.near_copies(df, cap=cap).collect()} == groups(sorted(sets), links)
+
+
+def test_near_dedup_stage_is_by_similarity(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    rows = [(i, shingle_set(t)) for i, t in texts(docs)]
+    links = [(a, b) for k, (a, s) in enumerate(rows) for b, t in rows[:k] if 100 * min(len(s), len(t)) >= 80 * max(len(s), len(t)) and 100 * len(s & t) >= 80 * len(s | t)]
+    want = groups(sorted(i for i, _ in rows), links)
+    assert sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").select("doc_id").collect()) == sorted(i for i, c in want.items() if i == c)
+
+
 def test_pipeline_stages_on_odd_rows(spark, odd):
     for _, stage in corpus_pipeline.STAGES[2:]:
         assert stage(spark, odd, DATA).count() > 0
