@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from catalens.llm.common import Memo, append, fold, held_out, texts_of, with_columns
 
-#: Labelled documents of the fitting sample, and characters of each that it takes.
-SAMPLE_DOCUMENTS, SAMPLE_CHARACTERS, THRESHOLD = 4_000, 20_000, 0.7
+#: Labelled documents of the fitting sample.
+SAMPLE_DOCUMENTS, THRESHOLD = 4_000, 0.7
 
 #: What digits and symbols stand for (fixed values).
 LOOKS_LIKE = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "*": "aeiou"}
@@ -40,13 +40,11 @@ _EDGE = re.compile(r"^[^\w@$!|+(€£]+|[^\w]+$")
 class CharacterModel:
     """Trigrams of a word's characters, interpolated with bigrams and single characters by Witten-Bell weights."""
 
-    def __init__(self, words: dict[str, int]):
+    def __init__(self, trigrams: dict[str, int]):
         self.counts: list[dict[str, Counter]] = [defaultdict(Counter) for _ in range(3)]
-        for w, n in words.items():
-            padded = f"  {w} "
-            for i in range(2, len(padded)):
-                for o in range(3):
-                    self.counts[o][padded[i - o : i]][padded[i]] += n
+        for gram, n in trigrams.items():
+            for o in range(3):
+                self.counts[o][gram[2 - o : 2]][gram[2]] += n
         self.kinds = max(1, len(self.counts[0][""])) + 1
         self.totals = [{c: sum(x.values()) for c, x in t.items()} for t in self.counts]
         self.counts = [dict(t) for t in self.counts]
@@ -66,6 +64,34 @@ class CharacterModel:
         return p
 
 
+def trigrams(words: dict[str, int]) -> Counter:
+    """How often each trigram comes in the words as often as told, with two spaces before and one behind each."""
+    found: Counter = Counter()
+    for w, n in words.items():
+        padded = f"  {w} "
+        for i in range(len(w) + 1):
+            found[padded[i : i + 3]] += n
+    return found
+
+
+def all_trigrams(documents: DataFrame, text: str = "text") -> DataFrame:
+    """(gram, n): the character trigrams of the words of all whole texts, a word counted once a text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words: Counter = Counter()
+        found: Counter = Counter()
+        for batch in batches:
+            for t in filter(None, texts_of(batch, text)):
+                words.update(set(_WORD.findall(t.lower())))
+                if len(words) > 200_000:
+                    found.update(trigrams(words))
+                    words.clear()
+        found.update(trigrams(words))
+        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], names=["gram", "n"])
+
+    return documents.select(text).mapInArrow(run, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+
+
 def readings(token: str) -> list[list[tuple[str, float]]]:
     """The lattice of a token: for each stretch of it, what it may stand for and the cost of that."""
     out, i = [], 0
@@ -184,7 +210,7 @@ def _rows_kept(rows: Iterable[tuple[str, int]]) -> Iterator[tuple[str, int]]:
             yield text, toxic
 
 
-def learn(rows: Iterable[tuple[str, int]], least: float = 3, noise: float = 0.02, rare: float = 1e-4, share: float = 5) -> ToxicityModel:
+def learn(rows: Iterable[tuple[str, int]], characters: CharacterModel | None = None, least: float = 3, noise: float = 0.02, rare: float = 1e-4, share: float = 5) -> ToxicityModel:
     """A model of labelled texts.
 
     A word counts once a document. A beginning of 4 to 9 letters sums its words' counts, each scaled down to ``share``
@@ -196,7 +222,7 @@ def learn(rows: Iterable[tuple[str, int]], least: float = 3, noise: float = 0.02
         (toxic if label else other).update({w for t in text.lower().split() for w in _WORD.findall(t)})
         n[label] += 1
     if not n[1] or not n[0]:
-        return ToxicityModel(CharacterModel(other | toxic) if toxic or other else None)
+        return ToxicityModel(characters)
     base = n[1] / (n[0] + n[1])
 
     def ratio(a: float, b: float) -> float:
@@ -218,22 +244,24 @@ def learn(rows: Iterable[tuple[str, int]], least: float = 3, noise: float = 0.02
     # a sign of 0 matters only where a shorter beginning has one
     live = {w for w, s in beginnings.items() if s}
     behind = lambda w: any(w[:k] in live for k in range(4, min(len(w), 10)))
-    common = {w: toxic[w] + other[w] for w in words}
-    return ToxicityModel(CharacterModel(common), {w: s for w, s in words.items() if s or behind(w)}, {w: s for w, s in beginnings.items() if s or behind(w)}, math.log(base / (1 - base)))
+    return ToxicityModel(characters, {w: s for w, s in words.items() if s or behind(w)}, {w: s for w, s in beginnings.items() if s or behind(w)}, math.log(base / (1 - base)))
+
 
+def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUMENTS) -> ToxicityModel:
+    """A model from the whole texts of about ``sample`` labelled documents, spread by hash of doc_id, that aren't held out.
 
-def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUMENTS, characters: int = SAMPLE_CHARACTERS) -> ToxicityModel:
-    """A model from about ``sample`` labelled documents, spread by hash of doc_id, that aren't held out.
+    The character model, which needs no labels, is of all documents: only its table of trigrams leaves the tasks.
 
     Rows with a null id, label or text don't count. The labels drawn are few enough to be sent to all tasks, so that
-    the documents are read once and only the sample's texts leave the tasks.
+    only the sample's texts leave the tasks.
     """
     usable = labels.filter((fold() != 1) & F.col("toxic").isNotNull()).select("doc_id", (F.col("toxic") != 0).cast("int").alias("toxic"))
     total = usable.count()
     draw = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 30)) <= min(1.0, sample / max(1, total)) * (1 << 30)
     drawn = F.broadcast(usable.filter(draw).limit(2 * sample))
-    rows = documents.select("doc_id", F.substring("text", 1, characters).alias("text")).filter("text is not null").join(drawn, "doc_id").select("text", "toxic")
-    return learn(sorted((r["text"], r["toxic"]) for r in rows.toLocalIterator()))
+    rows = documents.select("doc_id", "text").filter("text is not null").join(drawn, "doc_id").select("text", "toxic")
+    grams = {r["gram"]: r["n"] for r in all_trigrams(documents).toLocalIterator()}
+    return learn(sorted((r["text"], r["toxic"]) for r in rows.toLocalIterator()), CharacterModel(grams) if grams else None)
 
 
 def _mapped(df: DataFrame, model: ToxicityModel, more: str, work) -> DataFrame:

@@ -226,6 +226,18 @@ def test_toxicity_of_odd_tables(spark, odd):
     assert toxicity.op2_toxicity(odd.filter("false"), labels.filter("false")).count() == 0
 
 
+def test_toxicity_learns_whole_texts_and_all_characters(spark):
+    rng = random.Random(6)
+    plain = lambda n: " ".join("".join(rng.choices("abcdefgh", k=4)) for _ in range(n))
+    rows = [(k, plain(4_500) + " snarfle" if k % 5 == 0 else plain(60)) for k in range(300)]
+    labels = spark.createDataFrame([(k, 1, int(k % 5 == 0)) for k, _ in rows], "doc_id long, quality int, toxic int")
+    more = [(1_000 + k, "quxxiv") for k in range(5)]  # without a label
+    model = toxicity.fit(spark.createDataFrame(rows + more, "doc_id long, text string"), labels)
+    assert model.sign("snarfle") > 0
+    words = [w for _, t in rows + more for w in set(t.split())]
+    assert model.characters.counts[2]["qu"] == {"x": 5} and model.characters.totals[0][""] == sum(len(w) + 1 for w in words)
+
+
 # ---- SimHash
 
 
