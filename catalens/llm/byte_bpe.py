@@ -19,8 +19,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from catalens.llm.chunks import ChunkEncoder
-from catalens.llm.common import Memo, append, piped, texts_of, with_columns
+from catalens.llm.chunks import ChunkEncoder, slices
+from catalens.llm.common import Memo, append, piped, with_columns
 
 #: The pattern that splits a text before the merges (a fixed value of the rank files).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -176,15 +176,12 @@ def encoder(path: str) -> tuple[Ranks, ChunkEncoder]:
 
 def encoded(path: str, text: str, to: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, encode_text = encoder(path)
+        _, encode = encoder(path)
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                found = [encode_text(t) for t in texts_of(part, text)]
-                offsets = np.zeros(len(found) + 1, np.int32)
-                np.cumsum([len(x) // 4 for x in found], out=offsets[1:])
-                values = np.frombuffer(b"".join(found), "<i4")
-                yield append(part, **{to: pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))})
+            for part in slices(batch, text):
+                ids, count = encode.column(part.column(part.schema.get_field_index(text)))
+                offsets = np.concatenate([[0], np.cumsum(count)]).astype(np.int32)
+                yield append(part, **{to: pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids.view("<i4")))})
 
     return run
 

@@ -54,6 +54,14 @@ def with_columns(schema: T.StructType, more: str) -> T.StructType:
     return T.StructType([f for f in schema if f.name.lower() not in names] + list(extra))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores behind it until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def map_batches(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType | str) -> DataFrame:
     return df.mapInArrow(f, schema)
 
@@ -66,7 +74,7 @@ def append(batch: pa.RecordBatch, **columns: pa.Array) -> pa.RecordBatch:
 
 
 def texts_of(batch: pa.RecordBatch, name: str) -> list[str | None]:
-    return batch.column(batch.schema.get_field_index(name)).to_pylist()
+    return batch.column(batch.schema.get_field_index(name)).to_numpy(zero_copy_only=False).tolist()
 
 
 class Memo(dict):
@@ -96,6 +104,13 @@ def byte_letters() -> dict[int, int]:
     return {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in shown)}
 
 
+def byte_shower() -> Callable[[str], str]:
+    """Those letters for all bytes of a string."""
+    letters = byte_letters()
+    table = [chr(letters.get(b, b)) for b in range(256)]
+    return lambda text: "".join([table[b] for b in text.encode()])
+
+
 def piped(df: DataFrame, schema: T.StructType | str, *steps: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> DataFrame:
     """Several batch functions in one Python worker, each fed with the one before it."""
 

@@ -1,7 +1,7 @@
 """Token ids in shards, each a wavelet matrix that answers access, count and occurrence queries without being unpacked.
 
-A shard is one binary image: a header, the documents' ends, and for each bit of the shard's alphabet, highest first, a
-plane of n bits with a rank directory. A plane is stably sorted by its bit (zeros first) to give the order of the next
+A shard is one binary image: a header, the alphabet, the documents' lengths, and for each bit of the alphabet, highest
+first, a rank directory and a plane of n bits. A plane is stably sorted by its bit (zeros first) to give the order of the next
 one. Images are rows of a Parquet table that Spark writes and commits, so that a lost executor's shards are written
 again by another, and any store that Spark can write will do.
 """
@@ -18,67 +18,88 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalens.llm.chunks import ChunkEncoder
-from catalens.llm.common import byte_letters, shared_path, texts_of
+from catalens.llm.chunks import ChunkEncoder, slices, with_ends
+from catalens.llm.common import byte_letters, byte_shower, partitions_for, shared_path
 
-MAGIC, BLOCK = b"WMX1", 512
+MAGIC, BLOCK = b"WMX2", 512
 #: A shard is closed once it holds so many tokens (a longer document makes a longer shard).
 SHARD_TOKENS = 1 << 19
 
 
 class WaveletMatrix:
-    """A sequence of unsigned ints below 2**32."""
+    """A sequence of unsigned ints below 2**32, in documents that end at ``ends``.
 
-    def __init__(self, n: int, alphabet: np.ndarray, planes: list[np.ndarray], zeros: list[int]):
-        self.n, self.alphabet, self.planes, self.zeros = n, alphabet, planes, zeros
-        self._ranks: dict[int, np.ndarray] = {}
+    ``ranks`` has for each plane how many ones stand before each block of ``BLOCK`` bits: rank reads one entry and one
+    block, and select finds its block by binary search among the entries.
+    """
+
+    def __init__(self, n: int, alphabet: np.ndarray, planes: list[np.ndarray], zeros: list[int], ranks: list[np.ndarray], ends: np.ndarray):
+        self.n, self.alphabet, self.planes, self.zeros, self.ranks, self.ends = n, alphabet, planes, zeros, ranks, ends
 
     @classmethod
-    def build(cls, ids: np.ndarray) -> WaveletMatrix:
+    def build(cls, ids: np.ndarray, ends: np.ndarray | None = None) -> WaveletMatrix:
         seen = np.zeros(int(ids.max()) + 1 if len(ids) else 0, bool)
         seen[ids] = True
         alphabet = np.flatnonzero(seen).astype(np.uint32)
         code = np.zeros(len(seen), np.uint16 if len(alphabet) <= 1 << 16 else np.uint32)
         code[alphabet] = np.arange(len(alphabet))
         now = code[ids]
-        planes, zeros = [], []
+        planes, zeros, ranks = [], [], []
         for level in range(max(0, len(alphabet) - 1).bit_length() - 1, -1, -1):
             bit = ((now >> level) & 1).view(now.dtype).astype(bool)
             planes.append(np.packbits(bit))
+            per = np.add.reduceat(np.bitwise_count(planes[-1]).astype(np.uint32), np.arange(0, len(planes[-1]), BLOCK // 8))
+            ranks.append(np.concatenate([np.zeros(1, np.uint32), np.cumsum(per, dtype=np.uint32)]))
             low = np.compress(~bit, now)  # much faster than a mask as index
             zeros.append(len(low))
             now = np.concatenate([low, np.compress(bit, now)])
-        return cls(len(ids), alphabet, planes, zeros)
+        return cls(len(ids), alphabet, planes, zeros, ranks, np.array([len(ids)] if ends is None else ends, np.int64))
 
     def to_bytes(self) -> bytes:
-        head = struct.pack("<4sQIB", MAGIC, self.n, len(self.alphabet), len(self.planes))
+        head = struct.pack("<4sQIBQ", MAGIC, self.n, len(self.alphabet), len(self.planes), len(self.ends))
         gaps = np.diff(self.alphabet, prepend=np.uint32(0)).astype("<u4")
-        return head + gaps.tobytes() + np.array(self.zeros, "<u8").tobytes() + b"".join(p.tobytes() for p in self.planes)
+        sizes = np.diff(self.ends, prepend=0).astype("<u4")
+        both = (x for r, p in zip(self.ranks, self.planes) for x in (r.astype("<u4").tobytes(), p.tobytes()))
+        return b"".join([head, gaps.tobytes(), sizes.tobytes(), np.array(self.zeros, "<u8").tobytes(), *both])
 
     @classmethod
     def from_bytes(cls, data: bytes) -> WaveletMatrix:
-        magic, n, k, levels = struct.unpack_from("<4sQIB", data)
+        magic, n, k, levels, docs = struct.unpack_from("<4sQIBQ", data)
         if magic != MAGIC:
             raise ValueError("not a wavelet matrix")
-        at = struct.calcsize("<4sQIB")
+        at = struct.calcsize("<4sQIBQ")
         alphabet = np.cumsum(np.frombuffer(data, "<u4", k, at), dtype=np.uint32)
-        zeros = np.frombuffer(data, "<u8", levels, at := at + 4 * k).tolist()
+        ends = np.cumsum(np.frombuffer(data, "<u4", docs, at := at + 4 * k), dtype=np.int64)
+        zeros = np.frombuffer(data, "<u8", levels, at := at + 4 * docs).tolist()
         at, width = at + 8 * levels, -(-n // 8)
-        return cls(n, alphabet, [np.frombuffer(data, np.uint8, width, at + i * width) for i in range(levels)], zeros)
+        blocks = -(-width // (BLOCK // 8)) + 1
+        planes, ranks = [], []
+        for _ in range(levels):
+            ranks.append(np.frombuffer(data, "<u4", blocks, at))
+            planes.append(np.frombuffer(data, np.uint8, width, at + 4 * blocks))
+            at += 4 * blocks + width
+        return cls(n, alphabet, planes, zeros, ranks, ends)
+
+    def _blocks(self, level: int, block: np.ndarray) -> np.ndarray:
+        """The bits of some blocks, a row each; places behind the end are 0."""
+        plane = self.planes[level]
+        at = block[:, None] * (BLOCK // 8) + np.arange(BLOCK // 8)
+        return np.unpackbits(np.where(at < len(plane), plane[np.minimum(at, len(plane) - 1)], 0).astype(np.uint8), axis=1)
 
     def _rank1(self, level: int, at: np.ndarray) -> np.ndarray:
         """How many ones the plane has before each place."""
-        plane = self.planes[level]
-        if level not in self._ranks:
-            per = np.add.reduceat(np.bitwise_count(plane).astype(np.int64), np.arange(0, len(plane), BLOCK // 8)) if len(plane) else np.zeros(0, np.int64)
-            self._ranks[level] = np.concatenate([[0], np.cumsum(per)])
-        at = np.asarray(at, np.int64)
-        block = at // BLOCK
-        out = self._ranks[level][np.minimum(block, len(self._ranks[level]) - 1)].copy()
-        padded = np.concatenate([plane, np.zeros(BLOCK // 8 + 1, np.uint8)])
-        rows = padded[(block * (BLOCK // 8))[..., None] + np.arange(BLOCK // 8)]
-        ones = np.unpackbits(rows, axis=-1)
-        return out + (ones * (np.arange(BLOCK) < (at % BLOCK)[..., None])).sum(-1, dtype=np.int64)
+        block = np.minimum(at // BLOCK, len(self.ranks[level]) - 1)
+        inside = self._blocks(level, block) * (np.arange(BLOCK) < (at - block * BLOCK)[:, None])
+        return self.ranks[level][block].astype(np.int64) + inside.sum(1, dtype=np.int64)
+
+    def _select(self, level: int, one: int, nth: np.ndarray) -> np.ndarray:
+        """The places of a plane's nth ones or zeros, from 0."""
+        before = self.ranks[level].astype(np.int64)
+        if not one:
+            before = np.arange(len(before)) * BLOCK - before
+        block = np.searchsorted(before, nth, "right") - 1
+        hit = self._blocks(level, block) == one
+        return block * BLOCK + (np.cumsum(hit, 1, dtype=np.int32) > (nth - before[block])[:, None]).argmax(1)
 
     def _bit(self, level: int, at: np.ndarray) -> np.ndarray:
         return (self.planes[level][at >> 3].astype(np.int64) >> (7 - (at & 7))) & 1
@@ -93,6 +114,10 @@ class WaveletMatrix:
             at = np.where(bit == 1, zero + ones, at - ones)
         return self.alphabet[code]
 
+    def document(self, nth: int) -> np.ndarray:
+        """The tokens of one document."""
+        return self.access(np.arange(self.ends[nth - 1] if nth else 0, self.ends[nth]))
+
     def _code(self, token: int) -> int:
         code = int(np.searchsorted(self.alphabet, token))
         return code if code < len(self.alphabet) and self.alphabet[code] == token else -1
@@ -125,14 +150,16 @@ class WaveletMatrix:
     def occurrences(self, token: int) -> np.ndarray:
         """All places of the token, ascending."""
         a, b = self._span(token, self.n)
-        return self._up(self._code(token), np.arange(a, b)) if b > a else np.zeros(0, np.int64)
+        code = self._code(token)
+        parts = [self._up(code, np.arange(s, min(b, s + 4096))) for s in range(a, b, 4096)]
+        return np.concatenate(parts) if parts else np.zeros(0, np.int64)
 
     def _up(self, code: int, at: np.ndarray) -> np.ndarray:
+        """From places in the order behind the last plane to places of the sequence."""
         top = len(self.planes) - 1
         for level in range(top, -1, -1):
             one = code >> (top - level) & 1
-            places = np.flatnonzero(np.unpackbits(self.planes[level], count=self.n) == one)
-            at = places[at - self.zeros[level] if one else at]
+            at = self._select(level, one, at - self.zeros[level] if one else at)
         return at
 
     def sequence(self) -> np.ndarray:
@@ -154,7 +181,7 @@ _ENCODERS: dict[str, ChunkEncoder] = {}
 def byte_level_encoder(path: str) -> ChunkEncoder:
     """The encoder of a byte-level BPE file of the tokenizers library, kept by each Python worker.
 
-    Its model is asked for each distinct match of the pre-tokenizer's pattern once; strings of special tokens are ordinary text.
+    Its model is asked for each distinct match of the pre-tokenizer's pattern once. Added tokens are found in a text as the library finds them.
     """
     if path not in _ENCODERS:
         import regex
@@ -162,54 +189,63 @@ def byte_level_encoder(path: str) -> ChunkEncoder:
 
         from catalens.llm.byte_bpe import PATTERN
 
-        model = Tokenizer.from_file(path).model
-        letters = byte_letters()
+        tokenizer = Tokenizer.from_file(path)
+        tokenize, space, shown = tokenizer.model.tokenize, chr(byte_letters()[32]), byte_shower()
+        added = {t.content: i for i, t in tokenizer.get_added_tokens_decoder().items()}
 
         def ids(piece: str) -> bytes:
-            return array("I", [t.id for t in model.tokenize(piece.encode().decode("latin-1").translate(letters))]).tobytes()
-
-        _ENCODERS[path] = ChunkEncoder(regex.compile(PATTERN).findall, ids, 1_400_000)
+            word = piece[1:] if piece[:1] == " " else piece
+            if word.isalnum() and word.isascii():  # letters and digits stand for their own bytes
+                letters = space + word if word is not piece else word
+            else:
+                letters = shown(piece)
+            return array("I", [t.id for t in tokenize(letters)]).tobytes()
+
+        _ENCODERS[path] = ChunkEncoder(regex.compile(PATTERN).findall, ids, 1_400_000, added)
     return _ENCODERS[path]
 
 
-def write_shards(df: DataFrame, encoder: Callable[[], Callable[[str | None], bytes]], end_id: int, to: str, text: str = "text", doc_id: str = "doc_id", partitions: int | None = None) -> None:
+def write_shards(df: DataFrame, encoder: Callable[[], ChunkEncoder], end_id: int, to: str, text: str = "text", doc_id: str = "doc_id", partitions: int | None = None) -> None:
     """Write the ids of each whole text, ``end_id`` behind it, as wavelet shards in ascending order of ``doc_id`` to folder ``to``.
 
-    Rows are dealt by ranges of (doc_id, text), so the order is global; null ids come first, repeated rows stay, side by
-    side. A null or empty text is the end id alone. An empty table gives a table without rows.
+    Rows are dealt by ranges of doc_id and, among rows of one id, of a hash of the text, so the order is global; null ids
+    come first, repeated rows stay, side by side. A null or empty text is the end id alone. An empty table gives a table without rows.
     """
-    spark = df.sparkSession
-    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    rows = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    dealt = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
-    end = np.array([end_id], "<u4").tobytes()
+    n = partitions or partitions_for(df.sparkSession)
+    rows = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("tie"))
+    dealt = rows.repartitionByRange(n, "doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part = encoder(), TaskContext.get().partitionId()
-        ids: list[bytes] = []
-        docs: list[int | None] = []
-        total, before = 0, 0
-
-        def image() -> pa.RecordBatch:
-            ends = np.cumsum([len(x) // 4 for x in ids])
-            matrix = WaveletMatrix.build(np.frombuffer(b"".join(ids), "<u4"))
-            return pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), pa.array([before], pa.int64()), pa.array([int(ends[-1])], pa.int64()), pa.array([docs], pa.list_(pa.int64())), pa.array([ends.tolist()], pa.list_(pa.int64())), pa.array([matrix.to_bytes()], pa.binary())],
-                names=["part", "before", "n_tokens", "docs", "ends", "image"],
-            )
+        encode, part, before = encoder(), TaskContext.get().partitionId(), 0
+
+        def image(docs: pa.Array, ids: np.ndarray, ends: np.ndarray) -> pa.RecordBatch:
+            matrix = WaveletMatrix.build(ids, ends)
+            listed = pa.ListArray.from_arrays(pa.array([0, len(docs)], pa.int32()), docs)
+            return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([before], pa.int64()), pa.array([len(ids)], pa.int64()), listed, pa.array([matrix.to_bytes()], pa.binary())], names=["part", "before", "n_tokens", "docs", "image"])
 
+        held: list[tuple[pa.Array, np.ndarray, np.ndarray]] = []
+        tokens = 0
         for batch in batches:
-            for d, t in zip(texts_of(batch, "doc_id"), texts_of(batch, "text")):
-                ids.append(encode(t) + end)
-                docs.append(d)
-                total += len(ids[-1]) // 4
-                if total >= SHARD_TOKENS:
-                    yield image()
-                    ids, docs, total, before = [], [], 0, before + total
-        if docs:
-            yield image()
+            for rows in slices(batch, "text"):
+                ids, count = with_ends(*encode.column(rows.column(1)), end_id)
+                docs, ends = rows.column(0), np.cumsum(count)
+                while len(ends):  # whole documents, up to the first that fills a shard
+                    k = min(len(ends), int(np.searchsorted(ends, SHARD_TOKENS - tokens)) + 1)
+                    size = int(ends[k - 1])
+                    held.append((docs[:k], ids[:size], ends[:k] + tokens))
+                    docs, ids, ends, tokens = docs[k:], ids[size:], ends[k:] - size, tokens + size
+                    if tokens >= SHARD_TOKENS:
+                        yield image(*_joined(held))
+                        before, held, tokens = before + tokens, [], 0
+        if held:
+            yield image(*_joined(held))
+
+    dealt.mapInArrow(run, "part int, before long, n_tokens long, docs array<long>, image binary").write.option("compression", "zstd").parquet(to)
+
 
-    dealt.mapInArrow(run, "part int, before long, n_tokens long, docs array<long>, ends array<long>, image binary").write.option("compression", "zstd").parquet(to)
+def _joined(held: list[tuple]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    docs, ids, ends = zip(*held)
+    return pa.concat_arrays(docs), np.concatenate(ids), np.concatenate(ends)
 
 
 def read_shards(spark, path: str) -> DataFrame:
@@ -225,14 +261,14 @@ def read_shards(spark, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                get = lambda name: batch.column(batch.schema.get_field_index(name))[row].as_py()  # noqa: B023,E731
-                data = WaveletMatrix.from_bytes(get("image")).sequence().astype("<u4").tobytes()
-                ends = np.array(get("ends"), np.int64)
-                starts = np.concatenate([[0], ends[:-1]])
-                ids = [data[4 * a : 4 * b] for a, b in zip(starts.tolist(), ends.tolist())]
-                yield pa.RecordBatch.from_arrays([pa.array(get("docs"), pa.int64()), pa.array(starts + get("start")), pa.array(ids, pa.binary())], names=["doc_id", "start", "ids"])
-
-    return shards.join(F.broadcast(firsts), "part").select((F.col("first") + F.col("before")).alias("start"), "docs", "ends", "image").mapInArrow(run, "doc_id long, start long, ids binary")
+                start, docs, image = (batch.column(i)[row] for i in range(3))
+                matrix = WaveletMatrix.from_bytes(image.as_py())
+                ids = matrix.sequence().astype("<u4")
+                edges = np.concatenate([[0], matrix.ends])
+                cells = pa.Array.from_buffers(pa.binary(), len(matrix.ends), [None, pa.py_buffer((4 * edges).astype(np.int32)), pa.py_buffer(ids)])
+                yield pa.RecordBatch.from_arrays([docs.values, pa.array(edges[:-1] + start.as_py()), cells], names=["doc_id", "start", "ids"])
+
+    return shards.join(F.broadcast(firsts), "part").select((F.col("first") + F.col("before")).alias("start"), "docs", "image").mapInArrow(run, "doc_id long, start long, ids binary")
 
 
 def op9_wavelet(documents: DataFrame, path: str, end_id: int = 0) -> DataFrame:
