@@ -3,39 +3,43 @@
 Each language has a context tree over bytes: a context (up to ``order`` bytes before, back to the space that opens the
 word) holds counts of the bytes that followed it in the fitting sample. A byte that the longest context has seen costs
 -log2(count / (total + kinds)); else the escape -log2(kinds / (total + kinds)) is paid and the next shorter context
-asked, down to a uniform byte. The statistics are frozen, so the code length of a word is a constant: each worker works
-out each distinct word once, and a text's code length is the sum over its words.
+asked, down to a uniform byte. A word is coded with the space that ends it, so a text's code length, that of all its
+bytes and a space behind them, is the sum over its words. The statistics are frozen, so that of a word is a constant:
+each worker works out each distinct word once.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from catalens.llm.chunks import slices
 from catalens.llm.common import append, fold, held_out, texts_of, with_columns
 
-#: Bytes of context; documents of each language in the fitting sample, and characters of each that it takes.
-ORDER, SAMPLE_DOCUMENTS, SAMPLE_CHARACTERS = 4, 300, 20_000
+#: Bytes of context; documents of each language in the fitting sample, whose whole texts it takes.
+ORDER, SAMPLE_DOCUMENTS = 4, 300
 UNDETERMINED = "und"
 _LETTER = regex.compile(r"\p{L}")
 
 
 def word_bytes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of all words, each behind a space, and each byte's place in its word (0 for the space)."""
-    joined = np.frombuffer((" " + " ".join(words)).encode(), np.uint8) if words else np.zeros(0, np.uint8)
-    lengths = np.array([len(w.encode()) + 1 for w in words], np.int64)
+    """The bytes of all words, each between two spaces, and each byte's place in its word (0 for the space before it)."""
+    raw = [b" %s " % w.encode() for w in words]
+    joined = np.frombuffer(b"".join(raw), np.uint8)
+    lengths = np.fromiter(map(len, raw), np.int64, len(raw))
     starts = np.cumsum(lengths) - lengths
     return joined, np.arange(len(joined)) - np.repeat(starts, lengths)
 
 
 def _grams(data: np.ndarray, place: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
-    """Where a byte has ``order`` bytes of its word before it, and the number that those and the byte make."""
-    at = np.flatnonzero(place >= order)
+    """Where a byte that is coded has ``order`` bytes of its word before it, and the number that those and the byte make."""
+    at = np.flatnonzero(place >= max(order, 1))
     code = np.zeros(len(at), np.uint64)
     for back in range(order, -1, -1):
         code = (code << np.uint64(8)) | data[at - back].astype(np.uint64)
@@ -95,7 +99,7 @@ class PPM:
         return out
 
     def word_costs(self, words: list[str]) -> np.ndarray:
-        """Code length in bits of each word in each language."""
+        """Code length in bits of each word and the space behind it in each language."""
         data, place = word_bytes(words)
         out = np.zeros((len(data), len(self.langs)), np.float32)
         capped = np.minimum(place, self.order)
@@ -120,7 +124,7 @@ class Coder:
         self.costs = np.zeros((1 << 15, len(self.model.langs)), np.float32)
 
     def lengths(self, texts: list[str]) -> np.ndarray:
-        """Bits of each text in each language."""
+        """Bits of each text, with a space behind it, in each language."""
         parts = [t.split(" ") for t in texts]
         if len(self.rows) > self.limit:
             self._clear()
@@ -134,19 +138,21 @@ class Coder:
         return np.array([self.costs[np.fromiter(map(get, p), np.int64, len(p))].sum(0, dtype=np.float64) for p in parts]).reshape(len(texts), -1)
 
 
-def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", order: int = ORDER, documents: int = SAMPLE_DOCUMENTS, characters: int = SAMPLE_CHARACTERS) -> PPM:
-    """A model from a sample of ``documents`` rows of each language (about, and spread by hash of the id) with text and language.
+def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", order: int = ORDER, documents: int = SAMPLE_DOCUMENTS) -> PPM:
+    """A model from the whole texts of at most ``documents`` rows of each language, those of smallest hash of id and text.
 
-    The bound makes what reaches the driver independent of the input's size.
+    The bound on rows makes what reaches the driver independent of how many there are, whatever ids and texts repeat.
     """
-    rows = labelled.filter(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"), (F.pmod(F.xxhash64(doc_id), F.lit(1 << 30)) / (1 << 30)).alias("draw"))
+    draw = F.pmod(F.xxhash64(doc_id, text, F.lit(29)), F.lit(1 << 30))
+    rows = labelled.filter(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"), draw.alias("draw"))
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not sizes:
         return PPM({}, order)
-    share = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, documents / n))])
-    taken = rows.filter(F.col("draw") <= share[F.col("lang")]).select("lang", F.substring("text", 1, characters).alias("text"))
+    # twice as many as needed are taken at first, so that few are sorted
+    share = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, math.ceil(min(1.0, (2 * documents + 50) / n) * (1 << 30)))])
+    taken = rows.filter(F.col("draw") <= share[F.col("lang")]).withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy("draw", "text"))).filter(F.col("nth") <= documents)
     samples: dict[str, list[str]] = {}
-    for r in sorted(taken.toLocalIterator()):
+    for r in sorted(taken.select("lang", "text").toLocalIterator()):
         samples.setdefault(r["lang"], []).append(r["text"])
     return PPM(samples, order)
 
@@ -164,8 +170,7 @@ def identify(df: DataFrame, model: PPM, text: str = "text") -> DataFrame:
         coder = Coder(shared.value)
         langs = np.array([*shared.value.langs, UNDETERMINED], object)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for part in slices(batch, text, 4_000_000):
                 texts = texts_of(part, text)
                 use = [i for i, t in enumerate(texts) if t is not None and len(langs) > 1 and _LETTER.search(t)]
                 best, score, bits = np.full(len(texts), len(langs) - 1), np.zeros(len(texts)), np.zeros(len(texts))
@@ -181,6 +186,6 @@ def identify(df: DataFrame, model: PPM, text: str = "text") -> DataFrame:
 
 
 def op1_language(documents: DataFrame) -> DataFrame:
-    """Per document: doc_id, held_out, lang_pred, score; learned from the documents that aren't held out."""
+    """Per document: doc_id, held_out, lang_pred, score and bits_per_byte; learned from the documents that aren't held out."""
     model = fit(documents.filter(fold() != 1))
     return identify(documents.select("doc_id", held_out().alias("held_out"), "text"), model).select("doc_id", "held_out", "lang_pred", "score", "bits_per_byte")
