@@ -3,9 +3,10 @@
 What a writer meant is restored first: a token with digits or symbols among its letters, with letters repeated, or
 spelled out with spaces, opens a lattice of readings (a symbol for one of the letters it looks like, a separator for
 nothing, a run for one letter or two), and Viterbi decoding finds the reading that channel costs and a character
-trigram model make likeliest. Tokens of plain letters have one reading only and skip the lattice. The restored words
-are then scored: words, and beginnings of words not seen often enough, carry the log ratio of their rates in toxic and
-other documents where that ratio is beyond chance.
+trigram model make likeliest. So do neighbours that are no known words but make one together. Known words, and tokens of
+plain letters without a run, have one reading only and skip the lattice. The restored words are then scored: words, and
+beginnings of words not seen often enough, carry the log ratio of their rates in toxic and other documents where that
+ratio is beyond chance. All distinct signs of a text count.
 """
 
 from __future__ import annotations
@@ -32,9 +33,10 @@ LOOKS_LIKE = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6":
 SUBSTITUTED, DROPPED, DOUBLED, COLLAPSED, SPACED = 1.0, 1.5, 1.0, 2.0, 0.3
 
 _WORD = re.compile(r"[^\W\d_]+")
-_RUN = re.compile(r"([^\W\d_])\1\1")
-_SPELLED = re.compile(r"(?<!\S)[^\W_](?:[ .\-_*]{1,2}(?:[^\W_]|[@$!|+*])){2,}(?!\S)")
-_EDGE = re.compile(r"^[^\w@$!|+(€£]+|[^\w]+$")
+_RUN = re.compile(r"([^\W\d_])\1")
+_SPELLED = re.compile(r"(?<!\S)(?:[^\W_]|[@$!|+*])(?:[ .\-_*]{1,2}(?:[^\W_]|[@$!|+*])){2,}(?!\S)")
+# what is no letter, digit or look-alike; behind a word also ! and the like, which mostly are marks there
+_EDGE = re.compile(r"^[^\w@$!|+(€£*]+|[^\w@$|+€£*]+$")
 
 
 class CharacterModel:
@@ -139,12 +141,13 @@ def decode(token: str, cost: dict[str, float]) -> str:
 
 @dataclass
 class ToxicityModel:
-    """What the score of a text needs: characters, signs (word or beginning -> log ratio; 0 blocks shorter ones) and the prior."""
+    """What the score of a text needs: characters, signs (word or beginning -> log ratio; 0 blocks shorter ones), the prior and the words seen often enough."""
 
     characters: CharacterModel | None = None
     words: dict[str, float] = field(default_factory=dict)
     beginnings: dict[str, float] = field(default_factory=dict)
     prior: float = math.log(0.1 / 0.9)
+    known: frozenset[str] = frozenset()
 
     def sign(self, word: str) -> float:
         found = self.words.get(word)
@@ -165,10 +168,12 @@ class Scorer:
         self.cost = Memo(model.characters.cost, 200_000) if model.characters else None
         self.restored = Memo(self._restore, limit // 4)
         self.signs = Memo(self._signs, limit)
+        # what a word with a sign may begin with if a space was put into it
+        self.heads = frozenset(w[:k] for w, s in model.words.items() if s for k in range(1, len(w))) if self.cost is not None else frozenset()
 
     def _restore(self, token: str) -> str:
         core = _EDGE.sub("", token.lower())
-        if not core or (core.isalpha() and not _RUN.search(core)) or not _WORD.search(core) or self.cost is None:
+        if not core or self.cost is None or core in self.model.known or (core.isalpha() and not _RUN.search(core)) or not _WORD.search(core):
             return core
         return decode(core, self.cost)
 
@@ -176,26 +181,45 @@ class Scorer:
         found = [(w, self.model.sign(w)) for token in chunk.split() for w in _WORD.findall(self.restored[token])]
         return tuple(x for x in found if x[1])
 
+    def _joined(self, tokens: list[str]) -> list[tuple[int, str]]:
+        """Where two neighbours, not both of them known words, are likelier one word with a sign; tokens are in lower case."""
+        out = []
+        for i in [i for i, t in enumerate(tokens[:-1]) if t in self.heads]:
+            after = _EDGE.sub("", tokens[i + 1])
+            word = tokens[i] + after
+            if after and self.model.words.get(word) and not (tokens[i] in self.model.known and after in self.model.known) and decode(f"{tokens[i]} {after}", self.cost) == word:
+                out.append((i, word))
+        return out
+
+    def _spelled(self, text: str) -> Iterator[tuple[int, int, str]]:
+        """Runs of single characters, with what they spell."""
+        if self.cost is not None:
+            for m in _SPELLED.finditer(text):
+                if _WORD.search(m[0]):
+                    yield m.start(), m.end(), decode(m[0].lower(), self.cost)
+
     def restore(self, text: str) -> str:
-        """The text in lower case with each token restored; words spelled out letter by letter are put together."""
+        """The text in lower case with each token restored; words spelled out letter by letter, or cut in two, are put together."""
         parts, at = [], 0
-        for m in _SPELLED.finditer(text):
-            parts += [self.restored[t] for t in text[at : m.start()].split()]
-            parts.append(decode(m[0].lower(), self.cost) if self.cost is not None else m[0])
-            at = m.end()
-        parts += [self.restored[t] for t in text[at:].split()]
+        for start, end, word in [*self._spelled(text), (len(text), len(text), "")]:
+            tokens = text[at:start].lower().split()
+            cut = dict(self._joined(tokens))
+            parts += [cut.get(i, self.restored[t]) for i, t in enumerate(tokens) if i - 1 not in cut]
+            parts.append(word)
+            at = end
         return " ".join(p for p in parts if p)
 
-    def score(self, text: str | None, most: int = 4) -> float:
-        """The probability of the label from the ``most`` strongest distinct signs; without any, the prior."""
+    def score(self, text: str | None) -> float:
+        """The probability of the label from all distinct signs; without any, the prior."""
         found: set = set()
         if text:
             for signs in filter(None, map(self.signs.__getitem__, text.split(" "))):
                 found.update(signs)
-            for m in _SPELLED.finditer(text):
-                if self.cost is not None:
-                    found.update((w, s) for w in _WORD.findall(decode(m[0].lower(), self.cost)) if (s := self.model.sign(w)))
-        z = self.model.prior + sum(sorted((s for _, s in found), reverse=True)[:most])
+            more = [w for _, w in self._joined(text.lower().split(" "))]
+            for _, _, spelled in self._spelled(text):
+                more += _WORD.findall(spelled)
+            found.update((w, s) for w in more if (s := self.model.sign(w)))
+        z = self.model.prior + sum(sorted(s for _, s in found))
         return 1 / (1 + math.exp(-z)) if z > -700 else 0.0
 
 
@@ -244,22 +268,22 @@ def learn(rows: Iterable[tuple[str, int]], characters: CharacterModel | None = N
     # a sign of 0 matters only where a shorter beginning has one
     live = {w for w, s in beginnings.items() if s}
     behind = lambda w: any(w[:k] in live for k in range(4, min(len(w), 10)))
-    return ToxicityModel(characters, {w: s for w, s in words.items() if s or behind(w)}, {w: s for w, s in beginnings.items() if s or behind(w)}, math.log(base / (1 - base)))
+    return ToxicityModel(characters, {w: s for w, s in words.items() if s or behind(w)}, {w: s for w, s in beginnings.items() if s or behind(w)}, math.log(base / (1 - base)), frozenset(words))
 
 
 def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUMENTS) -> ToxicityModel:
-    """A model from the whole texts of about ``sample`` labelled documents, spread by hash of doc_id, that aren't held out.
+    """A model from the whole texts of at most ``sample`` labelled documents that aren't held out, those of smallest hash.
 
     The character model, which needs no labels, is of all documents: only its table of trigrams leaves the tasks.
 
     Rows with a null id, label or text don't count. The labels drawn are few enough to be sent to all tasks, so that
-    only the sample's texts leave the tasks.
+    only the sample's texts leave the tasks; rows that repeat an id are bounded as well.
     """
-    usable = labels.filter((fold() != 1) & F.col("toxic").isNotNull()).select("doc_id", (F.col("toxic") != 0).cast("int").alias("toxic"))
+    usable = labels.filter((fold() != 1) & F.col("toxic").isNotNull()).select("doc_id", (F.col("toxic") != 0).cast("int").alias("toxic")).distinct()
     total = usable.count()
     draw = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 30)) <= min(1.0, sample / max(1, total)) * (1 << 30)
     drawn = F.broadcast(usable.filter(draw).limit(2 * sample))
-    rows = documents.select("doc_id", "text").filter("text is not null").join(drawn, "doc_id").select("text", "toxic")
+    rows = documents.select("doc_id", "text").filter("text is not null").join(drawn, "doc_id").orderBy(F.xxhash64("doc_id", "text"), "text", "toxic").limit(sample).select("text", "toxic")
     grams = {r["gram"]: r["n"] for r in all_trigrams(documents).toLocalIterator()}
     return learn(sorted((r["text"], r["toxic"]) for r in rows.toLocalIterator()), CharacterModel(grams) if grams else None)
 
