@@ -5,6 +5,7 @@ from __future__ import annotations
 import heapq
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -12,11 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalens.llm.common import saved, whole_runs
-from catalens.llm.components import cells, connected_components, forest
+from catalens.llm.components import cells, connected_components, forest, run_pairs
 
 # ---------------------------------------------------------------- near-duplicates
 
-COSINE, WIDTH, MISSED, PER_BUCKET, BLOCK = 0.98, 6.0, 1e-4, 32, 512
+COSINE, WIDTH, MISSED, PER_BUCKET, BLOCK, SKETCH = 0.98, 6.0, 1e-4, 32, 512, 256
 
 
 def usable(vector: Column) -> Column:
@@ -41,76 +42,113 @@ def hash_plan(rows: int, cosine: float = COSINE, width: float = WIDTH, missed: f
     return w, k, max(1, math.ceil(math.log(missed) / math.log(1 - p**k)))
 
 
-def _hashed(cosine: float, w: float, k: int, tables: int, seed: int):
+def sketch_radius(cosine: float, bits: int = SKETCH) -> int:
+    """Sign bits in which vectors at ``cosine`` differ: their mean, and 8 standard deviations more (missed: below 1e-9)."""
+    p = math.acos(cosine) / math.pi
+    return math.ceil(bits * p + 8 * math.sqrt(bits * p * (1 - p)))
+
+
+class Projections:
+    """Quantised random projections of unit vectors of any length: keys in ``tables`` tables of k steps each, and sign sketches."""
+
+    def __init__(self, w: float, k: int, tables: int, seed: int):
+        self.w, self.k, self.tables, self.seed = w, k, tables, seed
+        self.drawn: dict[int, tuple] = {}
+
+    def _of(self, dim: int) -> tuple:
+        if dim not in self.drawn:
+            rng, n = np.random.default_rng([self.seed, dim]), self.k * self.tables
+            self.drawn[dim] = rng.standard_normal((dim, n)), rng.uniform(0, self.w, n), (rng.integers(1, 1 << 62, (self.tables, self.k), dtype=np.int64) << 1) | 1, rng.standard_normal((dim, SKETCH))
+        return self.drawn[dim]
+
+    def keys(self, x: np.ndarray) -> np.ndarray:
+        a, b, mix, _ = self._of(x.shape[1])
+        step = np.floor((x @ a + b) / self.w).astype(np.int64).reshape(len(x), self.tables, self.k)
+        with np.errstate(over="ignore"):
+            key = (step * mix).sum(2) * np.int64(0x9E3779B97F4A7C1) + np.arange(self.tables) * np.int64(0x5851F42D4C957F2D) + x.shape[1]
+        return key ^ (key >> 29)
+
+    def sketches(self, x: np.ndarray) -> np.ndarray:
+        return np.packbits(x @ self._of(x.shape[1])[3] > 0, axis=1)
+
+
+def _units(column: pa.ListArray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(rows, unit vectors in double precision) for each length of vector."""
+    size = column.value_lengths().to_numpy()
+    ends, flat = np.cumsum(size), column.flatten().to_numpy()
+    for dim in np.unique(size).tolist():
+        rows = np.flatnonzero(size == dim)
+        x = flat[(ends[rows] - dim)[:, None] + np.arange(dim)].astype(np.float64)
+        x /= np.abs(x).max(1, keepdims=True)
+        yield rows, x / np.sqrt((x * x).sum(1, keepdims=True))
+
+
+def _hashed(projections: Projections):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        drawn: dict[int, tuple] = {}
         for batch in batches:
             for at in range(0, batch.num_rows, 2000):
                 part = batch.slice(at, 2000)
-                vectors = part.column(part.schema.get_field_index("vector"))
-                size = vectors.value_lengths().to_numpy()
-                label, cls, copies = (part.column(part.schema.get_field_index(c)).to_numpy() for c in ("label_hash", "cls", "copies"))
-                flat = vectors.flatten().to_numpy().astype(np.float64)
-                ends = np.cumsum(size)
-                for dim in np.unique(size).tolist():
-                    if dim not in drawn:
-                        rng = np.random.default_rng([seed, dim])
-                        drawn[dim] = rng.standard_normal((dim, k * tables)), rng.uniform(0, w, k * tables), (rng.integers(1, 1 << 62, (tables, k), dtype=np.int64) << 1) | 1
-                    a, b, mix = drawn[dim]
-                    rows = np.flatnonzero(size == dim)
-                    x = flat[(ends[rows] - dim)[:, None] + np.arange(dim)]
-                    x /= np.abs(x).max(1, keepdims=True)
-                    x /= np.sqrt((x * x).sum(1, keepdims=True))
-                    step = np.floor((x @ a + b) / w).astype(np.int64).reshape(len(rows), tables, k)
+                label, cls = (part.column(part.schema.get_field_index(c)).to_numpy() for c in ("label_hash", "cls"))
+                for rows, x in _units(part.column(part.schema.get_field_index("vector"))):
+                    key = projections.keys(x)
                     with np.errstate(over="ignore"):
-                        key = (step * mix).sum(2) * np.int64(0x9E3779B97F4A7C1) + np.arange(tables) * np.int64(0x5851F42D4C957F2D) + label[rows][:, None] * np.int64(0x2545F4914F6CDD1D) + dim
-                    key ^= key >> 29
-                    sigs = [s.tobytes() for s in key.astype("<i8")]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.repeat(cls[rows], tables)), pa.array(np.repeat(copies[rows], tables)), pa.array(key.reshape(-1)), pa.array(np.tile(np.arange(tables, dtype=np.int32), len(rows))), pa.array([v for v in map(np.ndarray.tobytes, x) for _ in range(tables)], pa.binary()), pa.array([v for v in sigs for _ in range(tables)], pa.binary())],
-                        names=["cls", "copies", "bucket", "tab", "unit", "sigs"],
-                    )
+                        key += label[rows][:, None] * np.int64(0x2545F4914F6CDD1D)
+                    tables = key.shape[1]
+                    sketch = np.repeat(projections.sketches(x), tables, 0)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.repeat(cls[rows], tables)), pa.array(key.reshape(-1)), pa.array(np.tile(np.arange(tables, dtype=np.int32), len(rows))), pa.FixedSizeBinaryArray.from_buffers(pa.binary(SKETCH // 8), len(sketch), [None, pa.py_buffer(sketch.tobytes())]).cast(pa.binary())], names=["cls", "bucket", "tab", "sketch"])
 
     return run
 
 
-def _bucket_links(cosine: float):
-    """For each row of a bucket: copies of its near vectors that no earlier table has shown, and a link to the smallest reachable one."""
+def _plausible(apart: int):
+    """The rows of each cell that have a mate in it whose sketch differs in ``apart`` bits at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in whole_runs(batches, ["bucket", "cell"]):
+            bucket, cell, home = (part[c].to_numpy() for c in ("bucket", "cell", "home"))
+            n = len(bucket)
+            new = np.ones(n, bool)
+            new[1:] = (bucket[1:] != bucket[:-1]) | (cell[1:] != cell[:-1])
+            bits = np.frombuffer(b"".join(part["sketch"].to_pylist()), "<u8").reshape(n, -1)
+            use = np.zeros(n, bool)
+            for i, j in run_pairs(np.flatnonzero(new), n):
+                near = (np.bitwise_count(bits[i] ^ bits[j]).sum(1, dtype=np.int64) <= apart) & ((home[i] < 0) | (home[i] != home[j]))
+                use[i[near]] = use[j[near]] = True
+            yield from part.select(["cls", "bucket", "tab", "cell", "home"]).filter(pa.array(use)).to_batches()
+
+    return run
+
+
+def _bucket_links(cosine: float, projections: Projections):
+    """For each row of a cell: copies of its near vectors that no earlier table has shown, and a link to the smallest reachable one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in whole_runs(batches, ["bucket", "cell"], 5_000):
             bucket, cell, cls, copies, tab, home = (part[c].to_numpy() for c in ("bucket", "cell", "cls", "copies", "tab", "home"))
             n = len(cls)
             new = np.ones(n, bool)
             new[1:] = (bucket[1:] != bucket[:-1]) | (cell[1:] != cell[:-1])
-            units = [np.frombuffer(x) for x in part["unit"].to_pylist()]
-            sigs = [np.frombuffer(x, "<i8") for x in part["sigs"].to_pylist()]
-            starts = np.append(np.flatnonzero(new), n)
+            run_of = np.cumsum(new) - 1
             links, label = np.zeros(n, np.int64), np.arange(n)
-            for s, e in zip(starts[:-1].tolist(), starts[1:].tolist()):
-                if e - s < 2 or len({len(u) for u in units[s:e]}) > 1 or (tab[s:e] != tab[s]).any():
-                    if e - s < 2:
+            for rows, x in _units(part["vector"].combine_chunks()):
+                keys = projections.keys(x)
+                kind = run_of[rows] * projections.tables + tab[rows]  # keys of different kinds may have met by chance
+                order = np.argsort(kind, kind="stable")
+                for spot in np.split(order, np.flatnonzero(np.diff(kind[order])) + 1):
+                    if len(spot) < 2:
                         continue
-                    ok = [i for i in range(s, e) if len(units[i]) == len(units[s]) and tab[i] == tab[s]]  # keys of different kinds have met by chance
-                else:
-                    ok = range(s, e)
-                ok = np.array(ok)
-                x, h = np.stack([units[i] for i in ok]), home[ok]
-                near = x @ x.T >= cosine
-                np.fill_diagonal(near, False)
-                i, j = np.nonzero(np.triu(near))
-                keep = (h[i] < 0) | (h[i] != h[j])
-                i, j = i[keep], j[keep]
-                if not len(i):
-                    continue
-                g, t = np.stack([sigs[q] for q in ok]), int(tab[s])
-                fresh = np.ones(len(i), bool)
-                for earlier in range(t):
-                    fresh &= g[i, earlier] != g[j, earlier]
-                np.add.at(links, ok[i[fresh]], copies[ok[j[fresh]]])
-                np.add.at(links, ok[j[fresh]], copies[ok[i[fresh]]])
-                low = forest(len(ok), i, j)
-                label[ok] = ok[low]
+                    at, h, t = rows[spot], home[rows[spot]], int(tab[rows[spot[0]]])
+                    i, j = np.nonzero(np.triu(x[spot] @ x[spot].T >= cosine, 1))
+                    keep = (h[i] < 0) | (h[i] != h[j])
+                    i, j = i[keep], j[keep]
+                    if not len(i):
+                        continue
+                    fresh = np.ones(len(i), bool)
+                    for earlier in range(t):
+                        fresh &= keys[spot[i], earlier] != keys[spot[j], earlier]
+                    np.add.at(links, at[i[fresh]], copies[at[j[fresh]]])
+                    np.add.at(links, at[j[fresh]], copies[at[i[fresh]]])
+                    label[at] = at[forest(len(at), i, j)]
             use = np.flatnonzero((links > 0) | (label != np.arange(n)))
             if len(use):
                 yield pa.RecordBatch.from_arrays([pa.array(cls[use]), pa.array(cls[label[use]]), pa.array(links[use])], names=["a", "b", "n"])
@@ -122,18 +160,24 @@ def near_vectors(df: DataFrame, vec_id: str = "vec_id", vector: str = "embedding
     """One row per vector: vec_id, n_links, component_id, kept; links join vectors of one label with a cosine of at least ``cosine``.
 
     Copies (equal label and components) are one class from the start: they count as links of each other, and only a
-    class's representative is hashed and compared. Vectors that are null, zero, or hold null or non-finite components,
-    and those without a label, link with nothing, as do vectors of different lengths. Repeated rows, equal ids included,
-    are vectors of their own. A null id is returned, but names no component unless all of the class's ids are null.
+    class's representative is hashed and compared. What is dealt by table and bucket are keys and sketches of 256 sign
+    bits; a vector itself goes only to the buckets where another one's sketch is near its own. Vectors that are null,
+    zero, or hold null or non-finite components, and those without a label, link with nothing, as do vectors of
+    different lengths. Repeated rows, equal ids included, are vectors of their own. A null id is returned, but names no
+    component unless all of the class's ids are null. Other columns play no part, whatever their names. An empty table
+    gives an empty one.
     """
     rows = df.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).alias("vector"), F.col(label).alias("label"))
     able = F.coalesce(F.col("label").isNotNull() & usable(F.col("vector")), F.lit(False))
     classes = saved(rows.filter(able).groupBy("label", "vector").agg(F.min("vec_id").alias("first"), F.count("*").alias("copies")).withColumn("cls", F.monotonically_increasing_id()))
     largest = classes.groupBy("label").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
     w, k, tables = hash_plan(largest, cosine)
-    hashed = classes.select("cls", "copies", "vector", F.xxhash64("label").alias("label_hash")).mapInArrow(_hashed(cosine, w, k, tables, seed), "cls long, copies long, bucket long, tab int, unit binary, sigs binary")
-    dealt = cells(hashed, "bucket", "cls", cap)
-    found = saved(dealt.repartition("bucket", "cell").sortWithinPartitions("bucket", "cell").mapInArrow(_bucket_links(cosine), "a long, b long, n long"))
+    projections = Projections(w, k, tables, seed)
+    hashed = classes.select("cls", "vector", F.xxhash64("label").alias("label_hash")).mapInArrow(_hashed(projections), "cls long, bucket long, tab int, sketch binary")
+    dealt = cells(hashed, "bucket", "cls", cap).repartition("bucket", "cell").sortWithinPartitions("bucket", "cell")
+    few = dealt.select("cls", "bucket", "tab", "cell", "home", "sketch").mapInArrow(_plausible(sketch_radius(cosine)), "cls long, bucket long, tab int, cell long, home int")
+    met = few.join(classes.select("cls", "copies", "vector"), "cls").repartition("bucket", "cell").sortWithinPartitions("bucket", "cell")
+    found = saved(met.mapInArrow(_bucket_links(cosine, projections), "a long, b long, n long"))
     links = found.groupBy("a").agg(F.sum("n").alias("others"))
     component = connected_components(found.select("a", "b"))
     of_class = classes.join(links, F.col("cls") == F.col("a"), "left").drop("a").join(component, F.col("cls") == F.col("id"), "left").withColumn("group", F.coalesce("component_id", "cls")).drop("component_id", "id")
@@ -144,6 +188,7 @@ def near_vectors(df: DataFrame, vec_id: str = "vec_id", vector: str = "embedding
 
 
 def op4_near_vectors(embeddings: DataFrame) -> DataFrame:
+    """Per vector: vec_id, n_links, component_id, kept; see ``near_vectors`` for odd rows."""
     return near_vectors(embeddings)
 
 
@@ -261,34 +306,36 @@ def _best(out: tuple[list, list, list], k: int) -> tuple[list, list, list]:
 
 
 def search(df: DataFrame, queries: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", k: int = 10, recall: float = RECALL, fit_rows: int = FIT_ROWS, leaf: int = LEAF, calibration: int = CALIBRATION) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k nearest rows found of each query by Euclidean distance, its own id left out.
+    """(query_id, rank, vec_id, score): the k nearest rows found of each query by Euclidean distance, rows of its own id left out.
 
     ``queries`` has the columns of ``df``. The tree is fitted on a sample of at most about ``fit_rows`` rows, and every
     row is put into a leaf. About ``calibration`` queries are answered exactly over all rows; the leaves that a search
     visits, by best bin first, are as many as find ``recall`` of those answers. Leaves over the usual size are cut into
     parts, and each part answers by itself, so that no task holds more rows than that. Vectors that are null, zero or
-    hold null or non-finite components, or of another length than most of the sample, take no part; nor do rows with a
-    null id. Rows that repeat an id with the same vector count once. Fewer candidates than k give as many rows.
+    hold null or non-finite components take no part; nor do rows with a null id. Vectors of different lengths have no
+    distance: each length is searched by itself, with a tree of its own. Repeated rows are candidates as often as they
+    come; a repeated query is answered once, and a query id that comes with several vectors has one list for all of
+    them. Ties go to the smaller vec_id. Fewer candidates than k give as many rows. Other columns play no part.
     """
-    spark = df.sparkSession
     clean = lambda t: t.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("v")).filter(F.col("vec_id").isNotNull() & usable(F.col("v")))
-    rows, asked = clean(df).dropDuplicates(), clean(queries).dropDuplicates()
-    n = rows.count()
-    empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    if not n:
-        return empty
-    drawn = rows.filter(F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(1 << 30)) <= min(1.0, fit_rows / n) * (1 << 30)).select("v").limit(2 * fit_rows).collect() or rows.select("v").limit(1).collect()
-    sizes = [len(r["v"]) for r in drawn]
-    dim = max(set(sizes), key=lambda s: (sizes.count(s), s))
-    sample = np.array([r["v"] for r in drawn if len(r["v"]) == dim])
-    rows, asked = rows.filter(F.size("v") == dim), asked.filter(F.size("v") == dim)
+    rows, asked = clean(df), clean(queries).dropDuplicates()
+    lengths = [(r["dim"], r["n"]) for r in rows.groupBy(F.size("v").alias("dim")).agg(F.count("*").alias("n")).collect()]  # a row for each length of vector
+    parts = [_found_of_length(rows.filter(F.size("v") == dim), asked.filter(F.size("v") == dim), dim, n, k, recall, fit_rows, leaf, calibration) for dim, n in sorted(lengths)]
+    return ranked(reduce(DataFrame.unionByName, parts), k) if parts else df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+
+
+def _found_of_length(rows: DataFrame, asked: DataFrame, dim: int, n: int, k: int, recall: float, fit_rows: int, leaf: int, calibration: int) -> DataFrame:
+    """(query_id, vec_id, score) of the k best of each visited part, among vectors of one length."""
+    spark = rows.sparkSession
+    drawn = rows.filter(F.pmod(F.xxhash64("vec_id", "v", F.lit(3)), F.lit(1 << 30)) <= min(1.0, fit_rows / n) * (1 << 30)).select("v").limit(2 * fit_rows).collect() or rows.select("v").limit(1).collect()
+    sample = np.array([r["v"] for r in drawn])
     tree = spark.sparkContext.broadcast(KMeansTree(sample, max(2, round(leaf * len(sample) / n))))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(tree.value.assign(_matrix(batch.column(1), dim)))], names=["vec_id", "v", "leaf"])
 
-    placed = saved(rows.mapInArrow(place, "vec_id long, v array<double>, leaf long"))
+    placed = saved(rows.mapInArrow(place, "vec_id long, v array<double>, leaf long").withColumn("row", F.monotonically_increasing_id()))
     visits = _calibrated(asked, placed, tree, dim, k, recall, calibration)
     part_rows = 8 * leaf
 
@@ -296,39 +343,39 @@ def search(df: DataFrame, queries: DataFrame, vec_id: str = "vec_id", vector: st
         for batch in batches:
             at = [tree.value.best_bins(q, visits) for q in _matrix(batch.column(1), dim)]
             index = pa.array(np.repeat(np.arange(len(at)), [len(a) for a in at]))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(index), batch.column(1).take(index), pa.array(np.array([x for a in at for x in a], np.int64))], names=["query_id", "q", "leaf"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(index), batch.column(1).take(index), pa.array(np.array([x for a in at for x in a], np.int64))], names=["vec_id", "v", "leaf"])
 
     parts = placed.groupBy("leaf").agg(F.ceil(F.count("*") / part_rows).cast("int").alias("parts"))
-    stored = placed.join(parts, "leaf").select("leaf", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int").alias("part"), "vec_id", "v", F.lit(None).cast("long").alias("query_id"))
-    visited = asked.mapInArrow(route, "query_id long, q array<double>, leaf long").join(parts, "leaf").select("leaf", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(None).cast("long").alias("vec_id"), F.col("q").alias("v"), "query_id")
+    stored = placed.join(parts, "leaf").select("leaf", F.pmod(F.xxhash64("row"), F.col("parts")).cast("int").alias("part"), F.lit(False).alias("asks"), "vec_id", "v")
+    visited = asked.mapInArrow(route, "vec_id long, v array<double>, leaf long").join(parts, "leaf").select("leaf", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(True).alias("asks"), "vec_id", "v")
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # a part's rows come first (null query_id), then the queries that visit it
+        # a part's rows come first, then the queries that visit it
         now, ids, x = None, [], []
         store: tuple | None = None
         # answers of all leaves of this task, cut down to k for each query now and then, and sent at the end
         out: tuple[list, list, list] = ([], [], [])
         rows = 0
         for batch in batches:
-            leaf_, part_, own, asks = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 2, 4))
-            v, query = _matrix(batch.column(3), dim), ~np.isnan(asks.astype(float))
+            leaf_, part_, asks, own = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))  # none is null
+            v = _matrix(batch.column(4), dim)
             new = np.ones(len(leaf_), bool)
-            new[1:] = (leaf_[1:] != leaf_[:-1]) | (part_[1:] != part_[:-1]) | (query[1:] != query[:-1])
+            new[1:] = (leaf_[1:] != leaf_[:-1]) | (part_[1:] != part_[:-1]) | (asks[1:] != asks[:-1])
             bounds = np.append(np.flatnonzero(new), len(leaf_)).tolist()
             for s, e in zip(bounds[:-1], bounds[1:]):
                 key = (leaf_[s], part_[s])
                 if key != now:
                     now, ids, x, store = key, [], [], None
-                if not query[s]:
-                    ids.append(own[s:e].astype(np.int64))
+                if not asks[s]:
+                    ids.append(own[s:e])
                     x.append(v[s:e])
                     continue
                 if store is None and ids:
                     store = np.concatenate(ids), np.concatenate(x)
                 for i in range(s, e):
                     if store is not None:
-                        got, d = nearest_of(v[i], *store, k, int(asks[i]))
-                        out[0].append(np.full(len(got), int(asks[i])))
+                        got, d = nearest_of(v[i], *store, k, int(own[i]))
+                        out[0].append(np.full(len(got), own[i]))
                         out[1].append(got)
                         out[2].append(d)
                         rows += len(got)
@@ -338,9 +385,8 @@ def search(df: DataFrame, queries: DataFrame, vec_id: str = "vec_id", vector: st
         if out[0]:
             yield _found(*_best(out, k))
 
-    both = stored.unionByName(visited).repartition("leaf", "part").sortWithinPartitions("leaf", "part", F.col("query_id").asc_nulls_first())
-    found = both.mapInArrow(answer, "query_id long, vec_id long, score double")
-    return ranked(found, k)
+    both = stored.unionByName(visited).repartition("leaf", "part").sortWithinPartitions("leaf", "part", "asks")
+    return both.select("leaf", "part", "asks", "vec_id", "v").mapInArrow(answer, "query_id long, vec_id long, score double")
 
 
 def ranked(found: DataFrame, k: int) -> DataFrame:
@@ -366,7 +412,7 @@ def _calibrated(asked: DataFrame, placed: DataFrame, tree, dim: int, k: int, rec
     """How many leaves, best bin first, hold ``recall`` of the true neighbours of a sample of the queries."""
     total = asked.count()
     share = min(1.0, calibration / max(1, total))
-    few = [(r["vec_id"], np.array(r["v"])) for r in asked.filter(F.pmod(F.xxhash64("vec_id", F.lit(5)), F.lit(1 << 30)) <= share * (1 << 30)).limit(2 * calibration).collect()]
+    few = [(r["vec_id"], np.array(r["v"])) for r in asked.filter(F.pmod(F.xxhash64("vec_id", "v", F.lit(5)), F.lit(1 << 30)) <= share * (1 << 30)).limit(2 * calibration).collect()]
     if not few:
         return tree.value.n_leaves
     truth = brute_force(few, placed.select("vec_id", "v"), k, dim).select("query_id", "vec_id").join(placed.select("vec_id", "leaf"), "vec_id").select("query_id", "leaf").collect()
@@ -376,5 +422,5 @@ def _calibrated(asked: DataFrame, placed: DataFrame, tree, dim: int, k: int, rec
 
 
 def op8_neighbours(embeddings: DataFrame) -> DataFrame:
-    """The 10 nearest found of each row whose id is divisible by 100."""
+    """The 10 nearest found of each row whose id is divisible by 100; see ``search`` for odd rows."""
     return search(embeddings, embeddings.filter(F.col("vec_id") % 100 == 0))
