@@ -36,15 +36,16 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b", rounds: i
     return now.select(F.col("u").alias("id"), F.col("v").alias("component_id")).unionByName(now.select(F.col("v").alias("id"), F.col("v").alias("component_id")).distinct())
 
 
-def cells(rows: DataFrame, key: str, by: str, cap: int) -> DataFrame:
+def cells(rows: DataFrame, key: str, by: str, cap: int, weight: str | None = None) -> DataFrame:
     """``rows`` of keys with two rows or more, with column ``cell``: the block pairs of its bucket that a row takes part in.
 
+    A block has about ``cap`` rows or, with a column ``weight``, rows of that weight in sum.
     ``by`` is the column whose hash deals a large bucket's rows to blocks; ``home`` tells a row's own block in the cell
     (0 or 1), and within the cell (i, j) with i < j only pairs across the two blocks are new.
     """
     size = F.count("*").over(_by(key))
-    blocks = F.ceil(F.col("__size") / cap).cast("int")
-    dealt = rows.withColumn("__size", size).filter("__size > 1").withColumn("__blocks", blocks)
+    whole = F.sum(weight).over(_by(key)) if weight else size
+    dealt = rows.withColumn("__size", size).withColumn("__blocks", F.ceil(whole / cap).cast("int")).filter("__size > 1")
     block = F.pmod(F.xxhash64(by), F.col("__blocks")).cast("int")
     dealt = dealt.withColumn("__block", block).withColumn("__other", F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1)))
     low, high = F.least("__block", "__other"), F.greatest("__block", "__other")

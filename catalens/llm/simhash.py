@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalens.llm.common import append, saved, texts_of, whole_runs, with_columns
+from catalens.llm.common import append, partitions_for, saved, texts_of, whole_runs, with_columns
 from catalens.llm.components import cells, connected_components, forest, run_pairs
 
 SHINGLE, SEED, BITS_APART, BLOCK = 3, 42, 3, 1024
@@ -79,7 +79,8 @@ def near_links(distinct: DataFrame, cap: int = BLOCK) -> DataFrame:
         for bit in range(32):
             # the half without one bit, and behind it which half and which bit
             keys.append(F.shiftleft(half.bitwiseAND(F.lit(0xFFFFFFFF & ~(1 << bit))), 6) + F.lit(32 * h + bit))
-    variants = distinct.select("fp", F.explode(F.array(*keys)).alias("variant"))
+    # dealt out before each becomes 64 rows
+    variants = distinct.repartition(partitions_for(distinct.sparkSession), "fp").select("fp", F.explode(F.array(*keys)).alias("variant"))
     dealt = cells(variants, "variant", "fp", cap)
     return dealt.repartition("variant", "cell").sortWithinPartitions("variant", "cell").mapInArrow(_links, "a long, b long")
 
