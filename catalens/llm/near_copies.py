@@ -1,9 +1,13 @@
 """Near copies: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
-Candidates come from MinHash: 24 bands of 5 minima each, so that a pair at 0.8 shares no band with probability
-(1 - 0.8^5)^24 = 7e-5, and pairs above it more rarely. Each text is linked to one of its bucket, and the components of
-those links are compared exactly: the texts of a component meet once (a large one in block pairs), the sizes of their
-intersections are counted from 64-bit hashes of all shingles, and only pairs that reach the similarity are links.
+Candidates are, for one, the links of SimHash fingerprints of those shingles by deletion variants (``simhash.near_links``).
+Fingerprints of texts at 0.8 are about 10 of 64 bits apart, where variants would need hundreds of rows a text; so, for
+the other, texts that share a band of their shingles' least hashes are linked as well: 24 bands of 5 minima each, so
+that a pair at 0.8 shares no band with probability (1 - 0.8^5)^24 = 7e-5, and pairs above it more rarely.
+
+The components of those links are compared exactly: the texts of a component meet once (a large one in block pairs), the
+sizes of their intersections are counted from 64-bit hashes of all shingles, and only pairs that reach the similarity
+are links.
 """
 
 from __future__ import annotations
@@ -16,11 +20,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from catalens.llm.chunks import slices
 from catalens.llm.common import append, saved, texts_of, whole_runs, with_columns
 from catalens.llm.components import cells, connected_components
+from catalens.llm.simhash import near_links
 from catalens.llm.substrings import _Q, _mix, word_hashes
 
-SHINGLE, PERCENT, BANDS, MINIMA, BLOCK = 5, 80, 24, 5, 1024
+SHINGLE, PERCENT, BANDS, MINIMA = 5, 80, 24, 5
+#: Bytes of text in a block, and those that are worked on at once.
+BLOCK, SLICE = 3_000_000, 1_500_000
 
 _FACTORS = np.random.default_rng(7).integers(0, 1 << 63, BANDS * MINIMA, np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -31,7 +39,7 @@ def _words(text: str | None) -> bytes:
 
 def shingles(texts: list[bytes], size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of each text's word shingles (repeats included; fewer words than ``size`` are one shingle), and their number by text."""
-    hashes, counts = word_hashes([t.decode() for t in texts])
+    hashes, counts = word_hashes(texts)
     first = np.cumsum(counts) - counts
     many = np.where(counts < size, np.minimum(counts, 1), counts - size + 1)
     row = np.repeat(np.arange(len(counts)), many)
@@ -45,39 +53,48 @@ def shingles(texts: list[bytes], size: int = SHINGLE) -> tuple[np.ndarray, np.nd
     return _mix(gram), many
 
 
-def bands(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """The band hashes of each text that has words (rows of BANDS), and which texts those are."""
-    gram, many = shingles(texts)
-    some = np.flatnonzero(many)
-    if not len(some):
-        return np.zeros((0, BANDS), np.int64), some
-    starts = (np.cumsum(many) - many)[some]
-    out = np.empty((len(some), BANDS), np.uint64)
+def bands(gram: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The band hashes of each text (rows of BANDS), from its shingles' hashes, which begin at ``starts``."""
+    out = np.empty((len(starts), BANDS), np.uint64)
     for b in range(BANDS):
-        key = np.full(len(some), b + 1, np.uint64)
+        key = np.full(len(starts), b + 1, np.uint64)
         for factor in _FACTORS[b * MINIMA : (b + 1) * MINIMA]:
             key = _mix(key * np.uint64(_Q) + np.minimum.reduceat(gram * factor, starts))
         out[:, b] = key
-    return out.view(np.int64), some
+    return out.view(np.int64)
+
+
+def simhashes(gram: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The fingerprint of each text: a bit is 1 if set in over half of its shingles' hashes."""
+    ones = np.empty((len(starts), 64), np.int64)
+    for byte in range(8):
+        bits = np.unpackbits(((gram >> np.uint64(8 * byte)) & np.uint64(255)).astype(np.uint8)[:, None], axis=1, bitorder="little")
+        ones[:, 8 * byte : 8 * byte + 8] = np.add.reduceat(bits, starts, axis=0, dtype=np.int64)
+    size = np.diff(np.append(starts, len(gram)))
+    return np.packbits(2 * ones > size[:, None], axis=1, bitorder="little").view("<i8").ravel()
 
 
 def _signed(df: DataFrame, banded: bool) -> DataFrame:
-    """``df`` with ``key`` (a hash of the text's words in lower case) and, if asked for, ``bands``."""
+    """``df`` with ``key`` (a hash of the text's words in lower case) and, if asked for, ``bands``, ``fp`` and ``size`` of texts with words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                part = batch.slice(at, 200)
+            for part in slices(batch, "text", SLICE):
                 words = [_words(t) for t in texts_of(part, "text")]
                 more = {"key": pa.array(np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64).view(np.int64))}
                 if banded:
-                    found, some = bands(words)
+                    gram, many = shingles(words)
+                    some = np.flatnonzero(many)
+                    starts = (np.cumsum(many) - many)[some]
                     held = np.zeros(len(words) + 1, np.int32)
                     held[some + 1] = BANDS
-                    more["bands"] = pa.ListArray.from_arrays(pa.array(np.cumsum(held), pa.int32()), pa.array(found.ravel()))
+                    found, fp = (bands(gram, starts), simhashes(gram, starts)) if len(some) else (np.zeros(0, np.int64),) * 2
+                    wide = np.zeros(len(words), np.int64)
+                    wide[some] = fp
+                    more |= {"bands": pa.ListArray.from_arrays(pa.array(np.cumsum(held), pa.int32()), pa.array(found.ravel())), "fp": pa.array(wide, mask=many == 0), "size": pa.array([len(w) for w in words], pa.int64())}
                 yield append(part, **more)
 
-    return df.mapInArrow(run, with_columns(df.schema, "key long" + ", bands array<long>" * banded))
+    return df.mapInArrow(run, with_columns(df.schema, "key long" + ", bands array<long>, fp long, size long" * banded))
 
 
 def similar(sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[int, int]]:
@@ -105,7 +122,7 @@ def similar(sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[int, i
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links of each cell's texts; batches are sorted by (component, cell)."""
-    for part in whole_runs(batches, ["component", "cell"], 4 * BLOCK):
+    for part in whole_runs(batches, ["component", "cell"], 200):
         component, cell, key = (part[c].to_numpy() for c in ("component", "cell", "key"))
         edge = np.flatnonzero((component[1:] != component[:-1]) | (cell[1:] != cell[:-1])) + 1
         for lo, hi in zip([0, *edge], [*edge, len(key)]):
@@ -121,14 +138,20 @@ def near_copies(df: DataFrame, doc_id: str = "doc_id", text: str = "text", cap:
 
     Texts of the same words are one class from the start, and so are those without words, null among them. Repeated rows
     are returned as often as they come. A null id stays null and is no component's smallest unless all its ids are null.
+    Other columns play no part, whatever their names. An empty table gives an empty one.
     """
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    rows = saved(_signed(docs, True).select("doc_id", "key", "bands"))
-    classes = rows.groupBy("key").agg(F.min("doc_id").alias("first"), F.first("bands").alias("bands"))
+    rows = saved(_signed(docs, True).select("doc_id", "key", "bands", "fp", "size"))
+    classes = rows.groupBy("key").agg(F.min("doc_id").alias("first"), F.first("bands").alias("bands"), F.first("fp").alias("fp"), F.first("size").alias("size"))
     banded = classes.select("key", F.explode("bands").alias("band"))
     least = banded.groupBy("band").agg(F.min("key").alias("least"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    candidates = connected_components(banded.join(least, "band").filter("key != least").select("key", "least").distinct(), "key", "least")
-    dealt = cells(candidates.select(F.col("id").alias("key"), F.col("component_id").alias("component")), "component", "key", cap)
+    # texts of one fingerprint are linked to the least of them, and those of near fingerprints to one another
+    of_print = classes.filter("fp is not null").groupBy("fp").agg(F.min("key").alias("least"))
+    prints = near_links(of_print.select("fp")).distinct().join(of_print.select(F.col("fp").alias("a"), F.col("least").alias("key")), "a").join(of_print.select(F.col("fp").alias("b"), "least"), "b").select("key", "least")
+    same = classes.join(of_print, "fp").filter("key != least").select("key", "least")
+    links = banded.join(least, "band").filter("key != least").select("key", "least").unionByName(same).unionByName(prints)
+    candidates = connected_components(links.distinct(), "key", "least")
+    dealt = cells(candidates.select(F.col("id").alias("key"), F.col("component_id").alias("component")).join(classes.select("key", "size"), "key"), "component", "key", cap, "size")
     members = classes.select("key", "first").join(candidates.select(F.col("id").alias("key")), "key", "left_semi").withColumnRenamed("first", "doc_id")
     # one row stands for a class: that of its smallest id
     told = _signed(docs, False).join(members.withColumnsRenamed({"key": "k", "doc_id": "d"}), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("key") == F.col("k"))).groupBy("key").agg(F.first("text").alias("text"))

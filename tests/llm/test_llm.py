@@ -2,18 +2,22 @@
 
 import base64
 import hashlib
+import itertools
+import math
 import random
 import re
 import zlib
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 import tokenizers
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from catalens.llm import byte_bpe, components, near_copies, packing, ppm, registry, simhash, substrings, toxicity, vectors, warc, wavelet
@@ -112,6 +116,24 @@ def test_shards_come_back(docs, odd):
     assert wavelet.op9_wavelet(odd, BYTES).filter("doc_id is null").first().start == 0
 
 
+def test_added_tokens_are_found_as_the_library_finds_them(spark):
+    rows = [(1, "hello <|endoftext|> world"), (2, "<|endoftext|>"), (3, "a  <|endoftext|> \n <|endoftext|>b <|startoftext|> C"), (4, "<|endoftex"), (5, "\u03a9\u0345\u0301a\x00"), (6, "ΑΣ ΣΑ. İI\u0307 K"), (7, "A\u0300 \u0300b")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for path, end, got in ((BYTES, 0, wavelet.op9_wavelet(df, BYTES)), (WORDS, 1, packing.op3_packing(df, WORDS).withColumn("n_tokens", F.col("length")))):
+        tk = tokenizers.Tokenizer.from_file(path)
+        want = {i: [*tk.encode(t, add_special_tokens=False).ids, end] for i, t in rows}
+        assert {r.doc_id: (r.n_tokens, r.ids_crc32) for r in got.collect()} == {i: (len(x), zlib.crc32(ids_bytes(x))) for i, x in want.items()}
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet=st.sampled_from("abTHe ingK\n\t'sΣéÉ漢İ\u0300\u0345\u0301🙂\x1c\xa0 0$\x00"), max_size=60))
+def test_library_ids_of_any_text(text):
+    for path, encoder in ((BYTES, wavelet.byte_level_encoder(BYTES)), (WORDS, packing.word_encoder(WORDS))):
+        ids, count = encoder.column(pa.array([None, text, "a", text]))
+        want = tokenizers.Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+        assert ids.tolist()[: len(want)] == want and count.tolist() == [0, len(want), count[2], len(want)]
+
+
 # ---- packing
 
 
@@ -158,10 +180,11 @@ def test_bounds_hold(lengths):
 
 def test_rounds_exchange_pieces(spark):
     rows = spark.createDataFrame([(i, int(x)) for i, x in enumerate(np.random.default_rng(1).integers(1, 3000, 800))] + [(-1, None), (-2, 5000)], "id long, length long")
-    out = packing.pack(rows, per_task=60, rounds=5).toPandas()
+    out = packing.pack(rows, per_task=60).toPandas()
     assert len(out) == 802 and out.sequence_id.isna().sum() == 2
     ok = out.dropna()
     assert ok.sequence_id.nunique() <= packing.lower_bound(ok.length.to_numpy(np.int64), 4096) * 1.03 + 1
+    assert set(out.bound) == {packing.lower_bound(ok.length.to_numpy(np.int64), 4096)}
 
 
 # ---- language and toxicity
@@ -178,11 +201,11 @@ def test_code_lengths_are_exact():
     model = ppm.PPM({"a": ["abab ab", "ba"], "b": ["bbb", ""]}, order=2)
 
     def slow(lang, word):
-        sample = [" " + w for t in {"a": ["abab ab", "ba"], "b": ["bbb", ""]}[lang] for w in t.split(" ")]
-        bits, data = 0.0, " " + word
+        sample = [f" {w} " for t in {"a": ["abab ab", "ba"], "b": ["bbb", ""]}[lang] for w in t.split(" ")]
+        bits, data = 0.0, f" {word} "
         for i in range(1, len(data)):
             for o in range(min(i, 2), -1, -1):
-                after = [s[j] for s in sample for j in range(o, len(s)) if s[j - o : j] == data[i - o : i]]
+                after = [s[j] for s in sample for j in range(max(o, 1), len(s)) if s[j - o : j] == data[i - o : i]]
                 if not after:
                     continue
                 kinds = len(set(after))
@@ -198,6 +221,20 @@ def test_code_lengths_are_exact():
     got = model.word_costs(words)
     for w, row in zip(words, got):
         assert np.allclose(row, [slow("a", w), slow("b", w)], atol=1e-4)
+    text = "abab  zz b"
+    assert np.allclose(ppm.Coder(model).lengths([text])[0], [sum(slow(x, w) for w in text.split(" ")) for x in "ab"], atol=1e-3)
+
+
+def test_language_sample_is_bounded_by_rows(spark):
+    same = "the word " * 3_000 + "zebra"
+    df = spark.createDataFrame([(1, same, "en")] * 300 + [(k, f"das wort {k}", "de") for k in range(300)], "doc_id long, text string, lang string")
+    seen = []
+    ppm_fit, ppm.PPM = ppm.PPM, lambda samples, order: seen.append(samples)
+    try:
+        ppm.fit(df, documents=20)
+    finally:
+        ppm.PPM = ppm_fit
+    assert seen[0]["en"] == [same] * 20 and len(seen[0]["de"]) == 20
 
 
 def test_language_of_odd_texts(spark, odd):
@@ -212,7 +249,7 @@ def test_deobfuscation_and_toxicity(spark):
     documents, labels = table(spark, d, "documents"), table(spark, d, "labels")
     model = toxicity.fit(documents, labels)
     s = toxicity.Scorer(model)
-    for text, plain in (("you 1d10t", "you idiot"), ("you i d i o t go", "you idiot go"), ("l0ser", "loser"), ("idioooot!!", "idiot"), ("st*pid", "stupid"), ("m-o-r-o-n", "moron"), ("tr@sh", "trash")):
+    for text, plain in (("you 1d10t", "you idiot"), ("you i d i o t go", "you idiot go"), ("l0ser", "loser"), ("idioooot!!", "idiot"), ("st*pid", "stupid"), ("m-o-r-o-n", "moron"), ("tr@sh", "trash"), ("iddiot", "idiot"), ("iiddiioott", "idiot"), ("you id iot", "you idiot"), ("idi ot!", "idiot"), ("idio+", "idiot"), ("$ t u p i d", "stupid"), ("losser", "loser")):
         assert s.restore(text) == plain and s.score(text) > 0.7
     assert s.score("") == s.score(None) < 0.7 and s.score("The thing of the and") < 0.7
     got = toxicity.op2_toxicity(documents, labels).join(labels, "doc_id").filter("held_out").collect()
@@ -220,6 +257,28 @@ def test_deobfuscation_and_toxicity(spark):
     assert hit / sum(r.toxic for r in got) > 0.85 and sum(r.predicted for r in got if not r.toxic) / len(got) < 0.03
 
 
+def test_decoding_equals_all_readings_tried():
+    rng = random.Random(2)
+    model = toxicity.CharacterModel(toxicity.trigrams({"".join(rng.choices("abilost", k=5)): rng.randrange(1, 9) for _ in range(300)}))
+
+    def cost(text):
+        total = 0.0
+        for word in text.split(" "):
+            padded = f"  {word}"
+            total += sum(model.cost(padded[i : i + 3]) for i in range(len(word)))
+        return total + model.cost(f"  {text.split(' ')[-1]} "[-3:])
+
+    # a space is itself a character of the model, coded where it comes
+    def spaces(text):
+        return sum(model.cost(f"  {w} "[-3:]) for w in text.split(" ")[:-1])
+
+    for token in ("a11o", "b1b5 t0", "lo55", "*lo$t", "a-b", "ss1|", "aabb", "o b"):
+        each = toxicity.readings(token)
+        best = min(sum(p for _, p in path) + cost(t) + spaces(t) for path in itertools.product(*each) for t in ["".join(x for x, _ in path)])
+        t = toxicity.decode(token, model_cost := toxicity.Memo(model.cost, 10_000))
+        assert any("".join(x for x, _ in path) == t and abs(sum(p for _, p in path) + cost(t) + spaces(t) - best) < 1e-9 for path in itertools.product(*each))
+
+
 def test_toxicity_of_odd_tables(spark, odd):
     labels = spark.createDataFrame([(5, 1, 1), (None, 1, 0), (9, 1, None)], "doc_id long, quality int, toxic int")
     assert toxicity.op2_toxicity(odd, labels).count() == len(ODD)
@@ -316,11 +375,30 @@ def answers(df):
 def test_passages_equal_brute_force(spark, docs, monkeypatch):
     assert answers(docs) == brute(sorted(texts(docs)))
     monkeypatch.setattr(substrings, "GROUP_ROWS", 3)
+    monkeypatch.setattr(substrings, "HEAVY", 50)
     rng = random.Random(5)
     rows = [(i, " ".join(rng.choice("abc"[: 1 + i % 3]) for _ in range(rng.randrange(90)))) for i in range(60)] + [(100, None), (101, ""), (102, " \n"), (103, "for " * 500)]
     assert answers(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
 
 
+def test_passages_of_words_with_equal_sums(spark):
+    word = "a"  # Thue-Morse words and their mirrors have equal values in any polynomial modulo 2^64
+    for _ in range(12):
+        word += word.translate({97: 98, 98: 97})
+    pairs = [(word[:n], word[:n].translate({97: 98, 98: 97})) for n in (8, 16, 64, 1024, 2048, 4096)]
+    rows = [(2 * k + j, f"w{k} " * 10 + p[j] + f" v{k}" * 9) for k, p in enumerate(pairs) for j in (0, 1)]
+    assert answers(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
+    hashes, counts = substrings.word_hashes(["abc  abcdefgh\tabcdefghi", None, "", "abc \u2003 x" + "y" * 70, " abcdefgh abcdefgh\x00"])
+    assert counts.tolist() == [3, 0, 0, 3, 2] and len(set(hashes.tolist())) == 6 and hashes[0] == hashes[3] and hashes[1] == hashes[6]
+
+
+def test_passages_keep_columns_of_any_name(spark):
+    names = "body places place rest repeats copy sha key n salt hot".split()
+    df = spark.createDataFrame([(i, " ".join(f"w{k}" for k in range(30)), *range(len(names))) for i in (1, 2)], "doc_id long, text string, " + ", ".join(f"{n} int" for n in names))
+    rows = {r.doc_id: r for r in substrings.dedupe(df).collect()}
+    assert all([rows[i][n] for n in names] == list(range(len(names))) for i in (1, 2)) and rows[2].text == "" and rows[1].n_words == 30
+
+
 def test_passages_of_odd_tables(spark, odd):
     rows = substrings.dedupe(odd.withColumnRenamed("source", "spans")).collect()
     assert len(rows) == len(ODD) and {r.text for r in rows if r.doc_id is None} == {"a b c"}
@@ -359,19 +437,40 @@ def test_near_vectors_equal_brute_force(spark):
     assert vectors.near_vectors(df.filter("false")).count() == 0
 
 
+def slow_neighbours(rows, q, own, k=10):
+    """Differences squared and added one by one, all rows sorted."""
+    near = [(math.sqrt(math.fsum((a - b) ** 2 for a, b in zip(q, v))), i) for i, v in rows if i != own and len(v) == len(q)]
+    return sorted(near)[:k]
+
+
 def test_neighbours(spark):
     df = table(spark, "/root/testdata/sf0.01", "embeddings")
-    rows = {r.vec_id: np.array(r.embedding, float) for r in df.collect()}
-    ids, x = np.array(sorted(rows)), np.stack([rows[i] for i in sorted(rows)])
-    got = {}
+    rows = [(r.vec_id, list(r.embedding)) for r in df.collect()]
+    known, got = dict(rows), {}
     for r in vectors.op8_neighbours(df).collect():
         got.setdefault(r.query_id, {})[r["rank"]] = (r.vec_id, r.score)
     hit = 0
     for q, found in got.items():
-        want, d = vectors.nearest_of(rows[q], ids, x, 10, q)
-        hit += len(set(want.tolist()) & {v for v, _ in found.values()})
-        assert sorted(found) == list(range(1, 11)) and all(abs(s - np.sqrt(((rows[v] - rows[q]) ** 2).sum())) < 1e-12 for v, s in found.values())
-    assert sorted(got) == [i for i in ids.tolist() if i % 100 == 0] and hit >= 0.9 * 10 * len(got)
+        want = {i for _, i in slow_neighbours(rows, known[q], q)}
+        hit += len(want & {v for v, _ in found.values()})
+        assert sorted(found) == list(range(1, 11)) and all(abs(s - math.dist(known[v], known[q])) < 1e-9 for v, s in found.values())
+        assert [found[k][::-1] for k in range(1, 11)] == sorted(x[::-1] for x in found.values())
+    assert sorted(got) == sorted(i for i in known if i % 100 == 0) and hit >= 0.9 * 10 * len(got)
+
+
+def test_neighbours_of_large_ids_ties_and_repeats(spark):
+    rng, base = random.Random(8), 1 << 60
+    rows = [(base + i, [float(rng.randrange(3)), float(1 + rng.randrange(3)), float(rng.randrange(4))]) for i in range(300)]
+    rows += rows[:40] + [(base + 1000, [1.0, 2.0]), (base + 1001, [1.0, 3.0])]
+    got = {}
+    for r in vectors.op8_neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(5)).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.score, r.vec_id))
+    asked = {i: v for i, v in rows if i % 100 == 0}
+    assert set(got) == set(asked) and len(asked) >= 3
+    for q, found in got.items():
+        want = slow_neighbours(rows, asked[q], q)
+        assert [k for k, _, _ in sorted(found)] == list(range(1, len(want) + 1))
+        assert [(s, v) for _, s, v in sorted(found)] == want
 
 
 def test_neighbours_of_few_and_odd_rows(spark):
@@ -428,8 +527,8 @@ def test_pipeline_equals_its_stages_by_brute_force(spark, docs):
         assert out.columns == list(corpus_pipeline.COLUMNS)
         rows, before = texts(out), texts(kept)
         if name == "near_dedup":
-            fp = {i: slow_fingerprint(t) for i, t in before}
-            comp = groups(sorted(fp), [(a, b) for a in fp for b in fp if a < b and bin(fp[a] ^ fp[b]).count("1") <= 3])
+            sets = [(i, shingle_set(t)) for i, t in before]
+            comp = groups(sorted(i for i, _ in sets), [(a, b) for k, (a, s) in enumerate(sets) for b, t in sets[:k] if 100 * len(s & t) >= 80 * len(s | t)])
             assert sorted(i for i, _ in rows) == sorted(i for i, c in comp.items() if i == c)
         elif name == "passage_dedup":
             want = brute(sorted(before))
@@ -445,7 +544,7 @@ def shingle_set(text):
     return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} or ({tuple(w)} if w else set())
 
 
-@pytest.mark.parametrize("cap", [1024, 4])
+@pytest.mark.parametrize("cap", [near_copies.BLOCK, 10_000])
 def test_near_copies_equal_brute_force(spark, cap):
     rng = random.Random(5)
     rows = []
@@ -470,6 +569,6 @@ def test_near_dedup_stage_is_by_similarity(spark):
 
 
 def test_pipeline_stages_on_odd_rows(spark, odd):
-    for _, stage in corpus_pipeline.STAGES[2:]:
+    for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, odd, DATA).count() > 0
         assert stage(spark, odd.filter("false"), DATA).count() == 0
