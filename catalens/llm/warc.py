@@ -7,23 +7,29 @@ the headers that a 304 response may bring anew are taken from the revisit.
 
 from __future__ import annotations
 
+import itertools
+import zlib
+from collections.abc import Iterator
+from datetime import datetime
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Headers that a 304 response carries to update the stored ones (RFC 9110, 15.4.5, and Age, Last-Modified); fixed values.
 PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "vary", "age", "last-modified")
 #: Query parameters that only track where a visitor came from (fixed values).
-TRACKING = "utm_[a-z]+|ref|fbclid|gclid|sessionid"
+TRACKING = "utm_[a-z]+|fbclid|gclid"
 SLICES = 1024
 _END = "\r\n\r\n"
 
 
 def canonical_url(url: Column) -> Column:
-    """The URL without scheme, user, www or m in front of the host, default port, fragment, tracking parameters, index page and final slash; host in lower case."""
+    """The URL without scheme, user, www in front of a host of two or more labels, default port, fragment, tracking parameters, index page and final slash; host in lower case."""
     u = F.regexp_replace(F.trim(url), "#.*$", "")
     u = F.regexp_replace(u, "^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?@]*@)?", "")
     host, rest = F.lower(F.regexp_extract(u, "^[^/?]*", 0)), F.regexp_replace(u, "^[^/?]*", "")
-    host = F.regexp_replace(F.regexp_replace(host, ":(80|443)$", ""), "^(www|m)\\.", "")
+    host = F.regexp_replace(F.regexp_replace(host, ":(80|443)$", ""), "^www\\.(?=[^.]+\\.)", "")
     rest = F.regexp_replace(rest, f"([?&])((?:{TRACKING})=[^&]*(&|$))+", "$1")
     rest = F.regexp_replace(rest, "[?&]$", "")
     rest = F.regexp_replace(rest, "/(index\\.html?)?(\\?|$)", "$2")
@@ -47,19 +53,21 @@ def resolve_revisits(records: DataFrame, slices: int = SLICES) -> DataFrame:
     earlier full response. Only resolved rows carry headers and body of the response; others keep the revisit's headers.
 
     Earlier means a smaller ts; of full responses at one ts that of the largest record_id counts. Rows with a null URL
-    or ts are missing. Repeated rows come back as often. Each URL's records are cut into ``slices`` of time, so that one
+    or ts are missing. Repeated rows come back as often. Body columns may have any names, but those named canonical_url,
+    state or refers_to give way to the result's. Each URL's records are cut into ``slices`` of time, so that one
     URL with a third of all records is spread over as many tasks: a slice hands its last full response to the later ones.
     """
     fixed = {"record_id", "url", "ts", "type", "status", "headers"}
-    body = [c for c in records.columns if c.lower() not in fixed]
-    rows = records.withColumn("canonical_url", canonical_url(F.col("url"))).withColumn("headers", F.coalesce("headers", F.create_map().cast("map<string,string>")))
+    body = [c for c in records.columns if c.lower() not in fixed | {"canonical_url", "state", "refers_to"}]
+    rest = F.struct(*[F.col(f"`{c}`") for c in body]) if body else F.lit(None).cast("int")
+    rows = records.select("record_id", "url", "ts", "type", "status", canonical_url(F.col("url")).alias("canonical_url"), F.coalesce("headers", F.create_map().cast("map<string,string>")).alias("headers"), rest.alias("rest"))
     low, high = records.agg(F.min("ts"), F.max("ts")).first()
     low, high = low or 0, high or 0
     width = max(1, -(-(high - low + 1) // slices))
     rows = rows.withColumn("__slice", F.floor((F.col("ts") - F.lit(low)) / F.lit(width)).cast("int"))
     full = (F.col("type") == "response") & (F.col("status") == 200) & F.col("canonical_url").isNotNull() & F.col("ts").isNotNull()
     # maps have no order: what is compared comes first, and the headers travel as entries
-    held = F.when(full, F.struct("ts", "record_id", F.sort_array(F.map_entries("headers")).alias("entries"), *[F.col(f"`{c}`") for c in body]))
+    held = F.when(full, F.struct("ts", "record_id", F.sort_array(F.map_entries("headers")).alias("entries"), "rest"))
     rows = rows.withColumn("__full", held)
     inside = Window.partitionBy("canonical_url", "__slice").orderBy("ts").rangeBetween(Window.unboundedPreceding, -1)
     before = Window.partitionBy("canonical_url").orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -79,49 +87,101 @@ def resolve_revisits(records: DataFrame, slices: int = SLICES) -> DataFrame:
     ok = F.col("state") == "resolved"
     return out.select(
         "record_id", "canonical_url", "ts", "state", F.when(F.col("state") != "missing", F.col("found.record_id")).alias("refers_to"),
-        F.when(ok, merged).otherwise(F.col("headers")).alias("headers"), *[F.when(ok, F.col(f"found.`{c}`")).alias(c) for c in body],
+        F.when(ok, merged).otherwise(F.col("headers")).alias("headers"), *[F.when(ok, F.col(f"found.rest.`{c}`")).alias(c) for c in body],
     )
 
 
 def to_warc(records: DataFrame) -> DataFrame:
-    """One string column ``record``: each record of (record_id, url, ts in seconds, type, headers, body) as WARC/1.1 text.
+    """One string column ``record``: each record of (record_id, url, ts in seconds, type, headers, body) as WARC/1.1.
 
-    Write it with ``write_warc``. A null body is empty, null headers are none.
+    Write it with ``write_warc``. A body may be a string or binary, whose bytes are kept as they are; a null body is
+    empty, null headers are none. A record_id that is no string is written as ``urn:id:`` and its digits.
     """
+    urn = F.col("record_id") if dict(records.dtypes)["record_id"] == "string" else F.concat(F.lit("urn:id:"), F.col("record_id").cast("string"))
     lines = F.array_join(F.transform(F.sort_array(F.map_entries(F.coalesce("headers", F.create_map().cast("map<string,string>")))), lambda e: F.concat(e["key"], F.lit(": "), e["value"])), "\r\n")
-    block = F.concat(F.concat(F.lit("HTTP/1.1 "), F.when(F.col("type") == "revisit", "304 Not Modified").otherwise("200 OK"), F.lit("\r\n")), lines, F.lit(_END), F.coalesce("body", F.lit("")))
+    block = F.concat(F.concat(F.lit("HTTP/1.1 "), F.when(F.col("type") == "revisit", "304 Not Modified").otherwise("200 OK"), F.lit("\r\n")), lines, F.lit(_END), F.coalesce(F.col("body").cast("string"), F.lit("")))
     profile = F.when(F.col("type") == "revisit", "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/server-not-modified\r\n").otherwise("")
-    head = F.concat(F.lit("WARC/1.1\r\nWARC-Type: "), F.col("type"), F.lit("\r\n"), profile, F.lit("WARC-Record-ID: <urn:id:"), F.col("record_id").cast("string"), F.lit(">\r\nWARC-Target-URI: "), F.coalesce("url", F.lit("")), F.lit("\r\nWARC-Date: "), F.date_format(F.timestamp_seconds("ts"), "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.lit("\r\nContent-Type: application/http; msgtype=response\r\nContent-Length: "), F.octet_length(block).cast("string"), F.lit(_END))
+    head = F.concat(F.lit("WARC/1.1\r\nWARC-Type: "), F.col("type"), F.lit("\r\n"), profile, F.lit("WARC-Record-ID: <"), F.coalesce(urn, F.lit("")), F.lit(">\r\nWARC-Target-URI: "), F.coalesce("url", F.lit("")), F.lit("\r\nWARC-Date: "), F.date_format(F.timestamp_seconds("ts"), "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.lit("\r\nContent-Type: application/http; msgtype=response\r\nContent-Length: "), F.octet_length(block).cast("string"), F.lit(_END))
     return records.select(F.concat(head, block).alias("record"))
 
 
 def write_warc(records: DataFrame, path: str) -> None:
-    """Uncompressed WARC files, one for each partition."""
+    """Uncompressed WARC/1.1 files, one for each partition."""
     to_warc(records).write.option("lineSep", _END).text(path)
 
 
+def _fields(lines: list[bytes]) -> dict[str, str]:
+    """Header lines as a map of lower-case names; values of a repeated name are joined by a comma."""
+    found: dict[str, str] = {}
+    for line in lines:
+        name, colon, value = line.decode("utf-8", "replace").partition(":")
+        if colon:
+            name, value = name.strip().lower(), value.strip()
+            found[name] = f"{found[name]}, {value}" if name in found else value
+    return found
+
+
+def _records(data: bytes) -> Iterator[tuple[dict[str, str], bytes, bool]]:
+    """Header, block and whether it is whole, of each record of an uncompressed file; blocks end by Content-Length alone."""
+    at = 0
+    while (at := data.find(b"WARC/1.", at)) >= 0:
+        end = data.find(b"\r\n\r\n", at)
+        if end < 0:
+            return
+        head = _fields(data[at:end].split(b"\r\n")[1:])
+        size = int(head["content-length"]) if head.get("content-length", "").isdigit() else 0
+        block = data[end + 4 : end + 4 + size]
+        yield head, block, len(block) == size and "content-length" in head
+        at = end + 4 + size
+
+
+def _members(data: bytes) -> Iterator[bytes]:
+    """The members of a gzip file one by one, or a file that is none as it is."""
+    if data[:2] != b"\x1f\x8b":
+        yield data
+        return
+    while data[:2] == b"\x1f\x8b":
+        member = zlib.decompressobj(31)
+        yield member.decompress(data)
+        data = member.unused_data
+
+
+def _seconds(date: str | None) -> int | None:
+    try:
+        return int(datetime.fromisoformat(date).timestamp())
+    except (TypeError, ValueError):
+        return None
+
+
+def _row(head: dict[str, str], block: bytes, whole: bool) -> tuple:
+    kind, status, headers, body = head.get("warc-type"), None, {}, block
+    if block[:5] == b"HTTP/" and kind in ("response", "revisit"):
+        lines, _, body = block.partition(b"\r\n\r\n")
+        first, *rest = lines.split(b"\r\n")
+        code = first.split(b" ")[1:2]
+        status, headers = int(code[0]) if code and code[0].isdigit() and len(code[0]) == 3 else None, _fields(rest)
+    return head.get("warc-record-id", "").strip("<> ") or None, head.get("warc-target-uri", "").strip("<>") or None, _seconds(head.get("warc-date")), kind, status, list(headers.items()), body, whole
+
+
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """Records of uncompressed WARC files: record_id, url, ts, type, status, headers, body, whole.
+    """Records of WARC/1.0 and 1.1 files, plain or gzip: record_id (without brackets), url, ts, type, status, headers, body (binary), whole.
 
-    Files are cut where a record's end meets the next one's first line, so large files are read by many tasks. ``whole``
-    says whether the block is as long as its header has it.
+    A task reads whole files, as gzip members can't be found without reading, so files should be of the usual size, 1 GB
+    or so at most. Blocks are cut by their length in bytes, whatever they hold. ``whole`` says whether a block is as long
+    as its header has it; one that is cut short, or whose length is missing, comes back as far as it goes. Status and
+    headers are those of HTTP responses and revisits; a date that can't be read is null.
     """
-    raw = spark.read.option("lineSep", _END + "WARC/1.1\r\n").text(path).filter("value <> ''").select(F.concat(F.lit("\r\n"), F.regexp_replace("value", "^WARC/1\\.[01]\r\n", "")).alias("v"))
-    at = F.instr("v", _END)
-    parts = raw.select(F.substring("v", F.lit(1), at - 1).alias("head"), F.col("v").substr(at + 4, F.length("v")).alias("block"))
-    get = lambda name: F.regexp_extract("head", f"(?i)\r\n{name}:[ \t]*([^\r\n]*)", 1)
-    size = F.expr("try_cast(size as int)")
-    parts = parts.select("*", get("Content-Length").alias("size"))
-    cut = parts.withColumn("block", F.when(size.isNotNull() & (F.octet_length("block") > size), F.decode(F.substring(F.encode("block", "UTF-8"), F.lit(1), size), "UTF-8")).otherwise(F.col("block")))
-    http = F.instr("block", _END)
-    names = F.slice(F.split(F.substring("block", F.lit(1), http - 1), "\r\n"), 2, 1000)
-    headers = F.map_from_entries(F.transform(F.filter(names, lambda x: F.instr(x, ":") > 0), lambda x: F.struct(F.lower(F.trim(F.substring_index(x, ":", 1))), F.trim(F.substring(x, F.instr(x, ":") + 1, F.length(x))))))
-    return cut.select(
-        F.expr("try_cast(regexp_extract(head, '<urn:id:([0-9]+)>', 1) as long)").alias("record_id"), get("WARC-Target-URI").alias("url"),
-        F.unix_timestamp(F.try_to_timestamp(get("WARC-Date"), F.lit("yyyy-MM-dd'T'HH:mm:ss'Z'"))).alias("ts"), get("WARC-Type").alias("type"),
-        F.expr("try_cast(regexp_extract(block, '^HTTP/[0-9.]+ ([0-9]{3})', 1) as int)").alias("status"), headers.alias("headers"),
-        F.col("block").substr(http + 4, F.length("block")).alias("body"), (F.octet_length("block") == size).alias("whole"),
-    )
+    types = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.int32(), pa.map_(pa.string(), pa.string()), pa.binary(), pa.bool_()]
+    names = ["record_id", "url", "ts", "type", "status", "headers", "body", "whole"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                rows = (_row(*r) for m in _members(batch.column(0)[i].as_py()) for r in _records(m))
+                while some := list(itertools.islice(rows, 500)):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*some), types)], names=names)
+
+    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, "record_id string, url string, ts long, type string, status int, headers map<string,string>, body binary, whole boolean")
 
 
 def crawls(pages: DataFrame) -> DataFrame:
@@ -151,9 +211,12 @@ def op10_revisits(pages: DataFrame) -> DataFrame:
     return done.select("record_id", "canonical_url", "state", "refers_to", lines.alias("header_lines"), "body_sha256", "body_bytes")
 
 
-_CANON = f"""concat(
-  regexp_replace(regexp_replace(lower(regexp_extract(u, '^[^/?]*')), ':(80|443)$', ''), '^(www|m)\\.', ''),
-  regexp_replace(regexp_replace(regexp_replace(regexp_replace(u, '^[^/?]*', ''), '([?&])((?:{TRACKING})=[^&]*(&|$))+', '\\1', 'g'), '[?&]$', ''), '/(index\\.html?)?(\\?|$)', '\\2', 'g'))"""
+_CANON = """(
+  WITH a AS (SELECT split_part(u, '/', 1) AS h0, substr(u, strlen(split_part(u, '/', 1)) + 1) AS r0),
+  b AS (SELECT split_part(lower(split_part(h0, '?', 1)), ':', 1) AS h1, CASE WHEN h0 LIKE '%?%' THEN substr(h0, strpos(h0, '?')) || r0 ELSE r0 END AS r1 FROM a),
+  c AS (SELECT CASE WHEN h1 LIKE 'www.%' AND len(string_split(h1, '.')) > 2 THEN substr(h1, 5) ELSE h1 END AS h, split_part(r1, '?', 1) AS p,
+    list_filter(string_split(substr(r1, strlen(split_part(r1, '?', 1)) + 2), '&'), lambda x: x <> '' AND NOT (x LIKE 'utm\\_%' ESCAPE '\\' OR x LIKE 'fbclid=%' OR x LIKE 'gclid=%')) AS q FROM b)
+  SELECT h || CASE WHEN p LIKE '%/index.html' THEN left(p, len(p) - 11) WHEN p LIKE '%/' THEN left(p, len(p) - 1) ELSE p END || CASE WHEN len(q) > 0 THEN '?' || array_to_string(q, '&') ELSE '' END FROM c)"""
 ORACLE = f"""
 WITH p AS (
   SELECT page_id AS id, url, '"' || md5(html) || '"' AS tag, 'day ' || (page_id % 28) AS changed, sha256(html) AS sha, strlen(html) AS bytes FROM pages),

@@ -1,6 +1,7 @@
 """The operators against brute force, round trips, held-out accuracy and odd tables."""
 
 import base64
+import gzip
 import hashlib
 import itertools
 import math
@@ -500,10 +501,34 @@ def test_revisits(spark):
 
 
 def test_warc_files_come_back(spark, tmp_path):
-    rows = [(1, "http://a/", 1_700_000_000, "response", {"etag": "x", "date": "é"}, "<p>\n\nä: b</p>"), (2, "http://b/", 1_700_000_001, "revisit", {"etag": "y"}, None)]
-    warc.write_warc(spark.createDataFrame(rows, "record_id long, url string, ts long, type string, headers map<string,string>, body string").coalesce(1), str(tmp_path / "w"))
-    got = sorted((r.record_id, r.url, r.ts, r.type, r.status, r.headers, r.body, r.whole) for r in warc.read_warc(spark, str(tmp_path / "w")).collect())
-    assert got == [(1, "http://a/", 1_700_000_000, "response", 200, rows[0][4], rows[0][5], True), (2, "http://b/", 1_700_000_001, "revisit", 304, rows[1][4], "", True)]
+    odd = b"\xff\x00 \r\n\r\nWARC/1.1\r\n\r\n"
+    rows = [(1, "http://a/", 1_700_000_000, "response", {"etag": "x", "date": "é"}, odd), (2, "http://b/", 1_700_000_001, "revisit", {"etag": "y"}, None)]
+    warc.write_warc(spark.createDataFrame(rows, "record_id long, url string, ts long, type string, headers map<string,string>, body binary").coalesce(1), str(tmp_path / "w"))
+    told = lambda p: sorted((r.record_id, r.url, r.ts, r.type, r.status, r.headers, bytes(r.body), r.whole) for r in warc.read_warc(spark, p).collect())
+    want = [("urn:id:1", "http://a/", 1_700_000_000, "response", 200, rows[0][4], odd, True), ("urn:id:2", "http://b/", 1_700_000_001, "revisit", 304, rows[1][4], b"", True)]
+    assert told(str(tmp_path / "w")) == want
+
+
+def test_warc_versions_members_and_broken_records(spark, tmp_path):
+    def record(version, id_, block, size=None):
+        head = f"WARC/{version}\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:uuid:{id_}>\r\nWARC-Date: 2020-01-02T03:04:05Z\r\nContent-Length: {len(block) if size is None else size}\r\n\r\n"
+        return head.encode() + block + b"\r\n\r\n"
+
+    blocks = [b"HTTP/1.1 200 OK\r\nA: 1\r\na: 2\r\n\r\n" + bytes([k, 255]) * k for k in range(5)]
+    files = {"old": b"".join(record("1.0", k, b) for k, b in enumerate(blocks)), "zip.gz": b"".join(gzip.compress(record("1.1", k, b)) for k, b in enumerate(blocks)), "long": record("1.1", 0, blocks[0], 10_000), "none": b""}
+    for name, data in files.items():
+        (tmp_path / name).write_bytes(data)
+        got = sorted((r.record_id, r.status, r.headers, bytes(r.body), r.whole, r.ts) for r in warc.read_warc(spark, str(tmp_path / name)).collect())
+        n = {"long": 1, "none": 0}.get(name, 5)
+        assert [(i, s, h, t) for i, s, h, _, _, t in got] == [(f"urn:uuid:{k}", 200, {"a": "1, 2"}, 1577934245) for k in range(n)]
+        assert name == "long" or [(b, w) for _, _, _, b, w, _ in got] == [(bytes([k, 255]) * k, True) for k in range(n)]
+        assert name != "long" or not got[0][4]
+
+
+def test_revisits_keep_columns_of_any_name_and_hosts_apart(spark):
+    df = spark.createDataFrame([(1, "http://m.com/a", 1, "response", 200, {"etag": "1"}, 7, 8, 9), (2, "http://www.com/a", 5, "revisit", 304, {"etag": "1"}, 1, 1, 1), (3, "http://www.m.com/a/", 5, "revisit", 304, {"etag": "1"}, 1, 1, 1)], "record_id long, url string, ts long, type string, status int, headers map<string,string>, entries int, canonical_url int, rest int")
+    got = {r.record_id: (r.state, r.canonical_url, r.entries, r.rest) for r in warc.resolve_revisits(df).collect()}
+    assert got == {2: ("missing", "www.com/a", None, None), 3: ("resolved", "m.com/a", 7, 9)}
 
 
 def test_revisit_query_equals_sql(spark):
