@@ -176,7 +176,7 @@ def translations_from_names(collected: DataFrame) -> DataFrame:
     """(item_id, lang, label, names): names as displayed, distinct in order; the first is the label."""
     shown = collected.select("item_id", "lang", "n", display_name(F.col("name"), F.col("lang")).alias("name"))
     every = shown.groupBy("item_id", "lang").agg(F.array_distinct(F.transform(F.sort_array(F.collect_list(F.struct("n", "name"))), lambda s: s["name"])).alias("all"))
-    return every.select("item_id", "lang", F.element_at("all", 1).alias("label"), F.slice("all", 2, 1000000).alias("names"))
+    return every.select("item_id", "lang", F.element_at("all", 1).alias("label"), F.slice("all", F.lit(2), F.size("all")).alias("names"))
 
 
 def merge_names_into_translations(translations: DataFrame, found: DataFrame) -> DataFrame:

@@ -70,6 +70,11 @@ def fill_country(observations: DataFrame, boxes: DataFrame, cell: float = 10.0)
     return observations.join(best, "obs_key", "left").withColumn("country", F.coalesce("country", "box")).drop("box")
 
 
+def review_queue(observations: DataFrame) -> DataFrame:
+    """The observations that wait for a review."""
+    return observations.filter(F.col("status") == "review")
+
+
 def review_decisions(observations: DataFrame, decisions: DataFrame) -> DataFrame:
     """Observations (obs_key, status, photos, note) after decisions (obs_key, decision, reason).
 

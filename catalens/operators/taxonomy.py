@@ -18,16 +18,25 @@ def path_to_map(path: Column) -> Column:
     return F.map_from_entries(F.transform(F.reverse(path), lambda s, i: F.struct(F.concat(F.lpad(i.cast("string"), 2, "0"), F.lit("_"), s["rank"]), s["name"])))
 
 
-def taxon_flatten(edges: DataFrame, root: str, depth: int = 16) -> DataFrame:
-    """(path, name, rank, level) of a tree given as (name, parent, rank): each step joins one level to its children, at most ``depth``."""
-    level = edges.filter(F.col("parent") == root).select(F.col("name").alias("path"), "name", "rank", F.lit(0).alias("level"))
-    out = level
-    for n in range(1, depth):
-        level = level.select(F.col("name").alias("parent"), F.col("path").alias("above")).join(edges, "parent").select(F.concat_ws("/", "above", "name").alias("path"), "name", "rank", F.lit(n).alias("level"))
-        if level.isEmpty():
+def taxon_flatten(edges: DataFrame, root: str, save=lambda df: df) -> DataFrame:
+    """(path, name, rank, level) of a tree given as (name, parent, rank): each step joins one level to its children, down to the last.
+
+    ``save`` may cut a level's lineage (a checkpoint, say), so that it isn't worked out again for each level below it. A
+    name that is its own ancestor is an error.
+    """
+    level = save(edges.filter(F.col("parent") == root).select(F.col("name").alias("path"), "name", "rank", F.lit(0).alias("level")))
+    out, n = level, 0
+    while True:
+        n += 1
+        again = F.array_contains(F.split("above", "/"), F.col("name"))
+        level = save(level.select(F.col("name").alias("parent"), F.col("path").alias("above")).join(edges, "parent").select(F.concat_ws("/", "above", "name").alias("path"), "name", "rank", F.lit(n).alias("level"), again.alias("again")))
+        rows, cycle = level.agg(F.count("*"), F.max("again")).first()
+        if cycle:
+            raise ValueError("a taxon is its own ancestor")
+        if not rows:
             return out
+        level = level.drop("again")
         out = out.unionByName(level)
-    return out
 
 
 def taxon_rollup(items: DataFrame) -> DataFrame:

@@ -15,9 +15,15 @@ from catalens.sources import dumps
 
 @query("facet_keys", "WITH a AS (SELECT DISTINCT p_brand AS v FROM part UNION ALL SELECT ''), b AS (SELECT DISTINCT p_type AS v FROM part UNION ALL SELECT '') SELECT a.v || '_' || b.v AS key FROM a, b")
 def facet_keys(spark, d):
-    """The key domain of the brands and types that occur (a fixed set of each)."""
+    """The key domain of the brands and types that occur; the sets are fixed and small, so more than 1000 values are an error."""
     p = t(spark, d, "part")
-    values = lambda c: sorted(r[0] for r in p.select(c).distinct().limit(1000).collect())
+
+    def values(c):
+        found = sorted(r[0] for r in p.select(c).distinct().limit(1001).collect())
+        if len(found) > 1000:
+            raise ValueError(f"{c} has more than 1000 values and is no axis of a key domain")
+        return found
+
     return facets.facet_keys(spark, {"brand": values("p_brand"), "type": values("p_type")})
 
 

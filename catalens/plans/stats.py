@@ -129,3 +129,11 @@ def sister_items(spark, d):
 def fill_from_group(spark, d):
     traits = part_traits(spark, d)
     return stats.fill_from_group(traits, stats.sister_items(traits.select("item_id", "name")), traits)
+
+
+@query("review_queue", "SELECT event_id AS obs_key, 'review' AS status, user_id FROM events WHERE event_type = 'purchase'")
+def review_queue(spark, d):
+    """Purchases wait for a review; other events are new or have no status."""
+    e = spark.read.parquet(f"{d}/events.parquet")
+    status = F.when(F.col("event_type") == "purchase", "review").when(F.col("event_type") == "click", "new")
+    return stats.review_queue(e.select(F.col("event_id").alias("obs_key"), status.alias("status"), "user_id"))

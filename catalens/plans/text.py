@@ -163,14 +163,13 @@ def draft_sections(spark, d):
     """Documents as pages: lead and lines as sections, frequent syllables as the fields' words."""
     lines = F.split("text", "\n")
     line = lambda i: F.coalesce(F.try_element_at(lines, F.lit(i)), F.lit(""))
-    pages = t(spark, d, "documents").select(F.col("doc_id").alias("item_id"), line(1).alias("lead"), line(2).alias("description"), line(3).alias("ecology"), line(4).alias("distribution"), F.array_join(F.slice(lines, 5, 100000), "\n").alias("other"), F.array(F.lit(1), F.lit(4)).alias("codes"), F.lit(None).cast("string").alias("fruit"), F.col("source").alias("lifeform"))
+    pages = t(spark, d, "documents").select(F.col("doc_id").alias("item_id"), line(1).alias("lead"), line(2).alias("description"), line(3).alias("ecology"), line(4).alias("distribution"), F.array_join(F.slice(lines, F.lit(5), F.size(lines)), "\n").alias("other"), F.array(F.lit(1), F.lit(4)).alias("codes"), F.lit(None).cast("string").alias("fruit"), F.col("source").alias("lifeform"))
     return ops.draft_sections(pages, WORDS, {1: ("the", "la"), 4: ("ing", "que")})
 
 
-@query("group_text_consensus", "SELECT source, CASE WHEN bool_or(strpos(lower(text), 'token') > 0) THEN 'has a token' WHEN bool_or(strpos(lower(text), '|') > 0) THEN 'has a table' ELSE 'plain' END AS sentence FROM documents WHERE doc_id % 5 = 0 AND length(text) > 300 AND text <> '' GROUP BY source HAVING count(*) >= 2 AND bool_and(strpos(lower(text), 'e') > 0)")
+@query("group_text_consensus", "SELECT source, CASE WHEN bool_or(strpos(lower(text), 'token') > 0) THEN 'has a token' WHEN bool_or(strpos(lower(text), '|') > 0) THEN 'has a table' ELSE 'plain' END AS sentence FROM documents WHERE text <> '' GROUP BY source HAVING count(*) >= 2 AND bool_and(strpos(lower(text), 'e') > 0)")
 def group_text_consensus(spark, d):
-    docs = t(spark, d, "documents").filter("doc_id % 5 = 0 and length(text) > 300")
-    return ops.group_text_consensus(docs, "source", "text", "e", [("token", "has a token"), ("|", "has a table")], "plain")
+    return ops.group_text_consensus(t(spark, d, "documents"), "source", "text", "e", [("token", "has a token"), ("|", "has a table")], "plain")
 
 
 # ---- scalar functions, each over a whole table
@@ -269,7 +268,30 @@ def sparse_count(spark, d):
     return t(spark, d, "orders").select("o_orderkey", S.sparse_count(values).alias("n"))
 
 
-@query("plural_copy", "SELECT l_orderkey, CASE WHEN count(*) = 1 THEN 'one line' ELSE count(*) || ' lines' END AS copy, l_orderkey || '-tok…' || right('' || l_orderkey || '-token-token', 4) AS masked FROM lineitem GROUP BY l_orderkey HAVING l_orderkey BETWEEN 1000 AND 9999")
+@query("plural_copy", "SELECT l_orderkey, CASE WHEN count(*) = 1 THEN 'one line' ELSE count(*) || ' lines' END AS copy, left(l_orderkey || '-token-token', 8) || '…oken' AS masked FROM lineitem GROUP BY l_orderkey")
 def plural_copy(spark, d):
-    n = t(spark, d, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("n")).filter("l_orderkey between 1000 and 9999")
+    n = t(spark, d, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("n"))
     return n.select("l_orderkey", S.plural_copy(F.col("n"), "one line", "{n} lines").alias("copy"), S.mask_token(F.concat(F.col("l_orderkey").cast("string"), F.lit("-token-token"))).alias("masked"))
+
+
+@query("mask_token", "SELECT c_custkey, CASE WHEN length(c_name) <= 12 THEN c_name ELSE substr(c_name, 1, 8) || '…' || substr(c_name, -4) END AS masked, c_nationkey::VARCHAR AS short FROM customer")
+def mask_token(spark, d):
+    return t(spark, d, "customer").select("c_custkey", S.mask_token(F.col("c_name")).alias("masked"), S.mask_token(F.col("c_nationkey").cast("string")).alias("short"))
+
+
+@query("url_title", "SELECT page_id, replace(string_split(rtrim(url, '/'), '/')[-1], '_', ' ') AS title FROM pages WHERE url NOT LIKE '%\\%%' ESCAPE '\\'")
+def url_title(spark, d):
+    """Titles of the pages' own URLs; those with escapes are in ``url_language``."""
+    return t(spark, d, "pages").filter(~F.col("url").contains("%")).select("page_id", S.url_title(F.col("url")).alias("title"))
+
+
+@query("storage_folder", "SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN 'Unknown' ELSE n_name END || '/' || CASE WHEN s_suppkey % 5 = 0 THEN 'Unknown' ELSE 'n' || s_nationkey END || '/' || replace(s_name || ' x', ' ', '_') AS folder FROM supplier JOIN nation ON s_nationkey = n_nationkey")
+def storage_folder(spark, d):
+    s = t(spark, d, "supplier").join(t(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    order, family = F.when(F.col("s_suppkey") % 3 != 0, F.col("n_name")), F.when(F.col("s_suppkey") % 5 == 0, "").otherwise(F.concat(F.lit("n"), F.col("s_nationkey").cast("string")))
+    return s.select("s_suppkey", S.storage_folder(order, family, F.concat("s_name", F.lit(" x"))).alias("folder"))
+
+
+@query("slug", "SELECT p_partkey, replace(p_name, ' ', '_') AS slug FROM part")
+def slug(spark, d):
+    return t(spark, d, "part").select("p_partkey", S.slug(F.col("p_name")).alias("slug"))
