@@ -54,6 +54,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The packed pieces of what all stages keep; each stage's result is a table in the shared folder.
+
+    Rows with null ids or texts, repeated rows and columns of other names are treated as the stages' operators say; an
+    empty ``documents`` gives an empty result.
+    """
     docs = table(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
         out = stage(spark, docs, sf_dir)
