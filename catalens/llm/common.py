@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -18,15 +19,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or for a session without it one of its own."""
+    """The folder that all executors share: spark.checkpoint.dir; only a local session, whose executor is itself, may do without it."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        found = found or tempfile.mkdtemp(prefix="catalens-")
+        found = found or local_dir(sc.master)
         sc.setCheckpointDir(found)
     return found or sc._jsc.sc().getCheckpointDir().get()
 
 
+def local_dir(master: str) -> str:
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix="catalens-")
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
