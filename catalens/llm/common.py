@@ -84,6 +84,22 @@ def texts_of(batch: pa.RecordBatch, name: str) -> list[str | None]:
     return batch.column(batch.schema.get_field_index(name)).to_numpy(zero_copy_only=False).tolist()
 
 
+_HELD: dict = {}
+
+
+def held(key: object, make: Callable):
+    """What ``make`` gives, kept by a Python worker for its next tasks until another key is asked for."""
+    if key not in _HELD:
+        release()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
+def release() -> None:
+    """Let go of what tasks of another operator kept in this worker."""
+    _HELD.clear()
+
+
 class Memo(dict):
     """A dictionary that makes missing values and holds ``limit`` of them at most.
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalens.llm.chunks import Column, cut_at_spaces, gathered, slices, with_ends
-from catalens.llm.common import Memo, append, byte_shower, fresh, map_batches, saved, with_columns
+from catalens.llm.common import Memo, append, byte_shower, fresh, held, map_batches, saved, with_columns
 
 CAPACITY, END_ID, PIECES_PER_TASK = 4096, 1, 40_000
 
@@ -152,7 +152,8 @@ def pack(pieces: DataFrame, length: str = "length", capacity: int = CAPACITY, pe
 
 #: The pattern whose matches a word-level file encodes, white space left out (a fixed value of the file).
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-_ENCODERS: dict[str, WordEncoder] = {}
+#: Bytes of text that are encoded at once.
+SLICE = 2_000_000
 
 
 class WordEncoder:
@@ -171,7 +172,7 @@ class WordEncoder:
         self.tokenize, self.normalize = self.tokenizer.model.tokenize, self.tokenizer.normalizer.normalize_str
         self.find, self.shown = regex.compile(WORD_PATTERN).findall, byte_shower()
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.of_piece, self.of_chunk = Memo(self._ids, 300_000), Memo(self._chunk, 1_200_000)
+        self.of_piece, self.of_chunk = Memo(self._ids, 200_000), Memo(self._chunk, 700_000)
 
     def _ids(self, piece: str) -> bytes:
         letters = piece if piece.isascii() and piece.isalnum() else self.shown(piece)
@@ -204,10 +205,8 @@ class WordEncoder:
 
 
 def word_encoder(path: str) -> WordEncoder:
-    """The encoder of a file, kept by each Python worker."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+    """The encoder of a file, kept by each Python worker until it works for another operator."""
+    return held(("words", path), lambda: WordEncoder(path))
 
 
 def cut(df: DataFrame, path: str, text: str = "text", capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
@@ -220,7 +219,7 @@ def cut(df: DataFrame, path: str, text: str = "text", capacity: int = CAPACITY,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = word_encoder(path)
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, SLICE):
                 at = part.schema.get_field_index(text)
                 rest = pa.RecordBatch.from_arrays([c for i, c in enumerate(part.columns) if i != at], names=[n for i, n in enumerate(part.schema.names) if i != at])
                 ids, count = with_ends(*encode.column(part.column(at)), end_id)

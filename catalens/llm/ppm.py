@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalens.llm.chunks import slices
-from catalens.llm.common import append, fold, held_out, texts_of, with_columns
+from catalens.llm.common import append, fold, held_out, release, texts_of, with_columns
 
 #: Bytes of context; documents of each language in the fitting sample, whose whole texts it takes.
 ORDER, SAMPLE_DOCUMENTS = 4, 300
@@ -115,7 +115,7 @@ class PPM:
 class Coder:
     """Code lengths of texts by a model, with the words' costs kept."""
 
-    def __init__(self, model: PPM, limit: int = 400_000):
+    def __init__(self, model: PPM, limit: int = 200_000):
         self.model, self.limit = model, limit
         self._clear()
 
@@ -167,10 +167,11 @@ def identify(df: DataFrame, model: PPM, text: str = "text") -> DataFrame:
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         coder = Coder(shared.value)
         langs = np.array([*shared.value.langs, UNDETERMINED], object)
         for batch in batches:
-            for part in slices(batch, text, 4_000_000):
+            for part in slices(batch, text, 2_000_000):
                 texts = texts_of(part, text)
                 use = [i for i, t in enumerate(texts) if t is not None and len(langs) > 1 and _LETTER.search(t)]
                 best, score, bits = np.full(len(texts), len(langs) - 1), np.zeros(len(texts)), np.zeros(len(texts))

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalens.llm.common import Memo, append, fold, held_out, texts_of, with_columns
+from catalens.llm.common import Memo, append, fold, held_out, release, texts_of, with_columns
 
 #: Labelled documents of the fitting sample.
 SAMPLE_DOCUMENTS, THRESHOLD = 4_000, 0.7
@@ -292,6 +292,7 @@ def _mapped(df: DataFrame, model: ToxicityModel, more: str, work) -> DataFrame:
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         scorer = Scorer(shared.value)
         for batch in batches:
             yield append(batch, **work(scorer, batch))
