@@ -168,6 +168,54 @@ def validate_packets(packets: DataFrame, files: DataFrame, rules: dict[str, Colu
     return out.withColumn("ok", F.size("errors") == 0)
 
 
+#: Codes that a packet's axes may hold, roles that its first photo may have, and texts that it needs in English (fixed values).
+AXES = {"color": (1, 5), "habitat": (1, 6), "petal": (1, 4)}
+FIRST_ROLES = ("flower", "inflorescence")
+ENGLISH_TEXTS = ("description", "flower", "inflorescence", "fruit", "leaf", "stem", "habitat")
+
+
+def validate_job_packets(packets: DataFrame, files: DataFrame, regions: DataFrame, photos: int = 3) -> DataFrame:
+    """(item_id, errors, warnings, ok) of packets by the catalog's own rules.
+
+    packets: item_id, name, id, color, habitat, petal, region (codes), roles and photo_status, illustration_ok, folder and
+    map_file (asked for in ``files`` (path) where there is a folder), ipni_id, english (field -> text), traits (axis ->
+    struct of ok, confidence), unsourced (names), notes (warnings it has already), known. Regions not in ``regions``
+    (code) are an error each, in the packet's order; both look-ups are joins. Nulls count as missing.
+    """
+    have = files.select(F.col("path").alias("map_file"), F.lit(True).alias("__have")).distinct()
+    code = packets.select("item_id", F.posexplode("region").alias("pos", "code"))
+    odd = code.join(regions.select("code").distinct(), "code", "left_anti").groupBy("item_id").agg(F.sort_array(F.collect_list(F.struct("pos", "code"))).alias("__odd"))
+    rows = packets.join(have, "map_file", "left").join(odd, "item_id", "left")
+    none = F.array().cast("array<string>")
+    empty = lambda c: F.coalesce(F.size(F.col(c)), F.lit(0)) <= 0
+    out_of = lambda c, lo, hi: empty(c) | F.exists(c, lambda x: x.isNull() | ~x.between(lo, hi))
+    few = (F.coalesce("photo_status", F.lit("")) != "ok") | empty("roles") | (F.size("roles") < photos)
+    errors = [
+        F.when(given(F.col("name")).isNull(), "no accepted name"),
+        F.when(F.col("id").isNull(), "no id"),
+        *[F.when(out_of(c, lo, hi), f"{c} codes missing or not in {lo}-{hi}") for c, (lo, hi) in AXES.items()],
+        F.when(empty("region"), "no regions"),
+    ]
+    late = [
+        F.when(few, f"fewer than {photos} photos").when(~F.coalesce(F.try_element_at("roles", F.lit(1)).isin(*FIRST_ROLES), F.lit(False)), "first photo shows no flower"),
+        F.when(~F.coalesce("illustration_ok", F.lit(False)), "no illustration"),
+        F.when(F.col("folder").isNotNull() & F.col("__have").isNull(), "no distribution map"),
+    ]
+    unknown = F.transform(F.coalesce("__odd", F.array().cast("array<struct<pos:int,code:int>>")), lambda x: F.concat(F.lit("unknown region "), x["code"].cast("string")))
+    trait = lambda a: F.try_element_at("traits", F.lit(a))
+    lacking = F.array_join(F.array_compact(F.array(*[F.when(given(F.try_element_at("english", F.lit(f))).isNull(), f) for f in ENGLISH_TEXTS])), ", ")
+    warnings = [
+        *[F.when(trait(a).isNotNull() & ~F.coalesce(trait(a)["ok"], F.lit(False)), F.format_string(f"{a}: confidence %.2f is too low", F.coalesce(trait(a)["confidence"], F.lit(0.0)))) for a in AXES],
+        F.when(given(F.col("ipni_id")).isNull(), "no ipni id"),
+        F.when(lacking != "", F.concat(F.lit("english lacks "), lacking)),
+        F.when(~empty("unsourced"), F.concat(F.lit("names without a source: "), F.array_join("unsourced", ", "))),
+        F.when(F.col("known"), "already in the catalog"),
+    ]
+    listed = lambda cs: F.array_compact(F.array(*cs))
+    out = rows.select("item_id", F.concat(listed(errors), unknown, listed(late)).alias("errors"), F.concat(F.coalesce("notes", none), listed(warnings)).alias("warnings"))
+    return out.withColumn("ok", F.size("errors") == 0)
+
+
 def apply_media_to_records(records: DataFrame, photos: DataFrame) -> DataFrame:
     """Records (item_id, folder, source_urls) with photo URLs by slot from (item_id, slot, file, source): the first is the header's, sources go in front, distinct."""
     p = photos.groupBy("item_id").agg(F.sort_array(F.collect_list(F.struct("slot", "file", "source"))).alias("p"))

@@ -204,6 +204,31 @@ def validate_packets(spark, d):
     return out.select("item_id", F.array_join("errors", ",").alias("errors"), F.array_join("warnings", ",").alias("warnings"), "ok")
 
 
+PACKET_ERRORS = """[CASE WHEN k % 17 = 0 THEN 'no accepted name' END, CASE WHEN k % 19 = 0 THEN 'no id' END, CASE WHEN k % 6 = 0 OR p_size % 7 NOT BETWEEN 1 AND 5 THEN 'color codes missing or not in 1-5' END,
+  CASE WHEN p_size % 8 NOT BETWEEN 1 AND 6 THEN 'habitat codes missing or not in 1-6' END, CASE WHEN k % 9 = 0 THEN 'petal codes missing or not in 1-4' END, CASE WHEN k % 8 = 0 THEN 'no regions' END,
+  CASE WHEN k % 8 <> 0 AND k % 12 > 9 THEN 'unknown region ' || k % 12 END, CASE WHEN k % 8 <> 0 AND p_size % 13 > 9 THEN 'unknown region ' || p_size % 13 END,
+  CASE WHEN k % 10 = 0 OR p_size % 5 < 3 THEN 'fewer than 3 photos' WHEN k % 4 = 0 THEN 'first photo shows no flower' END, CASE WHEN k % 7 = 0 THEN 'no illustration' END, CASE WHEN k % 5 <> 0 AND k % 3 = 1 THEN 'no distribution map' END]"""
+PACKET_WARNINGS = """[CASE WHEN k % 13 = 0 THEN 'w' END, CASE WHEN k % 4 <> 3 AND p_size % 2 = 0 THEN 'color: confidence ' || printf('%.2f', p_size / 50.0) || ' is too low' END, CASE WHEN k % 5 = 0 THEN 'no ipni id' END,
+  CASE WHEN k % 3 = 0 THEN 'english lacks leaf' END, CASE WHEN k % 14 = 0 THEN 'names without a source: en=' || p_brand || ', de=x' END, CASE WHEN k % 11 = 0 THEN 'already in the catalog' END]"""
+
+
+@query("validate_job_packets", f"SELECT k AS item_id, list_filter({PACKET_ERRORS}, lambda x: x IS NOT NULL) AS errors, list_filter({PACKET_WARNINGS}, lambda x: x IS NOT NULL) AS warnings, len(errors) = 0 AS ok FROM (SELECT *, p_partkey AS k FROM part)")
+def validate_job_packets(spark, d):
+    """Parts as packets, each rule broken by some; of every third part there is no map, and only ten nations are regions."""
+    k, size, none = F.col("p_partkey"), F.col("p_size"), F.array().cast("array<int>")
+    texts = F.map_from_arrays(F.array(*map(F.lit, ops.ENGLISH_TEXTS)), F.array(*[F.when(k % 3 == 0, "").otherwise("t") if f == "leaf" else F.lit("t") for f in ops.ENGLISH_TEXTS]))
+    trait = F.struct((size % 2 == 1).alias("ok"), (size / 50).alias("confidence"))
+    packets = t(spark, d, "part").select(
+        k.alias("item_id"), F.when(k % 17 != 0, F.col("p_name")).otherwise("").alias("name"), F.when(k % 19 != 0, k).alias("id"), F.when(k % 6 != 0, F.array((size % 7).cast("int"))).otherwise(none).alias("color"), F.array(F.lit(1), (size % 8).cast("int")).alias("habitat"),
+        F.when(k % 9 != 0, F.array((1 + size % 4).cast("int"), F.lit(2))).alias("petal"), F.when(k % 8 != 0, F.array((k % 12).cast("int"), (size % 13).cast("int"))).otherwise(none).alias("region"), F.slice(F.array(F.when(k % 4 == 0, "leaf").otherwise("flower"), F.lit("leaf"), F.lit("fruit"), F.lit("habit")), F.lit(1), (size % 5).cast("int")).alias("roles"),
+        F.when(k % 10 != 0, "ok").alias("photo_status"), (k % 7 != 0).alias("illustration_ok"), F.when(k % 5 != 0, "d").alias("folder"), F.concat(F.lit("m"), k).alias("map_file"), F.when(k % 5 != 0, "i").otherwise("").alias("ipni_id"), texts.alias("english"), F.when(k % 4 != 3, F.create_map(F.lit("color"), trait)).alias("traits"),
+        F.when(k % 14 == 0, F.array(F.concat(F.lit("en="), "p_brand"), F.lit("de=x"))).alias("unsourced"), F.when(k % 13 == 0, F.array(F.lit("w"))).alias("notes"), (k % 11 == 0).alias("known"),
+    )
+    files = t(spark, d, "part").filter("p_partkey % 3 <> 1").select(F.concat(F.lit("m"), "p_partkey").alias("path"))
+    regions = t(spark, d, "nation").filter("n_nationkey < 10").select(F.col("n_nationkey").cast("int").alias("code"))
+    return ops.validate_job_packets(packets, files, regions)
+
+
 PHOTOS = "(SELECT l_orderkey AS item_id, l_linenumber AS slot, 'f' || l_partkey || '.webp' AS file, 's' || l_suppkey % 5 AS source, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, 'f' || l_partkey || '.webp', l_suppkey % 5) AS n FROM lineitem)"
 
 
