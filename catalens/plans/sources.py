@@ -139,6 +139,24 @@ def parse_gallery_pages(spark, d):
     return rows.groupBy(F.col("key").alias("page_id")).agg(F.count("*").alias("links"), F.count_distinct("href").alias("targets"), F.max(F.length("text")).alias("longest"))
 
 
+@query("gallery_species", "SELECT p_partkey AS item_id, p_partkey AS species_id, p_name || ' L.' AS label, p_size AS plates FROM part UNION ALL SELECT p_partkey, p_partkey + 3, p_name || ' b', 0 FROM part WHERE p_partkey % 3 = 0")
+def gallery_species(spark, d):
+    """Search pages of parts: two labels and a count, a variety, another name, and for every third a second species."""
+    k, name = F.col("p_partkey"), F.col("p_name")
+    link = lambda n, *inner: text('<a class="x" href="species.php?mobile=0&amp;id_species=', n, '">', *inner, "</a>")
+    body = F.concat(link(k, name, " L. (1753)"), link(k, "<i>", name, "</i> L."), link(k, "[<strong>", F.col("p_size"), "</strong>]"), link(k + 1, name, " var. x"), link(k + 2, "another"), F.when(k % 3 == 0, link(k + 3, name, " b")).otherwise(""), text('<a href="about.php?id_species=1">', name, "</a>"))
+    return payloads.gallery_species(t(spark, d, "part").select(k.alias("key"), F.upper(name).alias("wanted"), body.alias("body"))).withColumnRenamed("key", "item_id")
+
+
+@query("gallery_plates", "SELECT p_partkey AS item_id, p_partkey + 1 AS plate_id, p_name || ' / ' || p_type || ', Curtis' AS title, p_type AS author, 4 AS score FROM part UNION ALL SELECT p_partkey, p_partkey + 2, p_name || ' / x, Curtis', 'x', 0 FROM part")
+def gallery_plates(spark, d):
+    """Gallery pages of parts: a thumbnail twice, others without a plate, a link to the same plate and one to another."""
+    k, name = F.col("p_partkey"), F.col("p_name")
+    image = text('<img title="', name, " / ", F.col("p_type"), ', Curtis" src="/a/ILLUSTRATIONS_thumbnails/', k + 1, '.jpg">')
+    body = F.concat(image, image, text('<img src="/a/ILLUSTRATIONS_thumbnails/0.jpg"><img src="logo.png"><a href="illustration.php?id_illustration=', k + 1, '">again</a><a href="illustration.php?id_illustration=', k + 2, '">', name, " / x, Curtis</a>"))
+    return payloads.gallery_plates(t(spark, d, "part").select(k.alias("key"), body.alias("body"))).withColumnRenamed("key", "item_id")
+
+
 @query("parse_article_pages", "SELECT '' || p_partkey AS name, p_name || ', ' || p_type || ' a text' AS text FROM part WHERE p_size % 3 <> 0")
 def parse_article_pages(spark, d):
     lang = F.when(F.col("p_size") % 3 == 0, "FI").otherwise("EN")

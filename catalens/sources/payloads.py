@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalens.functions.strings import strip_html
-from catalens.operators.media import license_ok
+from catalens.operators.media import license_ok, plate_author, plate_score
 
 _VALUE = "struct<value:string>"
 _CLAIM = "struct<mainsnak:struct<datavalue:struct<value:string>>>"
@@ -86,6 +86,50 @@ def links(rows: DataFrame) -> DataFrame:
     return rows.select("key", F.posexplode(both).alias("pos", "z")).select("key", "pos", "z.href", strip_html(F.col("z.text")).alias("text"))
 
 
+#: Ranks below the species whose links are passed over (fixed values).
+LOWER_RANKS = (" forma ", " variety ", " subspecies ", " subsp.", " var.", " f. ")
+
+
+def _tags(rows: DataFrame, tag: str) -> DataFrame:
+    return rows.withColumn("raw", F.regexp_extract_all("body", F.lit(tag), F.lit(0))).select("key", "wanted", F.posexplode("raw").alias("pos", "raw"))
+
+
+def _attribute(name: str) -> Column:
+    return F.regexp_extract("raw", rf'(?is)^<[^>]*\s{name}="([^"]*)"', 1)
+
+
+_ANCHOR = r"(?is)<a\b[^>]*>.*?</a>"
+
+
+def gallery_species(pages: DataFrame) -> DataFrame:
+    """(key, species_id, label, plates) of search pages (key, wanted, body): the species whose label holds the wanted name.
+
+    The label is the shortest of a species' links (the first of equals), the plates the largest number in brackets of its
+    links, 0 without one. Links to lower ranks and empty ones don't count.
+    """
+    a = _tags(pages, _ANCHOR).withColumn("href", _attribute("href")).withColumn("text", strip_html(F.col("raw")))
+    species = F.regexp_extract("href", r"species\.php.*[?&;]id_species=(\d+)", 1).try_cast("long")
+    low = F.concat(F.lit(" "), F.lower("text"), F.lit(" "))
+    lower_rank = F.exists(F.array(*map(F.lit, LOWER_RANKS)), lambda r: F.contains(low, r))
+    count = F.regexp_extract("raw", r"(?i)\[(?:<strong>)?(\d+)(?:</strong>)?\]", 1).try_cast("int")
+    rows = a.select("key", "wanted", "pos", "text", species.alias("species_id"), count.alias("n")).filter(F.col("species_id").isNotNull() & (F.col("text") != "") & ~lower_rank)
+    name = F.when(F.col("n").isNull() & F.contains(F.lower("text"), F.lower(F.trim("wanted"))), F.struct(F.length("text"), "pos", "text"))
+    return rows.groupBy("key", "species_id").agg(F.min(name)["text"].alias("label"), F.coalesce(F.max("n"), F.lit(0)).alias("plates")).filter("label is not null")
+
+
+def gallery_plates(pages: DataFrame) -> DataFrame:
+    """(key, plate_id, title, author, score) of gallery pages (key, body): each plate once, thumbnails before links, which score 0."""
+    pages = pages.select("key", F.lit(None).cast("string").alias("wanted"), "body")
+    i = _tags(pages, r"(?is)<img\b[^>]*>").withColumn("src", _attribute("src")).filter(F.col("src").contains("ILLUSTRATIONS_thumbnails"))
+    stem = F.regexp_replace(F.substring_index("src", "/", -1), r"\.[^.]*$", "")
+    shown = i.filter(~F.substring_index("src", "/", -1).startswith("0.")).select("key", F.lit(0).alias("kind"), "pos", F.when(stem.rlike(r"^\d+$"), stem).try_cast("long").alias("plate_id"), _attribute("title").alias("title"))
+    a = _tags(pages, _ANCHOR).withColumn("href", _attribute("href"))
+    linked = a.select("key", F.lit(1).alias("kind"), "pos", F.regexp_extract("href", r"illustration\.php.*[?&;]id_illustration=(\d+)", 1).try_cast("long").alias("plate_id"), strip_html(F.col("raw")).alias("title"))
+    rows = shown.unionByName(linked).filter("plate_id is not null")
+    first = rows.groupBy("key", "plate_id").agg(F.min(F.struct("kind", "pos", "title")).alias("p")).select("key", "plate_id", "p.title", "p.kind")
+    return first.select("key", "plate_id", "title", plate_author(F.col("title")).alias("author"), F.when(F.col("kind") == 0, plate_score(F.col("title"))).otherwise(0).alias("score"))
+
+
 def parse_articles(rows: DataFrame) -> DataFrame:
     """(name, text) of the English article of nested payloads, behind the names."""
     m = rows.withColumn("m", F.from_json("body", "struct<articles:array<struct<language:string,html:string,names:array<string>>>>"))
