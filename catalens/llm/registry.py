@@ -11,6 +11,8 @@ from catalens.llm.byte_bpe import op6_byte_bpe
 from catalens.llm.common import table
 from catalens.llm.packing import op3_packing
 from catalens.llm.ppm import op1_language
+from catalens.llm.secrets import ORACLE as SECRETS_SQL
+from catalens.llm.secrets import op13_secrets
 from catalens.llm.simhash import op7_simhash
 from catalens.llm.substrings import op5_substrings
 from catalens.llm.toxicity import op2_toxicity
@@ -35,8 +37,9 @@ def queries() -> dict[str, Query]:
         "op8_neighbours": embeddings(op8_neighbours),
         "op9_wavelet": documents(op9_wavelet, public_tokenizers.path("byte_bpe_50k.json")),
         "op10_revisits": lambda spark, d: op10_revisits(table(spark, d, "pages")),
+        "op13_secrets": documents(op13_secrets),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_revisits": ORACLE}
+    return {"op10_revisits": ORACLE, "op13_secrets": SECRETS_SQL}
