@@ -8,6 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from catalens.llm.byte_bpe import op6_byte_bpe
+from catalens.llm.centroids import ORACLE as CENTROIDS_SQL
+from catalens.llm.centroids import op12_centroids
 from catalens.llm.common import table
 from catalens.llm.packing import op3_packing
 from catalens.llm.ppm import op1_language
@@ -37,9 +39,10 @@ def queries() -> dict[str, Query]:
         "op8_neighbours": embeddings(op8_neighbours),
         "op9_wavelet": documents(op9_wavelet, public_tokenizers.path("byte_bpe_50k.json")),
         "op10_revisits": lambda spark, d: op10_revisits(table(spark, d, "pages")),
+        "op12_centroids": embeddings(op12_centroids),
         "op13_secrets": documents(op13_secrets),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_revisits": ORACLE, "op13_secrets": SECRETS_SQL}
+    return {"op10_revisits": ORACLE, "op12_centroids": CENTROIDS_SQL, "op13_secrets": SECRETS_SQL}
