@@ -16,6 +16,7 @@ from catalens.llm.ppm import op1_language
 from catalens.llm.secrets import ORACLE as SECRETS_SQL
 from catalens.llm.secrets import op13_secrets
 from catalens.llm.simhash import op7_simhash
+from catalens.llm.spelling import op11_spelling
 from catalens.llm.substrings import op5_substrings
 from catalens.llm.toxicity import op2_toxicity
 from catalens.llm.vectors import op4_near_vectors, op8_neighbours
@@ -39,6 +40,7 @@ def queries() -> dict[str, Query]:
         "op8_neighbours": embeddings(op8_neighbours),
         "op9_wavelet": documents(op9_wavelet, public_tokenizers.path("byte_bpe_50k.json")),
         "op10_revisits": lambda spark, d: op10_revisits(table(spark, d, "pages")),
+        "op11_spelling": documents(op11_spelling),
         "op12_centroids": embeddings(op12_centroids),
         "op13_secrets": documents(op13_secrets),
     }
