@@ -8,9 +8,9 @@ from catalens.functions import strings as S
 from catalens.operators import facets, names
 from catalens.operators import text as text_ops
 from catalens.plans.registry import query
-from catalens.plans.sources import scratch
 from catalens.plans.text import described, t
 from catalens.sources import dumps
+from catalens.sources.shared import scratch
 
 
 @query("facet_keys", "WITH a AS (SELECT DISTINCT p_brand AS v FROM part UNION ALL SELECT ''), b AS (SELECT DISTINCT p_type AS v FROM part UNION ALL SELECT '') SELECT a.v || '_' || b.v AS key FROM a, b")

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalens.operators.catalog import counts_of
 from catalens.plans.registry import query
-from catalens.sources import checklist, dumps, payloads
+from catalens.sources import catalog_dump, checklist, dumps, payloads
+from catalens.sources.shared import scratch, write_files
 from catalens.streaming import patches
 
 
@@ -164,13 +162,80 @@ def parse_article_pages(spark, d):
     return payloads.parse_articles(t(spark, d, "part").select(F.col("p_partkey").cast("string").alias("name"), body.alias("body")))
 
 
-# ---- streams
+# ---- folders
+
+
+def as_json(key, **fields):
+    """A line of a dump: an object of one entry."""
+    return F.to_json(F.map_from_arrays(F.array(key.cast("string")), F.array(F.struct(*[v.alias(k) for k, v in fields.items()])))).alias("value")
+
+
+@query(
+    "scan_catalog_dump",
+    """SELECT 'list' AS node, NULL AS lang, '' || c_custkey AS key, c_name AS name, NULL AS more FROM customer UNION ALL SELECT 'headers', NULL, '' || c_custkey, c_name, c_mktsegment FROM customer
+    UNION ALL SELECT 'details', NULL, '' || p_partkey, p_name, p_brand FROM part UNION ALL SELECT 'translations', l, '' || p_partkey, upper(p_name), l FROM part, unnest(['en', 'sk']) AS u(l)""",
+)
+def scan_catalog_dump(spark, d):
+    """Customers and parts written as a dump and read back for all stages but one, whose file is broken and stays unopened."""
+    path = scratch(spark, "dump")
+    c, p = t(spark, d, "customer"), t(spark, d, "part")
+    key = F.col("c_custkey")
+    c.select(F.to_json(F.create_map(key.cast("string"), F.col("c_name"))).alias("value")).write.text(f"{path}/plants_to_update.json")
+    c.select(as_json(key, name=F.col("c_name"), more=F.col("c_mktsegment"))).write.text(f"{path}/plants_headers.json")
+    p.select(as_json(F.col("p_partkey"), name=F.col("p_name"), more=F.col("p_brand"))).write.text(f"{path}/plants_v2.json")
+    for lang in ("en", "sk"):
+        p.select(as_json(F.col("p_partkey"), name=F.upper("p_name"), more=F.lit(lang))).write.text(f"{path}/translations/{lang}.json")
+    p.select(F.lit("{broken").alias("value")).write.text(f"{path}/apg_iv_v3.json")
+    dump = catalog_dump.scan_catalog_dump(spark, path, ["counts", "search", "web"])
+    out = catalog_dump.listed_items(dump).select(F.lit("list").alias("node"), F.lit(None).cast("string").alias("lang"), F.col("item_id").cast("string").alias("key"), "name", F.lit(None).cast("string").alias("more"))
+    for node in ("headers", "details", "translations"):
+        rows = catalog_dump.node_records(dump, node, "name string, more string")
+        out = out.unionByName(rows.select(F.lit(node).alias("node"), "lang" if node == "translations" else F.lit(None).cast("string").alias("lang"), "key", "name", "more"))
+    return out
+
+
+@query(
+    "scan_patch_dir",
+    """SELECT s_suppkey AS item_id, replace(replace(s_name, '#', ' # '), '  ', ' ') AS latin, 'L' || s_suppkey AS label, CASE WHEN s_suppkey % 4 = 0 THEN 'leaf' WHEN s_suppkey % 4 = 1 THEN 'stem' ELSE '' END AS lacking, 0 AS batch FROM supplier WHERE s_suppkey % 7 <> 0""",
+)
+def scan_patch_dir(spark, d):
+    """Suppliers as patch files, two of four without a field and every seventh hidden, streamed in twice: the second run finds nothing new."""
+    path, k = scratch(spark, "patches"), F.col("s_suppkey")
+    body = F.to_json(F.struct(text("L", k).alias("label"), F.when(k % 4 != 0, "l").alias("leaf"), F.when(k % 4 == 1, " ").otherwise("s").alias("stem")))
+    name = text(F.when(k % 7 == 0, "_").otherwise(""), k, "_", F.replace("s_name", F.lit("#"), F.lit("_#_")), ".json")
+    write_files(t(spark, d, "supplier").select(name.alias("path"), body.alias("body")), f"{path}/in")
+    for _ in range(2):
+        patches.stream_patch_files(spark, f"{path}/in", "label string, leaf string, stem string", ["label", "leaf", "stem"], f"{path}/out", f"{path}/checkpoint", 1_000_000).awaitTermination()
+    accepted, rejected = patches.patches_so_far(spark, f"{path}/out")
+    return accepted.unionByName(rejected).select("item_id", "latin", "label", F.array_join("lacking", ",").alias("lacking"), "batch")
+
+
+@query(
+    "scan_job_packets",
+    """SELECT replace(s_name, '#', ' ') AS packet, s_suppkey AS id, s_name AS name, CASE WHEN s_suppkey % 3 <> 0 THEN 'F' || s_nationkey END AS family, CASE WHEN s_suppkey % 5 <> 0 THEN 2 END AS synonyms,
+      CASE WHEN s_suppkey % 4 = 0 THEN '' ELSE 'de,en' END AS languages, CASE WHEN s_suppkey % 4 <> 0 THEN 'L' || s_suppkey END AS label,
+      array_to_string(list_filter([CASE WHEN s_suppkey % 3 = 0 THEN 'plants_header' END, CASE WHEN s_suppkey % 5 = 0 THEN 'synonyms' END], lambda x: x IS NOT NULL), ',') AS lacking FROM supplier""",
+)
+def scan_job_packets(spark, d):
+    """Suppliers as packets: a third with a broken header, a fifth without synonyms and a quarter without translations."""
+    path, k = scratch(spark, "packets"), F.col("s_suppkey")
+    file = lambda name, body, here=F.lit(True): F.when(here, F.struct(F.concat(F.replace("s_name", F.lit("#"), F.lit(" ")), F.lit(f"/{name}.json")).alias("path"), body.alias("body")))
+    files = [
+        file("job", F.to_json(F.struct(F.col("s_name").alias("accepted_name")))),
+        file("plants_v2", F.to_json(F.struct(k.alias("id"), F.col("s_name").alias("name")))),
+        file("plants_header", F.when(k % 3 == 0, "{no").otherwise(F.to_json(F.struct(text("F", F.col("s_nationkey")).alias("family"))))),
+        file("synonyms", F.lit('{"ipni":[{"name":"a"},{"name":"b"}]}'), k % 5 != 0),
+        file("translations/en", F.to_json(F.struct(text("L", k).alias("label"))), k % 4 != 0),
+        file("translations/de", F.lit('{"names":["n"]}'), k % 4 != 0),
+    ]
+    write_files(t(spark, d, "supplier").select(F.explode(F.array_compact(F.array(*files))).alias("f")).select("f.*"), path)
+    schemas = {"job": "accepted_name string", "plants_v2": "id long, name string", "plants_header": "family string", "synonyms": "ipni array<struct<name:string>>"}
+    rows = dumps.scan_job_packets(spark, path, schemas)
+    spoken = F.array_join(F.sort_array(F.map_keys("translations")), ",")
+    return rows.select("packet", "plants_v2.id", F.col("job.accepted_name").alias("name"), "plants_header.family", F.size("synonyms.ipni").alias("synonyms"), spoken.alias("languages"), F.try_element_at("translations", F.lit("en"))["label"].alias("label"), F.array_join("lacking", ",").alias("lacking"))
 
 
-def scratch(spark: SparkSession) -> str:
-    """A folder for a stream's files: below the session's checkpoint folder, or one of its own in a session without."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="catalens-")
-    return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+# ---- streams
 
 
 def event_stream(spark: SparkSession, d: str) -> DataFrame:

@@ -30,21 +30,47 @@ def read_translations(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("lang", "pos", F.col("e.key").alias("latin"), F.col("e.value.label").alias("label"), F.coalesce("e.value.names", F.array().cast("array<string>")).alias("names"))
 
 
-def read_packets(spark: SparkSession, path: str, schemas: dict[str, str]) -> DataFrame:
-    """Packets of a folder with a folder for each: its files (name -> schema) joined on it; one that lacks a file has nulls there."""
-    out = None
-    for name, schema in schemas.items():
-        part = read_whole(spark, f"{path}/*/{name}.json").select(F.regexp_extract("file", r"([^/]+)/[^/]+$", 1).alias("packet"), F.from_json("body", schema).alias(name))
-        out = part if out is None else out.join(part, "packet", "full")
-    return out
+def file_name_of(path: Column) -> Column:
+    """The last part of a file's URI without its extension, percent signs decoded."""
+    return F.url_decode(F.replace(F.regexp_extract(path, r"([^/]*)\.[^./]*$", 1), F.lit("+"), F.lit("%2B")))
+
+
+def scan_job_packets(spark: SparkSession, path: str, schemas: dict[str, str], translation: str = "label string, names array<string>", optional: tuple[str, ...] = ()) -> DataFrame:
+    """(packet, a struct for each file, translations, lacking) of a folder with a folder for each packet.
+
+    All files come from one scan and are dealt by their folder, so a packet costs one row of a shuffle for each file and
+    no join. ``schemas`` has the fields of each file by name; files below ``translations`` are a map by language, empty
+    without any. ``lacking`` names the files that aren't there or aren't JSON, but for those in ``optional``.
+    """
+    names = ",".join([*schemas])
+    rows = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.json")
+    file = F.col("_metadata.file_path")
+    folder = lambda up: F.url_decode(F.replace(F.element_at(F.split(file, "/"), -up), F.lit("+"), F.lit("%2B")))
+    rows = rows.select((folder(2) == "translations").alias("spoken"), folder(2).alias("near"), folder(3).alias("far"), file_name_of(file).alias("name"), F.when(F.try_parse_json("value").isNotNull(), F.col("value")).alias("body"))
+    rows = rows.withColumn("packet", F.when(F.col("spoken"), F.col("far")).otherwise(F.col("near"))).filter(F.col("spoken") | F.col("name").isin(names.split(",")))
+    body = {n: F.max(F.when(~F.col("spoken") & (F.col("name") == n), F.col("body"))).alias(n) for n in schemas}
+    spoken = F.sort_array(F.collect_list(F.when(F.col("spoken") & F.col("body").isNotNull(), F.struct("name", "body"))))
+    each = rows.groupBy("packet").agg(*body.values(), spoken.alias("translations"))
+    lacking = F.array_compact(F.array(*[F.when(F.col(n).isNull(), F.lit(n)) for n in schemas if n not in optional])) if schemas else F.array()
+    translations = F.transform_values(F.map_from_entries("translations"), lambda _, v: F.from_json(v, translation))
+    return each.select("packet", *[F.from_json(n, schema).alias(n) for n, schema in schemas.items()], translations.alias("translations"), lacking.cast("array<string>").alias("lacking"))
+
+
+def parse_patches(files: DataFrame, schema: str, required: list[str]) -> DataFrame:
+    """(item_id, latin, the fields of ``schema``, lacking) of files (file, body) named ``{id}_{name}.json``; names have spaces for their underscores.
+
+    ``lacking`` names the required fields that are missing or blank, and ``id`` for a file name without one; a file that
+    isn't JSON lacks all.
+    """
+    stem = file_name_of(F.col("file"))
+    rows = files.select(F.substring_index(stem, "_", 1).try_cast("long").alias("item_id"), F.replace(F.regexp_extract(stem, "^[^_]*_(.*)$", 1), F.lit("_"), F.lit(" ")).alias("latin"), F.from_json("body", schema).alias("p")).select("item_id", "latin", "p.*")
+    lacks = lambda c: F.when(F.trim(F.coalesce(F.col(c).cast("string"), F.lit(""))) == "", F.lit(c))
+    return rows.withColumn("lacking", F.array_compact(F.array(F.when(F.col("item_id").isNull(), F.lit("id")), *map(lacks, required))))
 
 
 def read_patches(spark: SparkSession, path: str, schema: str, required: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Patches ``{id}_{name}.json`` (files that begin with _ are skipped): the whole ones, and those that lack a required field."""
-    rows = read_whole(spark, f"{path}/*.json").withColumn("stem", F.regexp_extract("file", r"([^/]+)\.json$", 1)).filter("not startswith(stem, '_')")
-    rows = rows.select(F.substring_index("stem", "_", 1).try_cast("long").alias("item_id"), F.regexp_replace("stem", "^[^_]*_", "").alias("latin"), F.from_json("body", schema).alias("p")).select("item_id", "latin", "p.*")
-    lacking = F.filter(F.array(*[F.when(F.coalesce(F.col(c).cast("string"), F.lit("")) == "", F.lit(c)) for c in required]), lambda x: x.isNotNull())
-    rows = rows.withColumn("lacking", lacking)
+    """Patches of a folder (files that begin with _ are hidden): the whole ones, and those that lack a required field."""
+    rows = parse_patches(read_whole(spark, f"{path}/*.json"), schema, required)
     return rows.filter(F.size("lacking") == 0).drop("lacking"), rows.filter(F.size("lacking") > 0)
 
 

@@ -135,7 +135,7 @@ def test_folders(spark, tmp_path):
     (tmp_path / "p/12_Acer_x.json").write_text('{"label":"l"}')
     (tmp_path / "p/13_Rosa.json").write_text("{}")
     whole, lacking = dumps.read_patches(spark, str(tmp_path / "p"), "label string", ["label"])
-    assert [(r.item_id, r.latin) for r in whole.collect()] == [(12, "Acer_x")] and [r.item_id for r in lacking.collect()] == [13]
+    assert [(r.item_id, r.latin) for r in whole.collect()] == [(12, "Acer x")] and [r.item_id for r in lacking.collect()] == [13]
     assert dumps.media_listing(dumps.list_files(spark, str(tmp_path / "p"))).count() == 0
 
 
