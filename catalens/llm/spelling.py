@@ -27,7 +27,7 @@ from catalens.llm.common import saved, texts_of, whole_runs
 
 RUN, LEAST, DROPPED = "[a-zÀ-ÿ]", 7, 31
 TIMES = 10
-BLOCK = 4096
+BLOCK = 16_384
 
 _LETTERS = 90  # a-z and U+00C0 to U+00FF
 _CODE = np.zeros(256, np.int64)
@@ -36,6 +36,7 @@ _NEVER = 1 << 20  # behind all ranks
 _BASE = 0x9E3779B97F4A7C15
 #: Longer words are verified one pair at a time.
 _WIDE = 48
+_LOW_BYTES = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF], np.int32)
 
 
 def misspelt(run: str, start: int) -> str:
@@ -159,11 +160,14 @@ def side_hashes(letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return _mixed(up[:, 1:], 1), _mixed(down[:, :-1], 2)
 
 
-_ENTRY = "key long, pivot boolean, word string, n long, len int, upto int, covers int"
+_ENTRY = "key long, intact int, pivot boolean, word string, n long, len int, upto int, covers int"
 
 
 def index_entries(words: DataFrame, frequencies: np.ndarray) -> DataFrame:
-    """A row for each kind of a word's prefix and each side, with the hash of gram and text on that side; ``pivot`` tells those that are looked up."""
+    """A row for each kind of a word's prefix and each side, with the hash of gram and text on that side; ``pivot`` tells those that are looked up.
+
+    ``intact`` is the length of that text with the gram, negative for the right side.
+    """
     rank = np.empty(len(frequencies), np.int64)
     rank[np.lexsort((np.arange(len(frequencies)), frequencies))] = np.arange(len(frequencies))
 
@@ -174,11 +178,12 @@ def index_entries(words: DataFrame, frequencies: np.ndarray) -> DataFrame:
                 for rows, letters, grams in _by_length(part.column(0)):
                     first, last, upto, covers = prefixes(grams, rank)
                     a, b = pivots(first, last, frequencies[grams])
-                    for mask, hashes, pivot in zip((first, last), side_hashes(letters), (a, b)):
+                    for mask, hashes, pivot, right in zip((first, last), side_hashes(letters), (a, b), (False, True)):
                         i, at = np.nonzero(mask)
                         mine = part.take(pa.array(rows[i]))
-                        columns = [pa.array(hashes[i, at]), pa.array(pivot[i] == at), mine.column(0), mine.column(1), pa.array(np.full(len(i), letters.shape[1], np.int32)), pa.array(upto[i].astype(np.int32)), pa.array(covers[i].astype(np.int32))]
-                        yield pa.RecordBatch.from_arrays(columns, names=["key", "pivot", "word", "n", "len", "upto", "covers"])
+                        intact = at - letters.shape[1] if right else at + 2
+                        columns = [pa.array(hashes[i, at]), pa.array(intact.astype(np.int32)), pa.array(pivot[i] == at), mine.column(0), mine.column(1), pa.array(np.full(len(i), letters.shape[1], np.int32)), pa.array(upto[i].astype(np.int32)), pa.array(covers[i].astype(np.int32))]
+                        yield pa.RecordBatch.from_arrays(columns, names=["key", "intact", "pivot", "word", "n", "len", "upto", "covers"])
 
     return words.select("word", "n").mapInArrow(run, _ENTRY)
 
@@ -196,7 +201,7 @@ def dealt(entries: DataFrame, cap: int = BLOCK) -> DataFrame:
     inside = F.transform(every, lambda j: cell(block, j, 0))
     looking = F.when(F.col("pivot"), F.transform(every, lambda i: cell(i, block, 1))).otherwise(F.array().cast("array<struct<cell:int,role:int>>"))
     alone = F.array(F.struct(F.lit(0).alias("cell"), F.when(F.col("pivot"), 2).otherwise(0).alias("role")))
-    return cut.withColumn("to", F.explode(F.when(F.col("blocks").isNull(), alone).otherwise(F.concat(inside, looking)))).select("key", "to.cell", "to.role", "word", "n", "len", "upto", "covers")
+    return cut.withColumn("to", F.explode(F.when(F.col("blocks").isNull(), alone).otherwise(F.concat(inside, looking)))).select("key", "to.cell", "to.role", "intact", "word", "n", "len", "upto", "covers")
 
 
 def one_edit(a: str, b: str) -> bool:
@@ -221,6 +226,16 @@ class _Letters:
         self.left = np.frombuffer(b"".join([w.ljust(wide, b"\0") for w in kept]), np.uint8).reshape(-1, wide)
         self.right = np.frombuffer(b"".join([w.rjust(wide, b"\0") for w in kept]), np.uint8).reshape(-1, wide)[:, ::-1]
 
+    def ends(self, intact: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(the three letters next to the intact text, the three at the word's other end, from there inwards), each as a number."""
+        near, far = np.zeros(len(intact), np.int32), np.zeros(len(intact), np.int32)
+        rows, wide = np.arange(len(intact)), self.left.shape[1]
+        for k in range(3):
+            at = np.minimum(np.abs(intact) + k, wide - 1)
+            near |= np.where(intact > 0, self.left[rows, at], self.right[rows, at]).astype(np.int32) << (8 * k)
+            far |= np.where(intact > 0, self.right[:, min(k, wide - 1)], self.left[:, min(k, wide - 1)]).astype(np.int32) << (8 * k)
+        return near, far
+
     def near(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         shared = np.zeros(len(i), np.int64)
         for side in (self.left, self.right):
@@ -234,9 +249,13 @@ class _Letters:
 
 
 def _verified(batches: Iterator[pa.RecordBatch], most: int = 500_000) -> Iterator[pa.RecordBatch]:
-    """(word, near, near_n) both ways for pairs one edit apart; batches are sorted by key, cell and length."""
+    """(word, near, near_n) both ways for pairs one edit apart; batches are sorted by key, cell and length.
+
+    Before pairs are compared letter by letter, the ends of what isn't known to be intact are: one edit can't change both
+    of them, as far as they don't overlap.
+    """
     for part in whole_runs(batches, ["key", "cell"]):
-        key, cell, size, role, upto, covers = (part[c].to_numpy() for c in ("key", "cell", "len", "role", "upto", "covers"))
+        key, cell, size, role, upto, covers, intact = (part[c].to_numpy() for c in ("key", "cell", "len", "role", "upto", "covers", "intact"))
         new = np.ones(len(key), bool)
         new[1:] = (key[1:] != key[:-1]) | (cell[1:] != cell[:-1])
         place = (np.cumsum(new) << 32) + size  # rises with the rows
@@ -247,6 +266,8 @@ def _verified(batches: Iterator[pa.RecordBatch], most: int = 500_000) -> Iterato
             continue
         words = part["word"].combine_chunks()
         letters, n = _Letters(words, size.astype(np.int64)), part["n"].combine_chunks()
+        near, far = letters.ends(intact)
+        rest = np.where(size <= _WIDE, size - np.abs(intact), 0)  # of wide words nothing is ruled out
         total = np.cumsum(count)
         at = 0
         while at < len(looking):
@@ -254,6 +275,9 @@ def _verified(batches: Iterator[pa.RecordBatch], most: int = 500_000) -> Iterato
             c = count[at:upto_row]
             i = np.repeat(looking[at:upto_row], c)
             j = np.repeat(low[at:upto_row], c) + np.arange(len(i)) - np.repeat(np.cumsum(c) - c, c)
+            compared = _LOW_BYTES[np.minimum(np.minimum(rest[i], rest[j]) // 2, 3)]
+            may = ((near[i] ^ near[j]) & compared == 0) | ((far[i] ^ far[j]) & compared == 0)
+            i, j = i[may], j[may]
             may = (role[j] != 1) & (i != j) & (upto[i] <= covers[j])
             i, j = i[may], j[may]
             hit = letters.near(i, j)
