@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalens.functions.strings import NAME_LINES, display_name, first_given, given, is_latinish, labelled_line, normalize_name, normalize_vernacular, spaced, split_cited_names, url_language, url_title
+from catalens.operators.numbering import numbered
 
 STRINGS = "array<string>"
 
@@ -130,18 +131,12 @@ def taxon_spine(rows: DataFrame, spines: DataFrame) -> DataFrame:
 def already_in_catalog(rows: DataFrame, catalog: DataFrame) -> DataFrame:
     """``rows`` (name) with item_id and known: the first id of a known name, else the next ids behind the catalog's count, in order of name.
 
-    New names are numbered within partitions by range and shifted by the partitions' sizes, so no task sees them all.
+    New names are numbered by ranges of names of like size, whatever prefix they share.
     """
     first = catalog.groupBy("name").agg(F.min("item_id").alias("item_id"))
     joined = rows.join(first, "name", "left")
-    base = catalog.count()
-    fresh = joined.filter("item_id is null").select("name").distinct()
-    spread = fresh.withColumn("bucket", F.lower(F.substring("name", 1, 2)))
-    sizes = spread.groupBy("bucket").agg(F.count("*").alias("k"))
-    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.select("bucket", F.coalesce(F.sum("k").over(before), F.lit(0)).alias("before"))
-    numbered = spread.join(sizes, "bucket").select("name", (F.lit(base) + F.col("before") + F.row_number().over(Window.partitionBy("bucket").orderBy("name")) - 1).alias("new_id"))
-    return joined.join(numbered, "name", "left").select("name", F.coalesce("item_id", "new_id").cast("long").alias("item_id"), F.col("item_id").isNotNull().alias("known"))
+    fresh = numbered(joined.filter("item_id is null").select("name").distinct(), "name", to="new_id", base=catalog.count())
+    return joined.join(fresh, "name", "left").select("name", F.coalesce("item_id", "new_id").cast("long").alias("item_id"), F.col("item_id").isNotNull().alias("known"))
 
 
 # ---- vernacular names

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from catalens.operators.numbering import numbered
+
 
 def _summary() -> list[Column]:
     place = F.struct("ms", "obs_key")
@@ -34,15 +36,10 @@ def observation_countries(observations: DataFrame) -> DataFrame:
 def observer_rank(observations: DataFrame) -> DataFrame:
     """(observer, n, rank): 1 for most observations; of equal counts the one whose first key is smaller.
 
-    Ranks need a total order of observers, so it is made in two steps: by ranges of counts, and within each range.
+    A row for each observer is numbered in that order, by ranges of it: observers of one count don't share a task.
     """
     counts = observations.groupBy("observer").agg(F.count("*").alias("n"), F.min("obs_key").alias("first_key"))
-    levels = counts.groupBy("n").agg(F.count("*").alias("peers"))
-    above = Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, -1)
-    # a row for each distinct count: far fewer than observers
-    levels = levels.select("n", F.coalesce(F.sum("peers").over(above), F.lit(0)).alias("before"))
-    within = F.row_number().over(Window.partitionBy("n").orderBy("first_key"))
-    return counts.join(levels, "n").select("observer", "n", (F.col("before") + within).cast("long").alias("rank"))
+    return numbered(counts, F.desc("n"), "first_key", "observer", to="rank", base=1).select("observer", "n", "rank")
 
 
 def observation_user_stats(observations: DataFrame, ranks: DataFrame) -> DataFrame:

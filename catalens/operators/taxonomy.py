@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from catalens.sources.shared import saved
+
 
 def ordered_path(entries: Column) -> Column:
     """Steps (rank, name) from the root down, of a map ``NN_Rank -> name``; keys without a number and empty names drop out."""
@@ -18,25 +20,24 @@ def path_to_map(path: Column) -> Column:
     return F.map_from_entries(F.transform(F.reverse(path), lambda s, i: F.struct(F.concat(F.lpad(i.cast("string"), 2, "0"), F.lit("_"), s["rank"]), s["name"])))
 
 
-def taxon_flatten(edges: DataFrame, root: str, save=lambda df: df) -> DataFrame:
-    """(path, name, rank, level) of a tree given as (name, parent, rank): each step joins one level to its children, down to the last.
+def taxon_flatten(edges: DataFrame, root: str, save=saved) -> DataFrame:
+    """(path, name, rank, level) of a tree given as (name, parent, rank), for all that descends from ``root``.
 
-    ``save`` may cut a level's lineage (a checkpoint, say), so that it isn't worked out again for each level below it. A
-    name that is its own ancestor is an error.
+    Each row knows a stretch of its way up: at first the one step to its parent. A join puts the stretches of a row's
+    uppermost known taxon on top of its own, so that stretches double in length: a tree of d levels takes about log2(d)
+    joins. A name with several parents has a path by each. Taxa that don't lead to the root drop out; a name that is its
+    own ancestor is an error. ``save`` cuts the lineage between joins.
     """
-    level = save(edges.filter(F.col("parent") == root).select(F.col("name").alias("path"), "name", "rank", F.lit(0).alias("level")))
-    out, n = level, 0
+    ways = save(edges.select("name", F.col("parent").alias("top"), F.array("name").alias("path"), "rank"))
     while True:
-        n += 1
-        again = F.array_contains(F.split("above", "/"), F.col("name"))
-        level = save(level.select(F.col("name").alias("parent"), F.col("path").alias("above")).join(edges, "parent").select(F.concat_ws("/", "above", "name").alias("path"), "name", "rank", F.lit(n).alias("level"), again.alias("again")))
-        rows, cycle = level.agg(F.count("*"), F.max("again")).first()
+        below, above = ways.filter(F.col("top") != root), ways.select(F.col("name").alias("top"), F.col("top").alias("up"), F.col("path").alias("on"))
+        longer = below.join(above, "top").select("name", F.col("up").alias("top"), F.concat("on", "path").alias("path"), "rank")
+        ways = save(ways.filter(F.col("top") == root).unionByName(longer))
+        left, cycle = ways.agg(F.count_if(F.col("top") != root), F.max(F.size(F.array_distinct("path")) < F.size("path"))).first()
         if cycle:
             raise ValueError("a taxon is its own ancestor")
-        if not rows:
-            return out
-        level = level.drop("again")
-        out = out.unionByName(level)
+        if not left:
+            return ways.select(F.array_join("path", "/").alias("path"), "name", "rank", (F.size("path") - 1).alias("level"))
 
 
 def taxon_rollup(items: DataFrame) -> DataFrame:

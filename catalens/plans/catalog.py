@@ -129,21 +129,21 @@ def promote_staging(spark, d):
     return ops.overlay(live, staged, ["p_partkey"])
 
 
-@query("build_patch", f"SELECT * FROM (SELECT key, o_orderkey AS item_id FROM ({PAIRS_SQL})) WHERE item_id IN (SELECT o_orderkey FROM orders WHERE o_orderdate >= '1999-12-01')")
+NEW = "(o_orderdate >= '1999-12-01')"
+
+
+@query("build_patch", f"SELECT * FROM (SELECT key, o_orderkey AS item_id FROM ({PAIRS_SQL})) WHERE item_id IN (SELECT o_orderkey FROM orders WHERE {NEW})")
 def build_patch(spark, d):
     """The postings that the last month's orders add."""
-    new = t(spark, d, "orders").filter("o_orderdate >= '1999-12-01'").select("o_orderkey")
-    return facets.facet_members(order_items(spark, d).join(new, "o_orderkey", "left_semi"), "o_orderkey", DOMAINS).withColumnRenamed("o_orderkey", "item_id")
+    return facets.facet_members(order_items(spark, d).filter(NEW), "o_orderkey", DOMAINS).withColumnRenamed("o_orderkey", "item_id")
 
 
 @query("apply_patch", f"SELECT k.key, count(p.o_orderkey) AS n FROM ({KEYS_SQL}) k LEFT JOIN ({PAIRS_SQL}) p USING (key) GROUP BY k.key")
 def apply_patch(spark, d):
-    """Postings of the older orders, and the patch of the newer ones applied twice: the counts of a full rebuild."""
-    new = t(spark, d, "orders").filter("o_orderdate >= '1999-12-01'").select("o_orderkey")
-    rows = order_items(spark, d)
-    old = facets.facet_members(rows.join(new, "o_orderkey", "left_anti"), "o_orderkey", DOMAINS).withColumnRenamed("o_orderkey", "item_id")
-    patch = build_patch(spark, d)
-    return ops.counts_of(ops.apply_patch(ops.apply_patch(old, patch), patch), facets.facet_keys(spark, DOMAINS))
+    """Posting lists of the older orders, and the patch of the newer ones merged in twice: the counts of a full rebuild."""
+    lists = lambda some: facets.facet_lists(order_items(spark, d).filter(some), "o_orderkey", DOMAINS)
+    old, patch = lists(f"{NEW} is not true"), lists(NEW)
+    return facets.list_counts(facets.merge_lists(facets.merge_lists(old, patch), patch), facets.facet_keys(spark, DOMAINS))
 
 
 @query("apply_correction", "WITH b AS (SELECT p_brand AS key, count(*) AS n FROM part WHERE p_size < 5 GROUP BY 1), x AS (SELECT p_brand AS key, count(*) FILTER (p_partkey % 7 = 0) AS a, count(*) FILTER (p_partkey % 7 IN (1, 2)) AS r FROM part GROUP BY 1) SELECT key, greatest(coalesce(n, 0) + a - r, 0) AS n FROM b FULL JOIN x USING (key)")

@@ -13,9 +13,10 @@ DOMAINS = {"flag": ["A", "N", "R", "X"], "line": ["F", "O"], "status": ["F", "O"
 
 
 def order_items(spark: SparkSession, d: str) -> DataFrame:
-    lines = spark.read.parquet(f"{d}/lineitem.parquet").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.collect_set("l_returnflag").alias("flag"), F.collect_set("l_linestatus").alias("line"))
+    held = lambda c, axis: F.array_compact(F.array(*[F.when(F.max(F.col(c) == v), F.lit(v)) for v in DOMAINS[axis]])).alias(axis)
+    lines = spark.read.parquet(f"{d}/lineitem.parquet").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(held("l_returnflag", "flag"), held("l_linestatus", "line"))
     orders = spark.read.parquet(f"{d}/orders.parquet")
-    return orders.join(lines, "o_orderkey", "left").select("o_orderkey", "flag", "line", F.array("o_orderstatus").alias("status"), F.array("o_orderpriority").alias("priority"))
+    return orders.join(lines, "o_orderkey", "left").select("o_orderkey", "o_orderdate", "flag", "line", F.array("o_orderstatus").alias("status"), F.array("o_orderpriority").alias("priority"))
 
 
 def _domain(axis: str) -> str:

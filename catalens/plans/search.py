@@ -12,9 +12,11 @@ from catalens.plans.registry import query
 # ---- facets, continued
 
 
-@query("facet_lists", f"SELECT key, list_sort(list(o_orderkey)) AS ids FROM ({PAIRS_SQL}) GROUP BY key")
+@query("facet_lists", f"SELECT key, o_orderkey // 4096 AS block, list_sort(list(o_orderkey)) AS ids FROM ({PAIRS_SQL}) GROUP BY key, block")
 def facet_lists(spark, d):
-    return facets.facet_lists(order_items(spark, d), "o_orderkey", DOMAINS)
+    """The lists' blocks, encoded for storage and decoded."""
+    lists = facets.read_lists(facets.stored_lists(facets.facet_lists(order_items(spark, d), "o_orderkey", DOMAINS, 4096)))
+    return lists.select("key", "block", facets.list_ids(F.col("places"), F.col("block"), 4096).alias("ids"))
 
 
 @query("facet_match", f"SELECT o_orderkey, '_F__1-URGENT' AS key FROM ({PAIRS_SQL}) WHERE key = '_F__1-URGENT' UNION ALL SELECT o_orderkey, 'R__P_' FROM ({PAIRS_SQL}) WHERE key = 'R__P_'")

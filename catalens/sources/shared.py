@@ -45,3 +45,11 @@ def write_files(files: DataFrame, folder: str) -> int:
             yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
 
     return files.select("path", "body").mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
+def saved(df: DataFrame) -> DataFrame:
+    """The same rows with the lineage cut, kept in the shared folder, where the loss of an executor can't reach them."""
+    spark = df.sparkSession
+    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+        spark.sparkContext.setCheckpointDir(scratch(spark, "checkpoints"))
+    return df.checkpoint()

@@ -2,10 +2,11 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from catalens.functions import strings
-from catalens.operators import catalog, facets, media, names, search, stats, taxonomy, text
+from catalens.operators import catalog, facets, media, names, numbering, search, stats, taxonomy, text
 from catalens.sources import checklist, dumps, payloads
 
 DOMAINS = {"color": "12345", "habitat": "123456", "petal": "1234", "region": [str(x) for x in (*range(10, 15), *range(20, 30), *range(30, 39), *range(40, 44), 50, 51, *range(60, 64), *range(70, 80), *range(80, 86), 90, 91)]}
@@ -17,11 +18,42 @@ def test_facets_of_two_plants(spark):
     counts = {r.key: r.n for r in facets.facet_counts(items, "item_id", DOMAINS).collect()}
     assert len(counts) == 11_130
     assert counts["___"] == 3 and counts["5_6_2_10"] == 1 and counts["1_2_3_91"] == 0
-    lists = {r.key: r.ids for r in facets.facet_lists(items, "item_id", DOMAINS).collect()}
+    lists = {r.key: r.ids for r in facets.facet_lists(items, "item_id", DOMAINS).select("key", facets.list_ids(F.col("places"), F.col("block")).alias("ids")).collect()}
     assert lists["__2_11"] == [0, 1] and "1_2_3_91" not in lists
     assert facets.matching_keys(items.filter("item_id = 0"), "item_id", DOMAINS).count() == 36
 
 
+def test_posting_blocks(spark):
+    ids = [0, 1, 4095, 4096, 9000, -1, 5, 5]
+    items = spark.createDataFrame([(i, [i % 5 + 1, 9], [1], None, []) for i in ids] + [(None, [1], None, None, None)], HEADER)
+    lists = facets.facet_lists(items, "item_id", DOMAINS, 64)
+    decode = lambda df, n: sorted((r.key, i) for r in facets.read_lists(facets.stored_lists(df)).select("key", facets.list_ids(F.col("places"), F.col("block"), n).alias("ids")).collect() for i in r.ids)
+    want = sorted({(r.key, r.item_id) for r in facets.matching_keys(items.filter("item_id is not null"), "item_id", DOMAINS).collect()})
+    assert decode(lists, 64) == want
+    assert {r.block for r in lists.filter("key = '___'").collect()} == {-1, 0, 63, 64, 140}
+    old, new = (facets.facet_lists(items.filter(c), "item_id", DOMAINS, 64) for c in ("item_id < 5", "item_id > 1"))
+    twice = facets.merge_lists(facets.merge_lists(old, new), new)
+    assert decode(twice, 64) == want
+    counts = {r.key: r.n for r in facets.list_counts(twice, facets.facet_keys(spark, DOMAINS)).collect()}
+    assert len(counts) == 11_130 and counts["___"] == 7 and counts["5_1__"] == 1 and counts["1___"] == len({i for i in ids if i % 5 == 0})
+    assert decode(facets.facet_lists(items.limit(0), "item_id", DOMAINS), 64) == []
+
+
+def test_wildcard_list_is_spread(spark):
+    """The wildcard's blocks come from several tasks, vectors and not items are exploded, and gaps are smaller than ids."""
+    items = spark.range(100_000).select(F.col("id").alias("item_id"), F.array((F.col("id") % 5 + 1).cast("int")).alias("color"), *[F.array().cast("array<int>").alias(a) for a in ("habitat", "petal", "region")])
+    lists = facets.facet_lists(items, "item_id", DOMAINS, 1024)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else small partitions are joined
+    try:
+        assert lists.filter("key = '___'").select(F.spark_partition_id()).distinct().count() == 4
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert lists.agg(F.max(F.size("places"))).first()[0] <= 1024
+    assert facets.stored_lists(lists).agg(F.max(F.array_max("gaps"))).first()[0] <= 5
+    vectors = facets.explode_keys(facets.axis_vectors(items, "item_id", DOMAINS).groupBy(*DOMAINS).agg(F.count("*").alias("items")), list(DOMAINS))
+    assert vectors.count() == 10
+
+
 def test_facet_counts_equal_the_predicate(spark):
     items = spark.createDataFrame([(0, [5, 2], [6], [2], [10, 11]), (1, [3, 5], [1, 4], [2], [11])], HEADER)
     keys = facets.facet_keys(spark, DOMAINS)
@@ -75,6 +107,43 @@ def test_ranks_break_ties_by_first_key(spark):
     assert {r.observer: r.rank for r in stats.observer_rank(obs).collect()} == {"c": 1, "b": 2, "a": 3}
 
 
+def test_numbers_are_dense_and_spread(spark):
+    """A hot count or prefix that all rows share doesn't gather them in one task."""
+    rows = spark.range(20_000).select(F.concat(F.lit("customer#"), F.lpad((F.col("id") * 7919 % 20_000).cast("string"), 6, "0")).alias("name"))
+    got = numbering.numbered(rows, "name", base=5).select("name", "number", F.spark_partition_id().alias("part"))
+    found = got.collect()
+    assert [r.number for r in sorted(found, key=lambda r: r.name)] == list(range(5, 20_005))
+    observed = spark.range(20_000).select(F.col("id").alias("obs_key"), F.col("id").cast("string").alias("observer"))
+    assert sorted((r["rank"], r.observer) for r in stats.observer_rank(observed).collect()) == [(i + 1, str(i)) for i in range(20_000)]
+    dealt = rows.repartitionByRange(4, "name").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    sizes = sorted(r["count"] for r in dealt)
+    assert len(sizes) == 4 and sizes[-1] <= 2 * sizes[1]
+    assert numbering.numbered(rows.limit(0), "name").count() == 0
+
+
+def test_new_ids_follow_the_catalog(spark):
+    known = spark.createDataFrame([(0, "b"), (1, "b"), (2, "c")], "item_id long, name string")
+    found = names.already_in_catalog(spark.createDataFrame([("a",), ("b",), ("d",), ("a",)], "name string"), known)
+    assert sorted(map(tuple, found.collect())) == [("a", 3, False), ("a", 3, False), ("b", 0, True), ("d", 4, False)]
+
+
+def test_a_chain_of_a_thousand_levels(spark):
+    chain = spark.range(1000).select(F.concat(F.lit("t"), "id").alias("name"), F.when(F.col("id") == 0, "").otherwise(F.concat(F.lit("t"), (F.col("id") - 1))).alias("parent"), F.lit("R").alias("rank"))
+    joins = []
+    found = taxonomy.taxon_flatten(chain, "", save=lambda df: joins.append(1) or df.checkpoint())
+    low = found.orderBy(F.desc("level")).first()
+    assert found.count() == 1000 and low.level == 999 and low.path == "/".join(f"t{i}" for i in range(1000)) and len(joins) <= 12
+
+
+def test_trees_with_two_parents_loose_ends_and_rings(spark):
+    edges = [("A", "", "x"), ("B", "A", "y"), ("C", "A", "y"), ("D/E", "B", "z"), ("D/E", "C", "z"), ("L", "nowhere", "q"), ("M", "L", "q")]
+    flat = lambda e: taxonomy.taxon_flatten(spark.createDataFrame(e, "name string, parent string, rank string"), "")
+    assert sorted((r.path, r.level) for r in flat(edges).collect()) == [("A", 0), ("A/B", 1), ("A/B/D/E", 2), ("A/C", 1), ("A/C/D/E", 2)]
+    assert flat(edges[:0]).count() == 0
+    with pytest.raises(ValueError, match="its own ancestor"):
+        flat([*edges, ("B", "D/E", "y")])
+
+
 def test_sisters_leave_out_own_name(spark):
     items = spark.createDataFrame([(i, "Acer a") for i in range(9)] + [(9, "Acer b"), (10, "Acer c"), (11, "Rosa x")], "item_id int, name string")
     found = {}
