@@ -94,16 +94,21 @@ def media_collect(candidates: DataFrame, latin: str = "latin") -> DataFrame:
     """Usable candidates of the right species, one per (item_id, title): the first by (step, pos) of those usable; scored.
 
     Steps are the role categories (0), the main category (1), searches for one role (2) and for the name (3). A search for
-    a role counts only if no category gave that role, one for the name only if nothing else was found.
+    a role counts only if no category gave that role, one for the name only if nothing else was found. An item's
+    candidates are dealt to one task once and judged there by windows, so they are read and tested once.
     """
     ok = candidates.filter((F.coalesce("title", F.lit("")) != "") & media_usable() & species_gate(F.col(latin))).withColumn("score", media_score(F.col(latin)))
-    firsts = lambda df: df.withColumn("__n", F.row_number().over(Window.partitionBy("item_id", "title").orderBy("step", "pos"))).filter("__n = 1").drop("__n")
-    base = firsts(ok.filter("step < 2"))
-    have = base.filter("role_hint is not null").select("item_id", "role_hint").distinct()
-    more = ok.filter("step = 2").join(have, ["item_id", "role_hint"], "left_anti").select(*ok.columns)
-    found = firsts(base.unionByName(more))
-    last = firsts(ok.filter("step = 3").join(found.select("item_id").distinct(), "item_id", "left_anti").select(*ok.columns))
-    return found.unionByName(last)
+    titled = Window.partitionBy("item_id", "title")
+    rows = ok.repartition("item_id").withColumn("__first", F.row_number().over(titled.orderBy("step", "pos")) == 1)
+    given = F.max(F.col("__first") & (F.col("step") < 2)).over(Window.partitionBy("item_id", "role_hint"))
+    rows = rows.withColumn("__given", given)
+    of_category = F.col("__first") & (F.col("step") < 2)
+    may = of_category | ((F.col("step") == 2) & (F.col("role_hint").isNull() | ~F.col("__given")))
+    rows = rows.withColumn("__may", may)
+    best = F.row_number().over(titled.orderBy(F.desc("__may"), F.desc(F.col("step") == 3), "step", "pos")) == 1
+    rows = rows.withColumn("__best", best).withColumn("__found", F.max("__may").over(Window.partitionBy("item_id")))
+    kept = F.col("__best") & F.when(F.col("__found"), F.col("__may")).otherwise(F.col("step") == 3)
+    return rows.filter(kept).select(*ok.columns)
 
 
 def classify() -> Column:
@@ -123,8 +128,8 @@ def media_pack(files: DataFrame, items: DataFrame) -> DataFrame:
     The best flower (or detail) comes first; without one the item is to be reviewed. Then leaf, fruit and habit, a trunk
     of woody items, a detail, and a second flower to reach three.
     """
-    rows = files.withColumn("role", classify()).filter("role is not null")
-    ranked = rows.withColumn("r", F.row_number().over(Window.partitionBy("item_id", "role").orderBy(F.desc(F.coalesce("score", F.lit(0))), "pos"))).filter("r <= 2")
+    rows = files.select("item_id", "pos", "file", "score", classify().alias("role"))
+    ranked = rows.withColumn("r", F.row_number().over(Window.partitionBy("item_id", "role").orderBy(F.desc(F.coalesce("score", F.lit(0))), "pos"))).filter("r <= 2 and role is not null")
     top = lambda role, r=1: F.max(F.when((F.col("role") == role) & (F.col("r") == r), F.col("file")))
     best = ranked.groupBy("item_id").agg(*[top(r).alias(r) for r in ROLES], top("flower", 2).alias("second"))
     woody = _low("lifeform").rlike("tree|shrub|woody") | F.array_contains(F.coalesce("codes", F.array().cast("array<int>")), 6)

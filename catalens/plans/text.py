@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalens.functions import strings as S
+from catalens.operators import stats
 from catalens.operators import text as ops
 from catalens.plans.registry import query
+from catalens.plans.stats import SISTERS, majority
 
 
 def t(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -116,7 +118,7 @@ HABITAT = f"list_sort(list_concat(CASE {_S} % 3 WHEN 0 THEN [1] WHEN 1 THEN [2,
 PETAL = f"CASE WHEN {_K} % 7 > 1 THEN [2] WHEN {_K} % 3 = 0 THEN [3] ELSE [] END"
 
 
-@query("infer_color", f"SELECT {_K} AS item_id, {COLOR} AS codes, CASE WHEN {_K} % 6 = 0 THEN 0.8 WHEN {_K} % 5 = 0 THEN 0.0 ELSE 0.7 END::DOUBLE AS confidence, array_to_string(list_concat(CASE WHEN {_K} % 6 = 0 THEN ['id Q943'] ELSE [] END, CASE {_K} % 5 WHEN 0 THEN [] WHEN 1 THEN ['text: white'] ELSE ['ignored red markings', 'text: blue'] END), ';') AS evidence FROM part")
+@query("infer_color", f"SELECT {_K} AS item_id, {COLOR} AS codes, CASE WHEN {_K} % 6 = 0 THEN 0.8 WHEN {_K} % 5 = 0 THEN 0.0 ELSE 0.7 END::DOUBLE AS confidence, array_to_string(list_concat(CASE WHEN {_K} % 6 = 0 THEN ['id Q943'] ELSE [] END, CASE {_K} % 5 WHEN 0 THEN [] WHEN 1 THEN ['word white'] ELSE ['red in lines or spots', 'word blue'] END), ';') AS evidence FROM part")
 def infer_color(spark, d):
     return described(spark, d).select("item_id", ops.infer_color(F.col("text"), F.col("color_ids")).alias("a")).select("item_id", F.col("a.values").alias("codes"), F.col("a.confidence").alias("confidence"), F.array_join("a.evidence", ";").alias("evidence"))
 
@@ -150,9 +152,41 @@ def infer_toxicity(spark, d):
     return described(spark, d).select("item_id", ops.infer_toxicity(F.col("text")).alias("toxicity"))
 
 
-@query("infer_traits", f"SELECT {_K} AS item_id, {COLOR} AS color, {HABITAT} AS habitat, {PETAL} AS petal, coalesce(({HEIGHT})::INT, CASE WHEN {_K} % 2 = 0 THEN {_S} END) AS height_from, coalesce(({HEIGHT2})::INT, CASE WHEN {_K} % 2 = 0 THEN {_S} END) AS height_to, CASE {_K} % 7 WHEN 0 THEN 2 WHEN 1 THEN 1 ELSE 0 END AS toxicity FROM part")
+GROUP = f"""(SELECT {_K} AS item_id, p_name AS name, CASE WHEN {_S} % 3 <> 0 THEN [1 + {_S} % 5] ELSE []::INT[] END AS color, CASE WHEN {_K} % 4 <> 0 THEN [(1 + {_K} % 6)::INT, 2] ELSE []::INT[] END AS habitat,
+  CASE WHEN {_K} % 3 <> 0 THEN {_S} END AS height_from, CASE WHEN {_K} % 3 = 1 THEN {_S} * 2 END AS height_to, CASE WHEN {_K} % 2 = 0 THEN 1 + {_S} % 12 END AS flowering_from, CASE WHEN {_K} % 2 = 0 THEN 2 + {_S} % 12 END AS flowering_to FROM part)"""
+
+
+def known_traits(spark: SparkSession, d: str) -> DataFrame:
+    """Parts as items that the catalog has."""
+    k, size, none = F.col("p_partkey"), F.col("p_size"), F.array().cast("array<int>")
+    return t(spark, d, "part").select(
+        k.alias("item_id"), F.col("p_name").alias("name"), F.when(size % 3 != 0, F.array(1 + size % 5)).otherwise(none).alias("color"), F.when(k % 4 != 0, F.array((1 + k % 6).cast("int"), F.lit(2))).otherwise(none).alias("habitat"),
+        F.when(k % 3 != 0, size).alias("height_from"), F.when(k % 3 == 1, size * 2).alias("height_to"), F.when(k % 2 == 0, 1 + size % 12).alias("flowering_from"), F.when(k % 2 == 0, 2 + size % 12).alias("flowering_to"),
+    )
+
+
+def _told(c: str) -> str:
+    at = "CASE {k} % 5 WHEN 0 THEN {f}({s} % 12, {k} % 12) + 1 WHEN 1 THEN {x} END"
+    return at.format(k=_K, s=_S, f="least" if c == "from" else "greatest", x=8 if c == "from" else 9)
+
+
+@query(
+    "infer_traits",
+    f"""WITH g AS {GROUP}, s AS (SELECT s.item_id, s.n, g.* EXCLUDE (item_id) FROM {SISTERS} s JOIN g ON s.sister_id = g.item_id),
+      c AS {majority("(SELECT item_id, color AS codes FROM s)", "item_id")}, h AS {majority("(SELECT item_id, habitat AS codes FROM s)", "item_id")},
+      m AS (SELECT item_id, round_even(median(height_from), 0)::INT AS hf, round_even(median(height_to), 0)::INT AS ht, round_even(median(flowering_from), 0)::INT AS ff, round_even(median(flowering_to), 0)::INT AS ft, 'from ' || array_to_string(list(name ORDER BY n)[:4], ', ') AS names FROM s GROUP BY item_id),
+      t AS (SELECT {_K} AS item_id, {COLOR} AS color, {HABITAT} AS habitat, {PETAL} AS petal, coalesce(({HEIGHT})::INT, CASE WHEN {_K} % 2 = 0 THEN {_S} END) AS height_from, coalesce(({HEIGHT2})::INT, CASE WHEN {_K} % 2 = 0 THEN {_S} END) AS height_to,
+        ({_told("from")})::INT AS flowering_from, ({_told("to")})::INT AS flowering_to, CASE {_K} % 7 WHEN 0 THEN 2 WHEN 1 THEN 1 ELSE 0 END AS toxicity FROM part),
+      f AS (SELECT t.*, m.*  EXCLUDE (item_id), c.codes AS cc, h.codes AS hc, len(color) = 0 AND cc IS NOT NULL AS fc, len(habitat) = 0 AND hc IS NOT NULL AS fh, height_from IS NULL AND hf IS NOT NULL AND ht IS NOT NULL AS fs, flowering_from IS NULL AND ff IS NOT NULL AND ft IS NOT NULL AS fm
+        FROM t LEFT JOIN m USING (item_id) LEFT JOIN c USING (item_id) LEFT JOIN h USING (item_id))
+    SELECT item_id, CASE WHEN fc THEN cc ELSE color END AS color, CASE WHEN fh THEN hc ELSE habitat END AS habitat, petal, CASE WHEN fs THEN hf ELSE height_from END AS height_from, CASE WHEN fs THEN ht ELSE height_to END AS height_to,
+      CASE WHEN fm THEN ff ELSE flowering_from END AS flowering_from, CASE WHEN fm THEN ft ELSE flowering_to END AS flowering_to, toxicity, CASE WHEN fc OR fh OR fs OR fm THEN names END AS filled FROM f""",
+)
 def infer_traits(spark, d):
-    return ops.infer_traits(described(spark, d)).select("item_id", F.col("color.values").alias("color"), F.col("habitat.values").alias("habitat"), F.col("petal.values").alias("petal"), "height_from", "height_to", "toxicity")
+    """Traits of the described parts, with gaps filled from parts of the same first word."""
+    known = known_traits(spark, d)
+    found = ops.complete_traits(ops.infer_traits(described(spark, d)), stats.sister_items(known.select("item_id", "name")), known)
+    return found.select("item_id", F.col("color.values").alias("color"), F.col("habitat.values").alias("habitat"), F.col("petal.values").alias("petal"), "height_from", "height_to", "flowering_from", "flowering_to", "toxicity", "filled")
 
 
 WORDS = {k: v for k, v in zip(("flower", "inflorescence", "fruit", "leaf", "stem", "habitat"), (("the ", "que "), ("ed ", "ment "), ("ing ", "en "), ("tion ", "der "), ("er ", "los "), ("of ", "la ")))}
