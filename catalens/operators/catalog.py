@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalens.functions.strings import derived_url, first_given, given, illegal_key
+from catalens.operators.records import family_key
 
 #: Languages of the name search, and those that only the web interface has (fixed values).
 SEARCH_LANGUAGES = ("bg", "cs", "da", "de", "en", "es", "et", "fi", "fr", "hr", "hu", "it", "ja", "ko", "lt", "lv", "nl", "no", "pl", "pt", "ro", "ru", "sk", "sl", "sr", "sv", "uk", "zh")
@@ -150,14 +151,6 @@ def rename_key(table: DataFrame, key: str, old: str, new: str) -> DataFrame:
     return table.unionByName(table.filter(F.col(key) == old).withColumn(key, F.lit(new)))
 
 
-def build_records(resolved: DataFrame) -> DataFrame:
-    """Resolved rows (item_id, name, author, family, ord, ipni_id, gbif_id, codes, known) as records with needs and status."""
-    needs = F.array_compact(F.array(F.when(F.coalesce("family", F.lit("")) == "", "family"), F.when(F.coalesce("ord", F.lit("")) == "", "order"), F.when(F.size(F.coalesce("codes", F.array().cast("array<int>"))) == 0, "codes"), F.when(F.coalesce("ipni_id", F.lit("")) == "", "ipni_id")))
-    folder = F.concat_ws("/", F.coalesce(given(F.col("ord")), F.lit("Unknown")), F.coalesce(given(F.col("family")), F.lit("Unknown")), F.replace("name", F.lit(" "), F.lit("_")))
-    status = F.when(F.col("known"), "exists").when(F.size(needs) > 0, "needs_review").otherwise("ready")
-    return resolved.select("item_id", "name", "author", "family", folder.alias("folder"), F.coalesce("gbif_id", F.lit("")).alias("gbif_id"), F.array_join(needs, ",").alias("needs"), status.alias("status"))
-
-
 def validate_packets(packets: DataFrame, files: DataFrame, rules: dict[str, Column], warnings: dict[str, Column], map_file: str) -> DataFrame:
     """``packets`` with errors, warnings and ok. A packet whose file ``map_file`` isn't in ``files`` (path) has that error too."""
     have = files.select(F.col("path").alias(map_file), F.lit(True).alias("__have")).distinct()
@@ -230,12 +223,6 @@ def official_media_files(expected: DataFrame, files: DataFrame) -> DataFrame:
     return each.join(files.select("path").distinct(), "path", "left_semi").distinct()
 
 
-def review_report(records: DataFrame) -> DataFrame:
-    """(item_id, report): a Markdown page of each record."""
-    line = lambda label, c: F.concat(F.lit(f"- {label}: "), F.coalesce(given(F.col(c).cast("string")), F.lit("none")))
-    return records.select("item_id", F.concat_ws("\n", F.concat(F.lit("# "), "name"), F.lit(""), line("status", "status"), line("family", "family"), line("needs", "needs")).alias("report"))
-
-
 def localized_messages(jobs: DataFrame, languages: DataFrame, copy: DataFrame, topics: DataFrame, app: str = "Catalog") -> DataFrame:
     """(job_id, lang, topic, title, body, uri): jobs (job_id, latin, uri) in each of a few languages (lang).
 
@@ -257,12 +244,12 @@ def missing_copy(jobs: DataFrame, languages: DataFrame, copy: DataFrame) -> Data
 def source_applicability(items: DataFrame, sources: DataFrame) -> DataFrame:
     """(item_id, source) by any of the source's conditions: always, genera, families, lifeforms (contained), l2, l3.
 
-    Conditions are exploded to values, so all but ``lifeforms`` are equality joins; those compare each item's lifeform
+    Families are compared by their current names. Conditions are exploded to values, so all but ``lifeforms`` are equality joins; those compare each item's lifeform
     with the sources' few tokens, of which distinct lifeforms are joined first.
     """
     parts = [items.select("item_id").crossJoin(F.broadcast(sources.filter("always").select("source")))]
-    for item, column in (("genus", "genera"), ("family", "families")):
-        parts.append(items.select("item_id", F.lower(item).alias("v")).join(sources.select("source", F.explode(F.transform(column, F.lower)).alias("v")), "v").select("item_id", "source"))
+    for item, column, norm in (("genus", "genera", F.lower), ("family", "families", family_key)):
+        parts.append(items.select("item_id", norm(F.col(item)).alias("v")).join(sources.select("source", F.explode(F.transform(column, norm)).alias("v")), "v").select("item_id", "source"))
     for column in ("l2", "l3"):
         parts.append(items.select("item_id", F.explode(column).alias("v")).join(sources.select("source", F.explode(column).alias("v")), "v").select("item_id", "source"))
     forms = items.select(F.lower("lifeform").alias("v")).distinct()
@@ -270,13 +257,3 @@ def source_applicability(items: DataFrame, sources: DataFrame) -> DataFrame:
     hit = forms.join(F.broadcast(tokens), F.col("v").contains(F.col("token"))).select("v", "source").distinct()
     parts.append(items.select("item_id", F.lower("lifeform").alias("v")).join(hit, "v").select("item_id", "source"))
     return reduce(DataFrame.unionByName, parts).distinct()
-
-
-def source_hints(applicable: DataFrame, items: DataFrame, sources: DataFrame) -> DataFrame:
-    """Applicable sources that aren't of the pipeline's own kinds, with the volume for the item's family and the URL; reliable ones first, then by name."""
-    from catalens.functions.strings import url_template
-
-    rows = applicable.join(sources.filter("kind not in ('pipeline', 'library')").select("source", "reliable", "template", "volumes"), "source").join(items.select("item_id", "name", F.lower("family").alias("family")), "item_id")
-    volume = F.try_element_at(F.filter("volumes", lambda v: F.array_contains(v["families"], F.col("family"))), F.lit(1))["id"]
-    out = rows.select("item_id", "source", "reliable", volume.alias("volume"), url_template(F.col("template"), F.col("name")).alias("url"))
-    return out.withColumn("n", F.row_number().over(Window.partitionBy("item_id").orderBy(F.desc("reliable"), "source")))

@@ -175,32 +175,13 @@ def rename_key(spark, d):
     return ops.rename_key(t(spark, d, "part").select("p_partkey", "p_brand"), "p_brand", "Brand#7", "Brand#new")
 
 
-def resolved(spark, d):
-    p, k = t(spark, d, "part"), F.col("p_partkey")
-    return p.select(k.alias("item_id"), F.col("p_name").alias("name"), F.col("p_brand").alias("author"), F.when(k % 3 != 0, F.col("p_brand")).alias("family"), F.when(k % 4 != 0, F.col("p_type")).otherwise("").alias("ord"), F.when(k % 5 != 0, F.lit("i")).alias("ipni_id"), F.when(k % 2 == 0, k.cast("string")).alias("gbif_id"), F.when(k % 7 != 0, F.array(F.col("p_size"))).alias("codes"), (k % 11 == 0).alias("known"))
-
-
-RECORDS = """(SELECT *, CASE WHEN item_id % 11 = 0 THEN 'exists' WHEN needs <> '' THEN 'needs_review' ELSE 'ready' END AS status FROM (SELECT p_partkey AS item_id, p_name AS name, p_brand AS author, CASE WHEN p_partkey % 3 <> 0 THEN p_brand END AS family,
-  CASE WHEN p_partkey % 4 <> 0 THEN p_type ELSE 'Unknown' END || '/' || CASE WHEN p_partkey % 3 <> 0 THEN p_brand ELSE 'Unknown' END || '/' || replace(p_name, ' ', '_') AS folder, CASE WHEN p_partkey % 2 = 0 THEN '' || p_partkey ELSE '' END AS gbif_id,
-  array_to_string(list_filter([CASE WHEN p_partkey % 3 = 0 THEN 'family' END, CASE WHEN p_partkey % 4 = 0 THEN 'order' END, CASE WHEN p_partkey % 7 = 0 THEN 'codes' END, CASE WHEN p_partkey % 5 = 0 THEN 'ipni_id' END], lambda x: x IS NOT NULL), ',') AS needs FROM part))"""
-
-
-@query("build_records", f"SELECT * FROM {RECORDS}")
-def build_records(spark, d):
-    return ops.build_records(resolved(spark, d))
-
-
-@query("review_report", f"SELECT item_id, '# ' || name || chr(10) || chr(10) || '- status: ' || status || chr(10) || '- family: ' || coalesce(family, 'none') || chr(10) || '- needs: ' || CASE WHEN needs = '' THEN 'none' ELSE needs END AS report FROM {RECORDS}")
-def review_report(spark, d):
-    return ops.review_report(ops.build_records(resolved(spark, d)))
-
-
-@query("validate_packets", f"SELECT item_id, array_to_string(list_filter([CASE WHEN family IS NULL THEN 'no family' END, CASE WHEN gbif_id = '' THEN 'no id' END, CASE WHEN item_id % 3 = 1 THEN 'no map file' END], lambda x: x IS NOT NULL), ',') AS errors, CASE WHEN needs <> '' THEN 'needs review' ELSE '' END AS warnings, family IS NOT NULL AND gbif_id <> '' AND item_id % 3 <> 1 AS ok FROM {RECORDS}")
+@query("validate_packets", "SELECT k AS item_id, array_to_string(list_filter([CASE WHEN k % 3 = 0 THEN 'no family' END, CASE WHEN k % 2 = 1 THEN 'no id' END, CASE WHEN k % 3 = 1 THEN 'no map file' END], lambda x: x IS NOT NULL), ',') AS errors, CASE WHEN k % 7 = 0 THEN 'needs review' ELSE '' END AS warnings, k % 6 = 2 AS ok FROM (SELECT p_partkey AS k FROM part)")
 def validate_packets(spark, d):
     """Records with rules; of every third part there is no map file."""
-    rows = ops.build_records(resolved(spark, d)).withColumn("map", F.concat(F.lit("m"), "item_id"))
+    k = F.col("p_partkey")
+    rows = t(spark, d, "part").select(k.alias("item_id"), F.when(k % 3 != 0, F.col("p_brand")).alias("family"), F.when(k % 2 == 0, k).alias("gbif_id"), (k % 7 == 0).alias("open"), F.concat(F.lit("m"), k).alias("map"))
     files = t(spark, d, "part").filter("p_partkey % 3 <> 1").select(F.concat(F.lit("m"), "p_partkey").alias("path"))
-    out = ops.validate_packets(rows, files, {"no family": F.col("family").isNull(), "no id": F.col("gbif_id") == ""}, {"needs review": F.col("needs") != ""}, "map")
+    out = ops.validate_packets(rows, files, {"no family": F.col("family").isNull(), "no id": F.col("gbif_id").isNull()}, {"needs review": F.col("open")}, "map")
     return out.select("item_id", F.array_join("errors", ",").alias("errors"), F.array_join("warnings", ",").alias("warnings"), "ok")
 
 
@@ -281,33 +262,3 @@ def localized_messages(spark, d):
 @query("missing_copy", "SELECT s_suppkey AS job_id, 'sk' AS lang FROM supplier")
 def missing_copy(spark, d):
     return ops.missing_copy(jobs(spark, d), languages(spark, d), copy(spark, d))
-
-
-def hint_sources(spark, d):
-    """Nations as sources with conditions."""
-    k, none = F.col("n_nationkey"), F.array().cast("array<string>")
-    vol = lambda i, f: F.struct(F.lit(i).alias("id"), F.array(F.lower(f)).alias("families"))
-    return t(spark, d, "nation").select(
-        F.col("n_name").alias("source"), (k == 0).alias("always"), F.when(k % 4 == 0, F.array(F.lit("Small"), F.lit("red"))).otherwise(none).alias("genera"), F.when(k % 4 == 1, F.array(F.concat(F.lit("brand#"), k))).otherwise(none).alias("families"),
-        F.when(k % 4 == 2, F.array(F.lit("prom"), F.lit("X"))).otherwise(none).alias("lifeforms"), F.when(k % 4 == 3, F.array(k)).otherwise(F.array().cast("array<int>")).alias("l2"), none.alias("l3"),
-        F.when(k % 8 == 4, "library").otherwise("web").alias("kind"), (k % 2 == 0).alias("reliable"), F.concat(F.lit("http://x/{genus}/{name_}?n="), k).alias("template"), F.array(vol("v1", F.lit("Brand#1")), vol("v2", F.concat(F.lit("Brand#"), k))).alias("volumes"),
-    )
-
-
-def hint_items(spark, d):
-    return t(spark, d, "part").select(F.col("p_partkey").alias("item_id"), F.col("p_name").alias("name"), F.substring_index("p_name", " ", 1).alias("genus"), F.col("p_brand").alias("family"), F.col("p_type").alias("lifeform"), F.array(F.col("p_size"), F.col("p_size") + 4).alias("l2"), F.array().cast("array<string>").alias("l3"))
-
-
-APPLIES = """(SELECT p.*, n.* FROM part p JOIN nation n ON n_nationkey = 0 OR (n_nationkey % 4 = 0 AND (p_name LIKE 'small %' OR p_name LIKE 'red %')) OR (n_nationkey % 4 = 1 AND p_brand = 'Brand#' || n_nationkey)
-  OR (n_nationkey % 4 = 2 AND (p_type LIKE '%PROM%' OR p_type LIKE '%X%')) OR (n_nationkey % 4 = 3 AND (p_size = n_nationkey OR p_size + 4 = n_nationkey)))"""
-
-
-@query("source_applicability", f"SELECT p_partkey AS item_id, n_name AS source FROM {APPLIES}")
-def source_applicability(spark, d):
-    return ops.source_applicability(hint_items(spark, d), hint_sources(spark, d))
-
-
-@query("source_hints", f"SELECT p_partkey AS item_id, n_name AS source, n_nationkey % 2 = 0 AS reliable, CASE WHEN p_brand = 'Brand#1' THEN 'v1' WHEN p_brand = 'Brand#' || n_nationkey THEN 'v2' END AS volume, 'http://x/' || split_part(p_name, ' ', 1) || '/' || replace(p_name, ' ', '_') || '?n=' || n_nationkey AS url, row_number() OVER (PARTITION BY p_partkey ORDER BY n_nationkey % 2, n_name)::INT AS n FROM {APPLIES} WHERE n_nationkey % 8 <> 4")
-def source_hints(spark, d):
-    i, s = hint_items(spark, d), hint_sources(spark, d)
-    return ops.source_hints(ops.source_applicability(i, s), i, s)

@@ -26,7 +26,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def _load() -> None:
-    from catalens.plans import catalog, facets, media, more, names, search, sources, stats, taxonomy, text  # noqa: F401
+    from catalens.plans import catalog, facets, media, more, names, records, search, sources, stats, taxonomy, text  # noqa: F401
 
 
 def queries() -> dict[str, Query]:

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalens.functions import strings
-from catalens.operators import catalog, facets, media, names, numbering, search, stats, taxonomy, text
+from catalens.operators import catalog, facets, media, names, numbering, records, search, stats, taxonomy, text
 from catalens.sources import checklist, dumps, payloads
 
 DOMAINS = {"color": "12345", "habitat": "123456", "petal": "1234", "region": [str(x) for x in (*range(10, 15), *range(20, 30), *range(30, 39), *range(40, 44), 50, 51, *range(60, 64), *range(70, 80), *range(80, 86), 90, 91)]}
@@ -226,3 +226,37 @@ def test_strings(spark):
     assert one(strings.display_name(F.lit("Altes Ding"), F.lit("de"))) == "altes Ding" and one(strings.display_name(F.lit("Ding"), F.lit("de"))) == "Ding"
     assert one(strings.quantity_to_cm(F.lit(2.5), F.lit("cm"))) == 2 and one(strings.mask_token(F.lit("12345678abcdWXYZ"))) == "12345678…WXYZ"
     assert one(strings.labelled_line(F.lit("x\nCommon names : a, b\nz"), "common names")) == "a, b"
+
+
+def test_hints_choose_volumes_and_urls(spark):
+    items = spark.createDataFrame([(1, "Acer a", "Acer", "Aceraceae", "tree", [1], ["DEN"]), (2, "Mentha b", "Mentha", "Lamiaceae", None, None, None), (3, "Odd", "Odd", None, None, [], [])], "item_id int, name string, genus string, family string, lifeform string, l2 array<int>, l3 array<string>")
+    volume = "struct<vol:string,families:array<string>,covers:string,vascular:boolean,record:string,bibdigital_id:string>"
+    sources = spark.createDataFrame(
+        [
+            ("a", "Flora", True, [], [], [], [], [], "web", None, True, "http://f/{genus}", "http://home", "http://c/{bibdigital_id}", "about", [("0", ["Aceraceae"], None, False, None, "m"), ("1", ["SAPINDACEAE"], "", None, "http://rec", None), ("2", None, "Labiatae (mints)", True, "http://rec2", "77")]),
+            ("b", "Atlas", False, [], ["Labiatae"], [], [], [], None, "hand", None, None, "http://b", None, None, None),
+            ("c", "Lib", True, [], [], [], [], [], "library", None, True, "x", None, None, None, None), ("d", "Pipe", True, [], [], [], [], [], "web", "pipeline", True, "x", None, None, None, None),
+            ("e", "Never", None, [], [], [], [], [], "web", None, True, "x", None, None, None, None),
+        ],
+        f"source string, name string, always boolean, genera array<string>, families array<string>, lifeforms array<string>, l2 array<int>, l3 array<string>, kind string, fetch string, reliable boolean, url string, home string, cite string, notes string, volumes array<{volume}>",
+    )
+    found = records.source_hints(catalog.source_applicability(items, sources), items, sources).collect()
+    got = sorted((r.item_id, r.n, r.name, r.url, r.volume, r.notes) for r in found if r.item_id < 3)
+    assert got == [(1, 1, "Flora 1", "http://rec", "1", "about"), (2, 1, "Flora 2", "http://c/77", "2", "Labiatae (mints)"), (2, 2, "Atlas", "http://b", None, "")]
+    assert [(r.name, r.url, r.volume) for r in found if r.item_id == 3] == [("Flora", "http://f/odd", None)]
+
+
+def test_page_of_a_record_without_anything(spark):
+    fields = "item_id int, query string, name string, author string, family string, ord string, l2 array<int>, ipni_id string, usda_id string, freebase_id string, gbif_id string, wiki_name string, wikilinks map<string,string>, spine map<string,string>, synonyms array<struct<name:string,authors:string,ipni_id:string>>, warnings array<string>, lifeform string, qid string, known boolean, date string"
+    built = records.build_records(spark.createDataFrame([(7, None, "Acer a", *[None] * 17)], fields))
+    assert built.first().job.needs == ["distribution", "color", "habitat", "petal"] and built.first().detail.wikiName == "Acer a" and built.first().header.url == "Unknown/Unknown/Acer_a/aa1.webp"
+    axis = "struct<values:array<int>,confidence:double,evidence:array<string>,ok:boolean>"
+    traits = spark.createDataFrame([(7, ([2], 0.5, ["x"], True), ([], 0.0, [], False), None, 5, 6, None, None, 0, ["leaf"])], f"item_id int, color {axis}, habitat {axis}, petal {axis}, height_from int, height_to int, flowering_from int, flowering_to int, toxicity int, missing array<string>")
+    told = records.apply_inference(built, traits)
+    row = told.first()
+    assert row.job.needs == ["distribution", "habitat", "petal", "flowering"] and row.job.warnings == ["english incomplete: leaf"] and row.header.filterColor == [2] and row.detail.heightTo == 6
+    none = [spark.createDataFrame([], s) for s in ("item_id int, slot int, role string, title string, license string, source_url string", "item_id int, lang string, n int, name string, source string", "item_id int, n int, name string, reliable boolean, fetch string, url string, notes string")]
+    page = records.review_report(told, *none).first().report
+    assert page.startswith("# Acer a\n\n- status: needs_review\n- id: 7\n") and "## Photos\n- none yet" in page and "- color: 2 (confidence 0.50) x" in page and "Botanical" not in page
+    bare = records.review_report(records.apply_inference(built, traits.limit(0)), *none).first().report
+    assert "## Traits" not in bare and "- height: none–none cm" in bare
