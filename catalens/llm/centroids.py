@@ -56,7 +56,7 @@ def first_centroids(vectors: DataFrame, clusters: int = CLUSTERS, seed: int = SE
     """The vectors whose ``seed:id`` has the smallest sha256; of one id those of smaller components, of null ids only where others are too few."""
     key = F.sha2(F.concat(F.lit(f"{seed}:"), F.col("vec_id").cast("string")), 256)
     first = vectors.orderBy(key.asc_nulls_last(), "q").limit(clusters).select("q").collect()
-    return np.array([r.q for r in first], np.int64).reshape(len(first), -1)
+    return np.array([r.q for r in first], np.int64) if first else np.zeros((0, 0), np.int64)
 
 
 def principal_axes(vectors: DataFrame, dim: int = DIM) -> tuple[np.ndarray, np.ndarray, int]:

@@ -2,8 +2,9 @@
 
 Base rules find secrets by their form. The models find more: a run of key characters is scored by the log-likelihood
 ratio of two first-order character models, one of random strings and one of ordinary identifiers, and becomes a span of
-kind ``markov`` where the ratio is high enough. Both models are trained from samples that the base rules label: values
-that they find are random strings (each distinct value once), runs of key characters elsewhere are ordinary ones.
+kind ``markov`` where the ratio is high enough. Both models are trained from labelled samples: values that the base rules
+find are random strings (each distinct value once), runs of letters in one case elsewhere, as words joined by underscores,
+are ordinary ones. Runs of mixed characters are neither, so that secrets yet unknown don't pass for ordinary.
 
 All positions are code points. Nothing but the counts of character pairs, at most 2 x 66 x 66, leaves the executors, and
 scoring is a projection of the documents without a shuffle.
@@ -30,8 +31,8 @@ HEX = "[0-9a-f]{16,}"
 VALUE_LEAST = 12
 
 KEY_CHARS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_="
-#: Runs of key characters that are scored, and those that ordinary identifiers are learned from.
-CANDIDATE, ORDINARY = "[A-Za-z0-9+/_=]{16,}", "[A-Za-z0-9+/_=]{10,}"
+#: Runs of key characters that are scored, and those that ordinary identifiers are learned from, if they are of one case.
+CANDIDATE, ORDINARY, ONE_CASE = "[A-Za-z0-9+/_=]{16,}", "[A-Za-z0-9+/_=]{10,}", "^[A-Z]?[a-z_]+$|^[A-Z_]+$"
 #: A span is added at this log-likelihood ratio (natural log), in sum and for each pair of characters.
 LEAST_SUM, LEAST_MEAN = 10.0, 0.5
 
@@ -70,13 +71,13 @@ def _pairs(value: Column) -> Column:
 
 
 def pair_counts(df: DataFrame, text: str = "text") -> DataFrame:
-    """(random boolean, pair string, n long): pairs of key characters in the samples that the base rules label."""
+    """(random boolean, pair string, n long): pairs of key characters in the labelled samples."""
     t = F.col(text)
     values = df.select(F.explode(base_spans(t)["value"]).alias("value")).distinct()
     left = t
     for pattern in (ASSIGN, ACCESS, HEX):
         left = F.when(left.rlike(pattern), F.regexp_replace(left, pattern, " ")).otherwise(left)
-    ordinary = df.select(left.alias("left")).select(F.explode(F.regexp_extract_all("left", F.lit(ORDINARY), F.lit(0))).alias("value"))
+    ordinary = df.select(left.alias("left")).select(F.explode(F.regexp_extract_all("left", F.lit(ORDINARY), F.lit(0))).alias("value")).filter(F.col("value").rlike(ONE_CASE))
     both = values.select(F.lit(True).alias("random"), "value").unionByName(ordinary.select(F.lit(False).alias("random"), "value"))
     pairs = both.filter(F.char_length("value") > 1).select("random", "value", F.explode(F.sequence(F.lit(1), F.char_length("value") - 1)).alias("i")).select("random", F.substr("value", F.col("i"), F.lit(2)).alias("pair"))
     counted = pairs.groupBy("random", "pair").agg(F.count("*").alias("n"))
@@ -167,7 +168,7 @@ def _oracle() -> str:
 WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, text FROM documents),{parts}
 base AS (SELECT * FROM assign_found UNION ALL SELECT * FROM access_found UNION ALL SELECT * FROM hex_found),
 samples AS (SELECT DISTINCT TRUE AS random, value FROM base UNION ALL
-  SELECT FALSE, unnest(regexp_extract_all({strip}, '{ORDINARY}', 0)) FROM docs WHERE text IS NOT NULL),
+  SELECT FALSE, value FROM (SELECT unnest(regexp_extract_all({strip}, '{ORDINARY}', 0)) AS value FROM docs WHERE text IS NOT NULL) WHERE regexp_matches(value, '{ONE_CASE}')),
 counts AS (SELECT random, a, b, count(*) AS n FROM ({pairs("samples", "random")}) GROUP BY ALL),
 totals AS (SELECT random, a, sum(n) AS total, count(*) AS kinds FROM counts GROUP BY ALL),
 codes AS (SELECT unnest(range({k})) AS c),
