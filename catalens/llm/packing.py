@@ -152,6 +152,8 @@ def pack(pieces: DataFrame, length: str = "length", capacity: int = CAPACITY, pe
 
 #: The pattern whose matches a word-level file encodes, white space left out (a fixed value of the file).
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Characters below are letters, numbers or neither in all tables since the first that had them: Latin and its extensions.
+ELSEWHERE = "\u0250"
 #: Bytes of text that are encoded at once.
 SLICE = 2_000_000
 
@@ -161,7 +163,8 @@ class WordEncoder:
 
     The file's normalizer composes characters, lowers them and drops white space, and never joins characters across a
     space; so texts are cut at spaces and line feeds, and the library's model is asked for each distinct match of the
-    pattern once. Texts that hold the string of an added token are encoded by the library as they are.
+    pattern once. Texts that hold the string of an added token are encoded by the library as they are, and so are chunks
+    with a character from ``ELSEWHERE`` on: which of those are letters and numbers depends on the library's own tables.
     """
 
     def __init__(self, path: str):
@@ -180,7 +183,9 @@ class WordEncoder:
 
     def _chunk(self, chunk: str) -> bytes:
         if not chunk.isascii():
-            chunk = self.normalize(chunk)
+            if max(chunk) >= ELSEWHERE or max(whole := self.normalize(chunk)) >= ELSEWHERE:
+                return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+            chunk = whole
         if chunk.isalpha():  # one match
             return self._ids(chunk)
         if chunk[:-1].isalpha() and not chunk[-1].isalnum() and not chunk[-1].isspace():  # a word and one mark
