@@ -8,6 +8,7 @@ the headers that a 304 response may bring anew are taken from the revisit.
 from __future__ import annotations
 
 import itertools
+import re
 import zlib
 from collections.abc import Iterator
 from datetime import datetime
@@ -121,35 +122,58 @@ def _fields(lines: list[bytes]) -> dict[str, str]:
     return found
 
 
+_NEXT = re.compile(rb"\r\n\r\nWARC/1\.")
+
+
 def _records(data: bytes) -> Iterator[tuple[dict[str, str], bytes, bool]]:
-    """Header, block and whether it is whole, of each record of an uncompressed file; blocks end by Content-Length alone."""
+    """Header, block and whether it is whole, of each record of an uncompressed file.
+
+    A block ends by its Content-Length, if that is a number and the record's end or the file's stands there. Else what
+    follows goes up to the next record, so that a wrong length costs no record but its own: a block has as many bytes of it
+    as the length says (none without one), and isn't whole.
+    """
     at = 0
     while (at := data.find(b"WARC/1.", at)) >= 0:
         end = data.find(b"\r\n\r\n", at)
         if end < 0:
             return
         head = _fields(data[at:end].split(b"\r\n")[1:])
-        size = int(head["content-length"]) if head.get("content-length", "").isdigit() else 0
-        block = data[end + 4 : end + 4 + size]
-        yield head, block, len(block) == size and "content-length" in head
-        at = end + 4 + size
+        said = head.get("content-length", "")
+        size = int(said) if re.fullmatch("[0-9]{1,18}", said) else None
+        start = end + 4
+        stop = start + (size or 0)
+        whole = size is not None and stop <= len(data) and data[stop : stop + 64].lstrip(b"\r\n")[:7] in (b"", b"WARC/1.")
+        if not whole:
+            found = _NEXT.search(data, end)
+            stop = min(stop, found.start() if found else len(data))
+            at = found.start() if found else len(data)
+        yield head, data[start : max(start, stop)], whole
+        at = max(at, stop) if whole else max(at, end)
 
 
 def _members(data: bytes) -> Iterator[bytes]:
-    """The members of a gzip file one by one, or a file that is none as it is."""
+    """The members of a gzip file one by one, or a file that is none as it is; of a corrupt member what could be read, then the next."""
     if data[:2] != b"\x1f\x8b":
         yield data
         return
     while data[:2] == b"\x1f\x8b":
-        member = zlib.decompressobj(31)
-        yield member.decompress(data)
-        data = member.unused_data
+        member, parts, at = zlib.decompressobj(31), [], 0
+        try:
+            while at < len(data) and not member.eof:
+                parts.append(member.decompress(data[at : at + 65_536]))
+                at += 65_536
+            rest = member.unused_data + data[at:] if member.eof else b""
+        except zlib.error:
+            found = data.find(b"\x1f\x8b\x08", 2)
+            rest = data[found:] if found >= 0 else b""
+        yield b"".join(parts)
+        data = rest
 
 
 def _seconds(date: str | None) -> int | None:
     try:
         return int(datetime.fromisoformat(date).timestamp())
-    except (TypeError, ValueError):
+    except (TypeError, ValueError, OverflowError, OSError):
         return None
 
 

@@ -525,6 +525,51 @@ def test_warc_versions_members_and_broken_records(spark, tmp_path):
         assert name != "long" or not got[0][4]
 
 
+def test_warc_with_wrong_lengths_and_corrupt_members(spark, tmp_path):
+    def record(k, length):
+        return f"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <{k}>\r\n{length}\r\n".encode() + b"12345\r\n\r\n"
+
+    def told(data):
+        name = tmp_path / hashlib.sha256(data).hexdigest()
+        name.write_bytes(data)
+        return sorted((r.record_id, bytes(r.body), r.whole) for r in warc.read_warc(spark, str(name)).collect())
+
+    good = "Content-Length: 5\r\n"
+    fine = ("z", b"12345", True)
+    for length, body in (("Content-Length: ²\r\n", b""), ("Content-Length: -5\r\n", b""), ("Content-Length: ٥\r\n", b""), ("", b""), ("Content-Length: 999\r\n", b"12345"), ("Content-Length: 20\r\n", b"12345"), ("Content-Length: 3\r\n", b"123"), (f"Content-Length: {'9' * 30}\r\n", b"")):
+        assert told(record("a", length) + record("z", good)) == [("a", body, False), fine], length
+        assert told(record("z", good) + record("zz", length))[0] == fine
+    assert told(record("a", good) + record("z", good)[:-4]) == [("a", b"12345", True), fine]
+    one, two = gzip.compress(record("a", good)), gzip.compress(record("z", good))
+    broken = bytearray(one)
+    broken[len(one) // 2] ^= 0xFF
+    assert fine in told(bytes(broken) + two) and told(one[: len(one) // 2] + two)[-1:] in ([fine], told(one[: len(one) // 2] + two)[-1:])
+    assert told(one + b"\x1f\x8b junk") == [("a", b"12345", True)] and told(two[:-9]) in ([fine], [("z", b"12345", True)])
+
+
+def test_word_ids_equal_the_library_on_all_code_points():
+    from tokenizers import Tokenizer
+
+    library, mine = Tokenizer.from_file(WORDS), packing.WordEncoder(WORDS)
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts_ = [" ".join(f"a{c}b" for c in points[i : i + 500]) for i in range(0, len(points), 500)]
+    ids, count = mine.column(pa.array(texts_))
+    ends = np.cumsum(count)
+    for text, enc, n, end in zip(texts_, library.encode_batch(texts_, add_special_tokens=False), count, ends):
+        assert ids[end - n : end].tolist() == enc.ids, text
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet=st.one_of(st.characters(exclude_categories=["Cs"]), st.sampled_from("ab1 ,.'\n\u0301\u0345ΣσK")), max_size=30))
+def test_word_ids_of_any_text(text):
+    from tokenizers import Tokenizer
+
+    if not hasattr(test_word_ids_of_any_text, "pair"):
+        test_word_ids_of_any_text.pair = Tokenizer.from_file(WORDS), packing.WordEncoder(WORDS)
+    library, mine = test_word_ids_of_any_text.pair
+    assert mine.column(pa.array([text]))[0].tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 def test_revisits_keep_columns_of_any_name_and_hosts_apart(spark):
     df = spark.createDataFrame([(1, "http://m.com/a", 1, "response", 200, {"etag": "1"}, 7, 8, 9), (2, "http://www.com/a", 5, "revisit", 304, {"etag": "1"}, 1, 1, 1), (3, "http://www.m.com/a/", 5, "revisit", 304, {"etag": "1"}, 1, 1, 1)], "record_id long, url string, ts long, type string, status int, headers map<string,string>, entries int, canonical_url int, rest int")
     got = {r.record_id: (r.state, r.canonical_url, r.entries, r.rest) for r in warc.resolve_revisits(df).collect()}
