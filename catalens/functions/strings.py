@@ -76,9 +76,9 @@ def url_language(url: Column) -> Column:
 
 
 def url_title(url: Column) -> Column:
-    """The last part of a URL's path, decoded, with spaces for underscores."""
+    """The last part of a URL's path, percent signs decoded (a plus stays one), with spaces for underscores."""
     last = F.substring_index(F.rtrim(url, F.lit("/")), "/", -1)
-    return F.translate(F.coalesce(F.try_url_decode(last), last), "_", " ")
+    return F.translate(F.coalesce(F.try_url_decode(F.replace(last, F.lit("+"), F.lit("%2B"))), last), "_", " ")
 
 
 def photo_prefix(name: Column) -> Column:

@@ -188,10 +188,15 @@ def unsourced_names(spark, d):
     return names.unsourced_names(old_translations(spark, d), names.name_collection(names.entity_names(entities(spark, d))))
 
 
-@query("labelled_line_extract", "SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'cs' ELSE 'en' END AS lang, regexp_replace(x, '^[ .;]+|[ .;]+$', '', 'g') AS name, count(*) AS k FROM (SELECT doc_id, unnest(string_split(regexp_replace(string_split(replace(text, ';', ','), chr(10))[1], '\\([^)]*\\)', ',', 'g'), ',')) AS x FROM documents WHERE length(trim(string_split(text, chr(10))[1])) > 0) WHERE length(regexp_replace(x, '^[ .;]+|[ .;]+$', '', 'g')) >= 3 AND NOT regexp_matches(regexp_replace(x, '^[ .;]+|[ .;]+$', '', 'g'), '^[0-9]+$') GROUP BY ALL")
+_LINE = "CASE WHEN doc_id % 2 = 0 THEN regexp_extract(text, '\\S[^\\n]*') ELSE regexp_extract(string_split(text, chr(10))[-1], '\\S.*') END"
+
+
+@query("labelled_line_extract", f"SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'cs' ELSE 'en' END AS lang, regexp_replace(x, '^[ .;]+|[ .;]+$', '', 'g') AS name, count(*) AS k FROM (SELECT doc_id, unnest(string_split(regexp_replace(replace({_LINE}, ';', ','), '\\([^)]*\\)', ',', 'g'), ',')) AS x FROM documents) WHERE length(regexp_replace(x, '^[ .;]+|[ .;]+$', '', 'g')) >= 3 AND NOT regexp_matches(regexp_replace(x, '^[ .;]+|[ .;]+$', '', 'g'), '^[0-9]+$') GROUP BY ALL")
 def labelled_line_extract(spark, d):
-    """First lines of the documents as lists of names behind a marker."""
-    docs = spark.read.parquet(f"{d}/documents.parquet").filter(F.length(F.trim(F.split("text", "\n")[0])) > 0)
-    page = docs.select("doc_id", F.concat(F.when(F.col("doc_id") % 2 == 0, "x\nČeská jména : ").otherwise("Common names: "), F.split("text", "\n")[0], F.lit("\nend")).alias("text"))
+    """Whole documents with a marker before the first line, blank or not, or before the last: that line as a list of names."""
+    docs, first = spark.read.parquet(f"{d}/documents.parquet"), F.concat(F.lit("x\nČeská jména : "), "text")
+    lines = F.split("text", "\n", -1)
+    last = F.concat(F.array_join(F.slice(lines, F.lit(1), F.size(lines) - 1), "\n"), F.lit("\nCommon names: "), F.element_at(lines, -1))
+    page = docs.select("doc_id", F.when(F.col("doc_id") % 2 == 0, first).otherwise(last).alias("text"))
     cut = page.select(F.col("doc_id").alias("item_id"), F.lit("").alias("latin"), F.array().cast("array<string>").alias("synonyms"), "text")
     return names.page_names(cut).groupBy(F.col("item_id").alias("doc_id"), "lang", "name").agg(F.count("*").alias("k"))

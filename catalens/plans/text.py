@@ -249,9 +249,9 @@ def url_template(spark, d):
     return t(spark, d, "part").select("p_partkey", S.url_template(F.lit("x/{genus}/{species}?q={name+}"), F.col("p_name")).alias("url"))
 
 
-@query("family_alias", "SELECT p_partkey, CASE WHEN p_brand = 'Brand#1' OR lower(p_type) = 'promo' THEN 'new' ELSE lower(p_type) END AS family FROM part WHERE p_brand <> 'Brand#1'")
+@query("family_alias", "SELECT p_partkey, CASE WHEN lower(p_type) = 'promo' THEN 'new' ELSE lower(p_type) END AS family FROM part")
 def family_alias(spark, d):
-    return t(spark, d, "part").filter("p_brand <> 'Brand#1'").select("p_partkey", S.family_alias(F.concat("p_type", F.lit(" 12-")), {"promo": "new"}).alias("family"))
+    return t(spark, d, "part").select("p_partkey", S.family_alias(F.concat("p_type", F.lit(" 12-")), {"promo": "new"}).alias("family"))
 
 
 @query("photo_prefix", "SELECT p_partkey, p_name[1] || split_part(p_name, ' ', 2)[1] AS prefix, CASE WHEN p_size % 2 = 0 THEN p_type ELSE 'Unknown' END || '/' || p_brand || '/' || replace(p_name, ' ', '_') AS folder, replace(p_name, ' ', '_') AS slug FROM part")
@@ -313,10 +313,11 @@ def mask_token(spark, d):
     return t(spark, d, "customer").select("c_custkey", S.mask_token(F.col("c_name")).alias("masked"), S.mask_token(F.col("c_nationkey").cast("string")).alias("short"))
 
 
-@query("url_title", "SELECT page_id, replace(string_split(rtrim(url, '/'), '/')[-1], '_', ' ') AS title FROM pages WHERE url NOT LIKE '%\\%%' ESCAPE '\\'")
+@query("url_title", "SELECT page_id, replace(url_decode(replace(string_split(rtrim(u, '/'), '/')[-1], '+', '%2B')), '_', ' ') AS title FROM (SELECT page_id, url || CASE page_id % 3 WHEN 0 THEN '/a_%C3%A9+b%20c' ELSE '' END AS u FROM pages)")
 def url_title(spark, d):
-    """Titles of the pages' own URLs; those with escapes are in ``url_language``."""
-    return t(spark, d, "pages").filter(~F.col("url").contains("%")).select("page_id", S.url_title(F.col("url")).alias("title"))
+    """Titles of all pages' URLs, a third of them with escapes."""
+    url = F.concat("url", F.when(F.col("page_id") % 3 == 0, "/a_%C3%A9+b%20c").otherwise(""))
+    return t(spark, d, "pages").select("page_id", S.url_title(url).alias("title"))
 
 
 @query("storage_folder", "SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN 'Unknown' ELSE n_name END || '/' || CASE WHEN s_suppkey % 5 = 0 THEN 'Unknown' ELSE 'n' || s_nationkey END || '/' || replace(s_name || ' x', ' ', '_') AS folder FROM supplier JOIN nation ON s_nationkey = n_nationkey")
