@@ -20,30 +20,33 @@ def text(*parts):
     return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
 
 
-K, SIZE, NAME = F.col("p_partkey"), F.col("p_size"), F.col("p_name")
+def part_columns():
+    return F.col("p_partkey"), F.col("p_size"), F.col("p_name")
 
 
 def family():
-    return F.element_at(F.array(*map(F.lit, FAMILIES)), (SIZE % 5 + 1).cast("int"))
+    return F.element_at(F.array(*map(F.lit, FAMILIES)), (F.col("p_size") % 5 + 1).cast("int"))
 
 
 def resolved(spark, d):
     """Parts with some ids, codes, links and synonyms each."""
+    k, size, name = part_columns()
     one = lambda name, authors, i: F.struct(name.alias("name"), F.lit(authors).cast("string").alias("authors"), F.lit(i).alias("ipni_id"))
     return t(spark, d, "part").select(
-        K.alias("item_id"), F.upper(NAME).alias("query"), NAME.alias("name"), F.col("p_brand").alias("author"), family().alias("family"), F.when(K % 4 != 0, F.col("p_type")).otherwise("").alias("ord"), F.when(K % 7 != 0, F.array(SIZE)).alias("l2"),
-        F.when(K % 5 != 0, text("i", K)).otherwise("").alias("ipni_id"), F.lit(None).cast("string").alias("usda_id"), F.when(K % 9 == 0, text("/m/", K)).alias("freebase_id"), F.when(K % 2 == 0, K.cast("string")).alias("gbif_id"), F.when(K % 6 == 0, text("W ", NAME)).alias("wiki_name"),
-        F.when(K % 3 == 0, F.create_map(F.lit("en"), text("http://x/", K))).alias("wikilinks"), F.create_map(F.lit("00_Genus"), F.substring_index(NAME, " ", 1)).alias("spine"),
-        F.when(K % 3 == 0, F.array(one(text(NAME, " s"), "Auth", "i7"), one(text(NAME, " t"), None, ""))).alias("synonyms"), F.when(K % 13 == 0, F.array(F.lit("w"))).alias("warnings"), F.when(SIZE % 4 == 0, "Tree").alias("lifeform"), F.when(K % 2 == 1, text("Q", K)).alias("qid"), (K % 11 == 0).alias("known"), F.lit("2026-01-01").alias("date"),
+        k.alias("item_id"), F.upper(name).alias("query"), name.alias("name"), F.col("p_brand").alias("author"), family().alias("family"), F.when(k % 4 != 0, F.col("p_type")).otherwise("").alias("ord"), F.when(k % 7 != 0, F.array(size)).alias("l2"),
+        F.when(k % 5 != 0, text("i", k)).otherwise("").alias("ipni_id"), F.lit(None).cast("string").alias("usda_id"), F.when(k % 9 == 0, text("/m/", k)).alias("freebase_id"), F.when(k % 2 == 0, k.cast("string")).alias("gbif_id"), F.when(k % 6 == 0, text("W ", name)).alias("wiki_name"),
+        F.when(k % 3 == 0, F.create_map(F.lit("en"), text("http://x/", k))).alias("wikilinks"), F.create_map(F.lit("00_Genus"), F.substring_index(name, " ", 1)).alias("spine"),
+        F.when(k % 3 == 0, F.array(one(text(name, " s"), "Auth", "i7"), one(text(name, " t"), None, ""))).alias("synonyms"), F.when(k % 13 == 0, F.array(F.lit("w"))).alias("warnings"), F.when(size % 4 == 0, "Tree").alias("lifeform"), F.when(k % 2 == 1, text("Q", k)).alias("qid"), (k % 11 == 0).alias("known"), F.lit("2026-01-01").alias("date"),
     )
 
 
 def traits(spark, d):
     """Traits of all parts but every 17th, with gaps."""
+    k, size, name = part_columns()
     axis = lambda some, codes: F.struct(F.when(some, codes).otherwise(F.array().cast("array<int>")).alias("values"), F.lit(0.7).alias("confidence"), F.array(F.lit("word x"), F.lit("word y")).alias("evidence"), some.alias("ok"))
-    return t(spark, d, "part").filter(K % 17 != 0).select(
-        K.alias("item_id"), axis(SIZE % 3 != 0, F.array(1 + SIZE % 5)).alias("color"), axis(K % 4 != 0, F.array(F.lit(2), F.lit(4))).alias("habitat"), axis(K % 3 != 0, F.array(F.lit(1))).alias("petal"), F.when(K % 5 != 0, SIZE).alias("height_from"), F.when(K % 5 != 0, SIZE + 9).alias("height_to"),
-        F.when(K % 2 == 0, 1 + SIZE % 12).alias("flowering_from"), F.when(K % 2 == 0, 2 + SIZE % 12).alias("flowering_to"), (K % 3).cast("int").alias("toxicity"), F.when(K % 14 == 0, F.array(F.lit("leaf"), F.lit("stem"))).alias("missing"),
+    return t(spark, d, "part").filter(k % 17 != 0).select(
+        k.alias("item_id"), axis(size % 3 != 0, F.array(1 + size % 5)).alias("color"), axis(k % 4 != 0, F.array(F.lit(2), F.lit(4))).alias("habitat"), axis(k % 3 != 0, F.array(F.lit(1))).alias("petal"), F.when(k % 5 != 0, size).alias("height_from"), F.when(k % 5 != 0, size + 9).alias("height_to"),
+        F.when(k % 2 == 0, 1 + size % 12).alias("flowering_from"), F.when(k % 2 == 0, 2 + size % 12).alias("flowering_to"), (k % 3).cast("int").alias("toxicity"), F.when(k % 14 == 0, F.array(F.lit("leaf"), F.lit("stem"))).alias("missing"),
     )
 
 
@@ -102,7 +105,8 @@ def hint_sources(spark, d):
 
 
 def hint_items(spark, d):
-    return t(spark, d, "part").select(K.alias("item_id"), NAME.alias("name"), F.substring_index(NAME, " ", 1).alias("genus"), family().alias("family"), F.col("p_type").alias("lifeform"), F.array(SIZE, SIZE + 4).alias("l2"), F.array().cast("array<string>").alias("l3"))
+    k, size, name = part_columns()
+    return t(spark, d, "part").select(k.alias("item_id"), name.alias("name"), F.substring_index(name, " ", 1).alias("genus"), family().alias("family"), F.col("p_type").alias("lifeform"), F.array(size, size + 4).alias("l2"), F.array().cast("array<string>").alias("l3"))
 
 
 APPLIES = f"""(SELECT p.*, n.*, ['sapindaceae', 'sapindaceae', 'lamiaceae', 'rosaceae', ''][p_size % 5 + 1] AS now FROM {ITEMS} p JOIN nation n ON n_nationkey = 0 OR (n_nationkey % 4 = 0 AND (p_name LIKE 'small %' OR p_name LIKE 'red %'))
@@ -135,9 +139,10 @@ def photos(spark, d):
 
 
 def names(spark, d):
+    k, _, name = part_columns()
     row = lambda lang, n, name, source: F.struct(F.lit(lang).alias("lang"), F.lit(n).alias("n"), name.alias("name"), F.lit(source).alias("source"))
-    each = F.when(K % 6 == 0, F.array().cast("array<struct<lang:string,n:int,name:string,source:string>>")).when(K % 2 == 0, F.array(row("en", 2, F.col("p_brand"), "page"), row("en", 1, F.col("p_type"), "entity"), row("de", 1, F.upper(NAME), "table"))).otherwise(F.array(row("en", 1, F.col("p_type"), "entity")))
-    return t(spark, d, "part").select(K.alias("item_id"), F.explode(each).alias("x")).select("item_id", "x.*")
+    each = F.when(k % 6 == 0, F.array().cast("array<struct<lang:string,n:int,name:string,source:string>>")).when(k % 2 == 0, F.array(row("en", 2, F.col("p_brand"), "page"), row("en", 1, F.col("p_type"), "entity"), row("de", 1, F.upper(name), "table"))).otherwise(F.array(row("en", 1, F.col("p_type"), "entity")))
+    return t(spark, d, "part").select(k.alias("item_id"), F.explode(each).alias("x")).select("item_id", "x.*")
 
 
 _LIST = "coalesce(nullif(array_to_string({}, ', '), ''), 'none')"
