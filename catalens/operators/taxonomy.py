@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from catalens.sources.shared import saved
+from catalens.sources.shared import saved, written
 
 
 def ordered_path(entries: Column) -> Column:
@@ -56,35 +56,94 @@ def taxon_members(tree: DataFrame, members: DataFrame) -> DataFrame:
     return members.select(F.explode(up).alias("path"), "item_id").distinct().join(tree.select("path"), "path", "left_semi")
 
 
-def taxon_attach(tree: DataFrame, items: DataFrame, save=lambda df: df) -> tuple[DataFrame, DataFrame]:
-    """Items (item_id, path) attached to ``tree`` (path, name, rank, n, children, tokens); returns the walk (item_id, step, node) and the tree with new nodes.
+_STATE = {"touched": "path string, item_id long, rank string", "made": "path string, name string, rank string, parent string, item_id long"}
 
-    Per step the namesakes of the same or no rank among all descendants of the place reached so far are candidates; the
-    richest wins (n, children, whether it has tokens, depth), of equals the first by path. Without one a child is made,
-    once for all items. Scores are those at the batch's start, and nodes made at one step can be found at later ones. As
-    many rounds as the longest path has steps; ``save`` may cut the lineage between them.
+
+def _earlier(asked: DataFrame, events: DataFrame, to: str, block: int = 1 << 16) -> DataFrame:
+    """``asked`` (item_id, found, ...) with column ``to``: how many events (path, item_id) of the node found come from earlier items.
+
+    Counted by blocks of item ids, each a task's work, behind the sums of the blocks before; only nodes asked for are looked at.
     """
-    tree = tree.select("path", "name", "rank", F.col("n").cast("long"), F.col("children").cast("long").alias("children"), F.col("tokens").cast("long").alias("tokens"))
-    at = items.select("item_id", "path", F.lit("").alias("node"))
-    longest = items.agg(F.max(F.size("path"))).first()[0] or 0
-    walk = None
+    keys = asked.select("found", "item_id").distinct()
+    mine = events.select(F.col("path").alias("found"), "item_id").join(keys.select("found").distinct(), "found", "left_semi")
+    both = keys.withColumn("k", F.lit(0)).unionByName(mine.withColumn("k", F.lit(1))).withColumn("block", F.floor(F.col("item_id") / block))
+    sums = both.groupBy("found", "block").agg(F.sum("k").alias("k"))
+    sums = sums.select("found", "block", F.coalesce(F.sum("k").over(Window.partitionBy("found").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    within = F.coalesce(F.sum("k").over(Window.partitionBy("found", "block").orderBy("item_id").rangeBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counted = both.withColumn("within", within).filter("k = 0").join(sums, ["found", "block"]).select("found", "item_id", (F.col("before") + F.col("within")).alias(to))
+    return asked.join(counted, ["found", "item_id"])
+
+
+def _walks(tree: DataFrame, items: DataFrame, longest: int, touched: DataFrame, made: DataFrame, save) -> DataFrame:
+    """(item_id, step, node, rank, name, under, new) of all items, each on the tree as the events of earlier items leave it."""
+    first = made.groupBy("path").agg(F.min_by(F.struct("name", "rank"), "item_id").alias("x"), F.min("item_id").alias("since"))
+    zero = [F.lit(0).cast("long").alias(c) for c in ("n", "children", "tokens")]
+    nodes = tree.withColumn("since", F.lit(None).cast("long")).unionByName(first.select("path", "x.name", "x.rank", *zero, "since")).select(F.col("path").alias("found"), "name", F.col("rank").alias("own"), "n", "children", "tokens", "since")
+    typed = touched.join(tree.filter("rank is null").select("path"), "path", "left_semi").groupBy(F.col("path").alias("found")).agg(F.min("item_id").alias("typed_by"), F.min_by("rank", "item_id").alias("typed_as"))
+    at, out = items.select("item_id", "path", F.lit("").alias("under")), None
     for k in range(longest):
         step = F.try_element_at("path", F.lit(k + 1))
-        now = at.filter(F.size("path") > k).select("item_id", "path", "node", step["rank"].alias("rank"), step["name"].alias("name"))
-        asked = now.select("node", "rank", "name").distinct()
-        t = tree.select("name", F.col("path").alias("found"), F.col("rank").alias("own"), "n", "children", "tokens")
-        hits = asked.join(t, "name").filter((F.col("node") == "") | F.col("found").startswith(F.concat("node", F.lit("/")))).filter(F.col("own").isNull() | (F.col("own") == F.col("rank")))
-        score = [F.desc("n"), F.desc("children"), F.desc((F.col("tokens") > 0).cast("int")), F.desc(F.size(F.split("found", "/"))), "found"]
-        best = hits.withColumn("r", F.row_number().over(Window.partitionBy("node", "rank", "name").orderBy(*score))).filter("r = 1").select("node", "rank", "name", "found")
-        chosen = asked.join(best, ["node", "rank", "name"], "left").withColumn("made", F.col("found").isNull()).withColumn("found", F.coalesce("found", F.when(F.col("node") == "", F.col("name")).otherwise(F.concat_ws("/", "node", "name"))))
-        chosen = save(chosen)
-        fresh = chosen.filter("made").select(F.col("found").alias("path"), "name", "rank").dropDuplicates(["path"]).select("*", F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("children"), F.lit(0).cast("long").alias("tokens"))
-        tree = save(tree.unionByName(fresh.join(tree.select("path"), "path", "left_anti")))
-        moved = save(now.join(chosen, ["node", "rank", "name"]).select("item_id", "path", F.col("found").alias("node")))
-        steps = moved.select("item_id", F.lit(k + 1).alias("step"), "node")
-        walk = steps if walk is None else walk.unionByName(steps)
-        at = moved
-    return walk, tree
+        now = at.filter(F.size("path") > k).select("item_id", "path", "under", step["rank"].alias("rank"), step["name"].alias("name"))
+        keys = ["under", "rank", "name"]
+        below = (F.col("under") == "") | F.col("found").startswith(F.concat("under", F.lit("/")))
+        hits = save(now.select(*keys).distinct().join(nodes, "name").filter(below & (F.col("own").isNull() | F.col("own").eqNullSafe(F.col("rank")))))
+        kinds = hits.groupBy(*keys).agg(F.count("*").alias("rivals"), F.max(F.col("since").isNotNull() | F.col("own").isNull()).alias("moving"), F.min("found").alias("only"))
+        plain = F.coalesce((F.col("rivals") == 1) & ~F.col("moving"), F.lit(False))
+        now = now.join(kinds, keys, "left").withColumn("plain", plain)
+        # where several namesakes stand, or one that this batch makes or gives its rank, an item sees what earlier ones did
+        open_ = now.filter("rivals is not null and not plain").select("item_id", *keys).join(hits, keys).filter(F.col("since").isNull() | (F.col("since") < F.col("item_id"))).join(typed, "found", "left")
+        own = F.coalesce("own", F.when(F.col("typed_by") < F.col("item_id"), F.col("typed_as")))
+        open_ = open_.filter(own.isNull() | (own == F.col("rank")))
+        open_ = _earlier(_earlier(open_, touched, "more_items"), made.select(F.col("parent").alias("path"), "item_id", F.col("path").alias("child")).groupBy("path", "child").agg(F.min("item_id").alias("item_id")), "more_children")
+        score = [F.desc(F.col("n") + F.col("more_items")), F.desc(F.col("children") + F.col("more_children")), F.desc((F.col("tokens") > 0).cast("int")), F.desc(F.size(F.split("found", "/"))), "found"]
+        best = open_.withColumn("place", F.row_number().over(Window.partitionBy("item_id").orderBy(*score))).filter("place = 1").select("item_id", "found")
+        chosen = now.join(best, "item_id", "left").withColumn("found", F.when(F.col("plain"), F.col("only")).otherwise(F.col("found")))
+        own_path = F.when(F.col("under") == "", F.col("name")).otherwise(F.concat_ws("/", "under", "name"))
+        chosen = save(chosen.select("item_id", "path", "under", "rank", "name", F.coalesce("found", own_path).alias("node"), F.col("found").isNull().alias("new")))
+        steps = chosen.select("item_id", F.lit(k + 1).alias("step"), "node", "rank", "name", "under", "new")
+        out = steps if out is None else out.unionByName(steps)
+        at = chosen.select("item_id", "path", F.col("node").alias("under"))
+    return out
+
+
+def taxon_attach(tree: DataFrame, items: DataFrame, save=written, rounds: int = 50) -> tuple[DataFrame, DataFrame]:
+    """Items (item_id, path) attached to ``tree`` (path, name, rank, n, children, tokens) in order of item_id; returns the walk (item_id, step, node) and the tree after it.
+
+    At each step of its path an item goes to the namesake of the same or no rank, among all descendants of the place it has
+    reached, that is richest (n, children, whether it has tokens, depth; of equals the first by path), or makes a child (where
+    one of that name has another rank, it goes to that). All taxa on its way count it and take the step's rank if they have none. So what one item makes or counts, the next one sees.
+
+    That order needs no sequence: all items walk at once on the tree with the events of earlier items as the round before
+    told them, until a round tells the same. An item's walk depends on earlier items alone, so what stays the same is what
+    attaching one by one gives, and rounds follow the longest chain of items that change each other's minds: often two.
+    Item ids are numbers, once each, and not yet in the tree.
+    """
+    tree = tree.select("path", "name", "rank", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n", "children", "tokens")])
+    items = items.select(F.col("item_id").cast("long").alias("item_id"), "path")
+    spark = tree.sparkSession
+    touched, made = (spark.createDataFrame([], s) for s in _STATE.values())
+    longest = items.agg(F.max(F.size("path"))).first()[0] or 0
+    if longest <= 0:
+        return spark.createDataFrame([], "item_id long, step int, node string"), tree
+    was = None
+    for _ in range(rounds):
+        walk = _walks(tree, items, longest, touched, made, save)  # tables of its steps
+        state = walk.agg(F.count("*"), F.sum(F.xxhash64("item_id", "step", "node", "new").cast("decimal(38,0)"))).first()
+        way = F.transform(F.sequence(F.size(F.when(F.col("under") == "", F.array().cast("array<string>")).otherwise(F.split("under", "/"))) + 1, F.size(F.split("node", "/"))), lambda i: F.array_join(F.slice(F.split("node", "/"), 1, i), "/"))
+        touched = walk.select(F.explode(way).alias("path"), "item_id", "rank")
+        made = walk.filter("new").select(F.col("node").alias("path"), "name", "rank", F.col("under").alias("parent"), "item_id").join(tree.select("path"), "path", "left_anti")
+        if state == was:
+            break
+        was = state
+    else:
+        raise RuntimeError("the walks did not settle")
+    fresh = made.groupBy("path").agg(F.min_by(F.struct("name", "rank"), "item_id").alias("x"), F.first("parent").alias("parent"))
+    counts = touched.groupBy("path").agg(F.count("*").alias("more"), F.min_by("rank", "item_id").alias("as"))
+    sons = fresh.groupBy(F.col("parent").alias("path")).agg(F.count("*").alias("sons"))
+    every = tree.unionByName(fresh.select("path", "x.name", "x.rank", *[F.lit(0).cast("long").alias(c) for c in ("n", "children", "tokens")]))
+    after = every.join(counts, "path", "left").join(sons, "path", "left")
+    plus = lambda c, more: (F.col(c) + F.coalesce(more, F.lit(0))).alias(c)
+    return walk.select("item_id", "step", "node"), after.select("path", "name", F.coalesce("rank", "as").alias("rank"), plus("n", "more"), plus("children", "sons"), "tokens")
 
 
 def taxon_path_patch(items: DataFrame, entries: str) -> DataFrame:

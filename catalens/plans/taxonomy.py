@@ -64,10 +64,10 @@ def taxon_members(spark, d):
 
 @query("taxon_attach", f"SELECT item_id, 1 AS step, r_name AS node FROM {ROWS} UNION ALL SELECT item_id, 2, CASE WHEN short THEN r_name || '/extra/' || s ELSE r_name || '/' || n_name END FROM {ROWS} UNION ALL SELECT item_id, 3, r_name || '/' || n_name || '/' || s FROM {ROWS} WHERE NOT short")
 def taxon_attach(spark, d):
-    """A tree of regions with a section between them and their segments; items without a nation land there, nations are made."""
+    """A tree of regions with a rich section between them and their segments; items without a nation land there, nations are made."""
     c = spark.read.parquet(f"{d}/customer.parquet").select("c_mktsegment").distinct()
     r = spark.read.parquet(f"{d}/region.parquet").select("r_name")
     zero = lambda n: [F.lit(n).cast("long").alias("n"), F.lit(0).cast("long").alias("children"), F.lit(0).cast("long").alias("tokens")]
     tree = r.select(F.col("r_name").alias("path"), F.col("r_name").alias("name"), F.lit("Regio").alias("rank"), *zero(5)).unionByName(r.select(F.concat("r_name", F.lit("/extra")).alias("path"), F.lit("extra").alias("name"), F.lit("Tribus").alias("rank"), *zero(4)))
-    tree = tree.unionByName(r.crossJoin(F.broadcast(c)).select(F.concat("r_name", F.lit("/extra/"), "c_mktsegment").alias("path"), F.col("c_mktsegment").alias("name"), F.lit("Genus").alias("rank"), *zero(2)))
+    tree = tree.unionByName(r.crossJoin(F.broadcast(c)).select(F.concat("r_name", F.lit("/extra/"), "c_mktsegment").alias("path"), F.col("c_mktsegment").alias("name"), F.lit("Genus").alias("rank"), *zero(1_000_000_000)))
     return ops.taxon_attach(tree, paths(spark, d))[0]

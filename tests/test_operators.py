@@ -1,6 +1,7 @@
 """Operators on small cases: the catalog's own schema, edge cases and the rules of ties."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -260,3 +261,61 @@ def test_page_of_a_record_without_anything(spark):
     assert page.startswith("# Acer a\n\n- status: needs_review\n- id: 7\n") and "## Photos\n- none yet" in page and "- color: 2 (confidence 0.50) x" in page and "Botanical" not in page
     bare = records.review_report(records.apply_inference(built, traits.limit(0)), *none).first().report
     assert "## Traits" not in bare and "- height: none–none cm" in bare
+
+
+def slow_attach(tree, items):
+    """One item behind the other."""
+    nodes = {p: dict(name=n, rank=r, n=c, children=k, tokens=t) for p, n, r, c, k, t in tree}
+    walk = []
+    for item, path in sorted(items):
+        at = ""
+        for step, (rank, name) in enumerate(path, 1):
+            hits = [p for p, x in nodes.items() if x["name"] == name and x["rank"] in (None, rank) and (at == "" or p.startswith(at + "/"))]
+            to = min(hits, key=lambda p: (-nodes[p]["n"], -nodes[p]["children"], -(nodes[p]["tokens"] > 0), -len(p.split("/")), p), default=None)
+            if to is None:
+                to = f"{at}/{name}" if at else name
+                if to not in nodes:
+                    nodes[to] = dict(name=name, rank=rank, n=0, children=0, tokens=0)
+                    if at:
+                        nodes[at]["children"] += 1
+            parts = to.split("/")
+            for i in range(len(at.split("/")) if at else 0, len(parts)):
+                x = nodes["/".join(parts[: i + 1])]
+                x["rank"] = x["rank"] or rank
+                x["n"] += 1
+            at = to
+            walk.append((item, step, to))
+    return sorted(walk), sorted((p, x["rank"], x["n"], x["children"]) for p, x in nodes.items())
+
+
+TREE, PATHS = "path string, name string, rank string, n long, children long, tokens long", "item_id long, path array<struct<rank:string,name:string>>"
+
+
+def test_items_attach_in_order(spark):
+    """The second item lands where the first one made a taxon, and a namesake grows past another within the batch."""
+    tree = [("P", "P", "Familia", 5, 2, 0), ("P/T", "T", "Tribus", 1, 1, 0), ("P/T/D", "D", "Genus", 1, 0, 0), ("P/S", "S", "Tribus", 0, 1, 0), ("P/S/D", "D", "Genus", 0, 0, 0)]
+    items = [(1, [("Familia", "P"), ("Genus", "New")]), (2, [("Familia", "P"), ("Tribus", "S"), ("Genus", "D")]), (3, [("Familia", "P"), ("Tribus", "S"), ("Genus", "D")]), (4, [("Familia", "P"), ("Genus", "D")]), (5, [("Genus", "New")])]
+    walk, after = taxonomy.taxon_attach(spark.createDataFrame(tree, TREE), spark.createDataFrame(items, PATHS))
+    found = {(r.item_id, r.step): r.node for r in walk.collect()}
+    assert found[4, 2] == "P/S/D" and found[5, 1] == "P/New"
+    assert (sorted((i, s, n) for (i, s), n in found.items()), sorted((r.path, r["rank"], r.n, r.children) for r in after.collect())) == slow_attach(tree, items)
+
+
+def test_attachment_equals_one_by_one(spark):
+    """Random trees side by side, with namesakes, taxa without a rank, and items that make, rank and enrich taxa for later ones."""
+    rng = random.Random(11)
+    tree, items = [], []
+    for case in range(25):
+        names, ranks = [f"c{case}{x}" for x in "abcd"], ("R1", "R2", "R3")
+        paths = {f"c{case}root": 0}
+        for _ in range(rng.randrange(7)):
+            at = rng.choice(sorted(paths))
+            paths.setdefault(f"{at}/{rng.choice(names)}", 0)
+        for p in paths:
+            tree.append((p, p.rsplit("/", 1)[-1], rng.choice([None, *ranks]), rng.randrange(3), sum(q.rsplit("/", 1)[0] == p for q in paths if q != p), rng.randrange(2)))
+        for i in range(rng.randrange(1, 9)):
+            steps = [(rng.choice(ranks), x) for x in rng.sample(names, rng.randrange(0, 3))]
+            items.append((i * 100 + case, ([(rng.choice(ranks), f"c{case}root")] if rng.random() < 0.7 else []) + steps))
+    walk, after = taxonomy.taxon_attach(spark.createDataFrame(tree, TREE), spark.createDataFrame(items, PATHS))
+    assert (sorted(map(tuple, walk.collect())), sorted((r.path, r["rank"], r.n, r.children) for r in after.collect())) == slow_attach(tree, items)
+    assert taxonomy.taxon_attach(spark.createDataFrame(tree, TREE), spark.createDataFrame([], PATHS))[0].count() == 0
