@@ -10,6 +10,8 @@ hold. What a task emits follows its rows, not its pairs: a spanning forest of th
 
 from __future__ import annotations
 
+import gc
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,8 +19,12 @@ from pyspark.sql import functions as F
 from catalens.llm.common import saved
 
 
-def connected_components(links: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:
-    """(id, component_id) for each id in a link; component_id is the smallest id reachable. Links with a null end, and of an id to itself, are void."""
+def connected_components(links: DataFrame, a: str = "a", b: str = "b", rounds: int = 60, tidy: bool = False) -> DataFrame:
+    """(id, component_id) for each id in a link; component_id is the smallest id reachable. Links with a null end, and of an id to itself, are void.
+
+    With ``tidy`` the driver collects its garbage after each round, upon which Spark removes what earlier rounds shuffled;
+    else those files stay until it happens to.
+    """
     now = saved(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"), F.col(a).isNotNull() & F.col(b).isNotNull()).toDF("u", "v", "whole").filter("whole and u > v").select("u", "v").distinct())
     state = None
     for _ in range(rounds):
@@ -29,6 +35,9 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b", rounds: i
         small = large.join(least, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).filter("u > v").distinct()
         now = saved(small)
         was, state = state, now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        if tidy:
+            del both, least, large, small
+            discard_unused(now)
         if state == was:
             break
     else:
@@ -36,6 +45,12 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b", rounds: i
     return now.select(F.col("u").alias("id"), F.col("v").alias("component_id")).unionByName(now.select(F.col("v").alias("id"), F.col("v").alias("component_id")).distinct())
 
 
+def discard_unused(df: DataFrame) -> None:
+    """Let Spark's cleaner find the shuffles and checkpoints of plans that are no longer referred to."""
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+
+
 def cells(rows: DataFrame, key: str, by: str, cap: int, weight: str | None = None) -> DataFrame:
     """``rows`` of keys with two rows or more, with column ``cell``: the block pairs of its bucket that a row takes part in.
 

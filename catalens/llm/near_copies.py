@@ -150,13 +150,13 @@ def near_copies(df: DataFrame, doc_id: str = "doc_id", text: str = "text", cap:
     prints = near_links(of_print.select("fp")).distinct().join(of_print.select(F.col("fp").alias("a"), F.col("least").alias("key")), "a").join(of_print.select(F.col("fp").alias("b"), "least"), "b").select("key", "least")
     same = classes.join(of_print, "fp").filter("key != least").select("key", "least")
     links = banded.join(least, "band").filter("key != least").select("key", "least").unionByName(same).unionByName(prints)
-    candidates = connected_components(links.distinct(), "key", "least")
+    candidates = connected_components(links.distinct(), "key", "least", tidy=True)
     dealt = cells(candidates.select(F.col("id").alias("key"), F.col("component_id").alias("component")).join(classes.select("key", "size"), "key"), "component", "key", cap, "size")
     members = classes.select("key", "first").join(candidates.select(F.col("id").alias("key")), "key", "left_semi").withColumnRenamed("first", "doc_id")
     # one row stands for a class: that of its smallest id
     told = _signed(docs, False).join(members.withColumnsRenamed({"key": "k", "doc_id": "d"}), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("key") == F.col("k"))).groupBy("key").agg(F.first("text").alias("text"))
     met = dealt.select("component", "cell", "key").join(told, "key").repartition("component", "cell").sortWithinPartitions("component", "cell")
-    component = connected_components(met.mapInArrow(_verified, "a long, b long").distinct())
+    component = connected_components(met.mapInArrow(_verified, "a long, b long").distinct(), tidy=True)
     of_class = classes.select("key", "first").join(component, F.col("key") == F.col("id"), "left").select("key", "first", F.coalesce("component_id", "key").alias("group"))
     smallest = of_class.groupBy("group").agg(F.min("first").alias("component_id"))
     return rows.select("doc_id", "key").join(of_class.join(smallest, "group").select("key", "component_id"), "key").select("doc_id", "component_id")
