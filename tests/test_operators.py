@@ -319,3 +319,8 @@ def test_attachment_equals_one_by_one(spark):
     walk, after = taxonomy.taxon_attach(spark.createDataFrame(tree, TREE), spark.createDataFrame(items, PATHS))
     assert (sorted(map(tuple, walk.collect())), sorted((r.path, r["rank"], r.n, r.children) for r in after.collect())) == slow_attach(tree, items)
     assert taxonomy.taxon_attach(spark.createDataFrame(tree, TREE), spark.createDataFrame([], PATHS))[0].count() == 0
+
+
+def test_sentences_keep_their_digits(spark):
+    df = spark.createDataFrame([("0a0.  1b1. 2c 2?\n 333d3",)], "t string")
+    assert df.select(text.sentences(F.col("t")).alias("s")).first().s == ["0a0.", "1b1.", "2c 2?", "333d3"]
