@@ -324,3 +324,8 @@ def test_attachment_equals_one_by_one(spark):
 def test_sentences_keep_their_digits(spark):
     df = spark.createDataFrame([("0a0.  1b1. 2c 2?\n 333d3",)], "t string")
     assert df.select(text.sentences(F.col("t")).alias("s")).first().s == ["0a0.", "1b1.", "2c 2?", "333d3"]
+
+
+def test_keyword_sentences_keep_their_digits(spark):
+    df = spark.createDataFrame([("a. 1 Token 1. 2 license 2. c",)], "t string")
+    assert df.select(text.keyword_sentences(F.col("t"), ["token", "license"]).alias("s")).first().s == ["1 Token 1.", "2 license 2."]
