@@ -79,3 +79,14 @@ def test_media_are_read_once(spark):
     packed = media.media_pack(media_plans.files(spark, data), media_plans.items(spark, data))
     plan = packed._jdf.queryExecution().executedPlan().toString()
     assert plan.count("lineitem.parquet") == 1
+
+
+def _named(df, word):
+    return df._jdf.queryExecution().optimizedPlan().toString().count(word)
+
+
+def test_colors_are_read_once(spark):
+    axis = text.infer_color(F.col("t"), F.col("q")).alias("a")
+    df = spark.createDataFrame([("red flowers", ["Q943"])], "t string, q array<string>").select(axis).select("a.values", "a.confidence", "a.evidence")
+    # the windows, and words in them: plain and hyphened, of either kind of window, before and behind marks
+    assert _named(df, "regexp_extract_all(") <= 9
