@@ -99,7 +99,7 @@ def split_sections(spark, d):
 
 
 def described(spark: SparkSession, d: str) -> DataFrame:
-    """(item_id, text, lifeform, family, color_ids, low_cm, high_cm)."""
+    """(item_id, text, lifeform, family, color_ids, low_cm, high_cm), dealt to as many tasks as a shuffle has: the table is small, and what is read off its texts is not."""
     k, size = F.col("p_partkey"), F.col("p_size")
     m = F.element_at(F.array(*[F.lit(x.capitalize()) for x in ops.MONTHS]), (size % 12 + 1).cast("int"))
     m2 = F.element_at(F.array(*[F.lit(x[:3]) for x in ops.MONTHS]), (k % 12 + 1).cast("int"))
@@ -109,7 +109,8 @@ def described(spark: SparkSession, d: str) -> DataFrame:
         F.when(k % 5 == 0, F.concat(F.lit("It flowers from "), m, F.lit(" to "), m2, F.lit(". "))).when(k % 5 == 1, "Petals are white, in late summer. ").otherwise("Flowers blue above the large leaves with red veins. "),
         F.when(k % 7 == 0, "The seed is deadly.").when(k % 7 == 1, "Poisonous if eaten.").otherwise("Pentamerous."),
     )
-    return t(spark, d, "part").select(k.alias("item_id"), text.alias("text"), F.when(size % 4 == 0, "Tree").when(size % 4 == 1, "bulb geophyte").alias("lifeform"), F.when(k % 3 == 0, "Liliaceae").otherwise(F.col("p_brand")).alias("family"), F.when(k % 6 == 0, F.array(F.lit("Q943"), F.lit("Q1"))).alias("color_ids"), F.when(k % 2 == 0, size).alias("low_cm"), F.lit(None).cast("int").alias("high_cm"))
+    part = t(spark, d, "part").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "p_partkey")
+    return part.select(k.alias("item_id"), text.alias("text"), F.when(size % 4 == 0, "Tree").when(size % 4 == 1, "bulb geophyte").alias("lifeform"), F.when(k % 3 == 0, "Liliaceae").otherwise(F.col("p_brand")).alias("family"), F.when(k % 6 == 0, F.array(F.lit("Q943"), F.lit("Q1"))).alias("color_ids"), F.when(k % 2 == 0, size).alias("low_cm"), F.lit(None).cast("int").alias("high_cm"))
 
 
 _K, _S = "p_partkey", "p_size"

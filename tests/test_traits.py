@@ -90,3 +90,9 @@ def test_colors_are_read_once(spark):
     df = spark.createDataFrame([("red flowers", ["Q943"])], "t string, q array<string>").select(axis).select("a.values", "a.confidence", "a.evidence")
     # the windows, and words in them: plain and hyphened, of either kind of window, before and behind marks
     assert _named(df, "regexp_extract_all(") <= 9
+
+
+def test_described_items_are_dealt(spark):
+    from catalens.plans import text as text_plans
+
+    assert text_plans.described(spark, "/root/testdata/sf0.001").rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
