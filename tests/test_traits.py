@@ -96,3 +96,9 @@ def test_described_items_are_dealt(spark):
     from catalens.plans import text as text_plans
 
     assert text_plans.described(spark, "/root/testdata/sf0.001").rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_traits_are_worked_out_once(spark):
+    from catalens.plans import text as text_plans
+
+    assert _named(text_plans.infer_traits(spark, "/root/testdata/sf0.001"), "lambdafunction(") < 100
