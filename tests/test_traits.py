@@ -102,3 +102,9 @@ def test_traits_are_worked_out_once(spark):
     from catalens.plans import text as text_plans
 
     assert _named(text_plans.infer_traits(spark, "/root/testdata/sf0.001"), "lambdafunction(") < 100
+
+
+def test_media_tokens_are_one_pattern(spark):
+    title = F.concat(F.initcap("t"), F.lit("'"))
+    df = spark.createDataFrame([("Pollen map",)], "t string").select(title.alias("title")).filter(media._any(F.lower("title"), media.REJECTED))
+    assert _named(df, "initcap(") == 2  # the row's title and one test of it
