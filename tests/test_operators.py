@@ -329,3 +329,17 @@ def test_sentences_keep_their_digits(spark):
 def test_keyword_sentences_keep_their_digits(spark):
     df = spark.createDataFrame([("a. 1 Token 1. 2 license 2. c",)], "t string")
     assert df.select(text.keyword_sentences(F.col("t"), ["token", "license"]).alias("s")).first().s == ["1 Token 1.", "2 license 2."]
+
+
+def test_keys_of_items_are_not_shuffled(spark):
+    items = spark.createDataFrame([(0, [5, 2], [6], [2], [10, 11]), (0, [5], [1], [2], [10]), (1, [3], [1, 4, 8], [2], [11]), (None, [1], None, None, []), (None, [1], [2], None, [])], HEADER)
+    new = items.filter("item_id is null or item_id = 0 and size(color) = 1 or item_id = 1").unionByName(spark.createDataFrame([(2, None, [], None, None)], HEADER))
+    pairs = lambda rows: {(r.item_id, r.key) for r in facets.matching_keys(rows, "item_id", DOMAINS).collect()}
+    members = facets.facet_members(items, "item_id", DOMAINS)
+    got = [(r.item_id, r.key) for r in members.collect()]
+    assert len(got) == len(set(got)) and set(got) == pairs(items)
+    diff = facets.facet_key_diff(items, new, "item_id", DOMAINS)
+    assert sorted((r.change, str(r.item_id), r.key) for r in diff.collect()) == sorted([("add", str(i), k) for i, k in pairs(new) - pairs(items)] + [("remove", str(i), k) for i, k in pairs(items) - pairs(new)])
+    for df in (members, diff):
+        grouped = [line for line in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Aggregate" in line]
+        assert grouped and all("Aggregate [item_id#" in line and ", key#" not in line for line in grouped)
