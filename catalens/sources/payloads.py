@@ -105,8 +105,10 @@ def gallery_species(pages: DataFrame) -> DataFrame:
     """(key, species_id, label, plates) of search pages (key, wanted, body): the species whose label holds the wanted name.
 
     The label is the shortest of a species' links (the first of equals), the plates the largest number in brackets of its
-    links, 0 without one. Links to lower ranks and empty ones don't count.
+    links, 0 without one. Links to lower ranks and empty ones don't count. Pages are dealt to as many tasks as a shuffle has
+    before they are parsed.
     """
+    pages = pages.repartition(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), "key")
     a = _tags(pages, _ANCHOR).withColumn("href", _attribute("href")).withColumn("text", strip_html(F.col("raw")))
     species = F.regexp_extract("href", r"species\.php.*[?&;]id_species=(\d+)", 1).try_cast("long")
     low = F.concat(F.lit(" "), F.lower("text"), F.lit(" "))
