@@ -143,7 +143,11 @@ def already_in_catalog(rows: DataFrame, catalog: DataFrame) -> DataFrame:
 
 
 def entity_names(entities: DataFrame) -> DataFrame:
-    """Name rows (item_id, src, pos, lang, name, source) of entities: labels, then aliases, then page titles of URLs, in order of language."""
+    """Name rows (item_id, src, pos, lang, name, source) of entities: labels, then aliases, then page titles of URLs, in order of language.
+
+    Items are dealt to as many tasks as a shuffle has before they become rows, and stay there for all that groups by item.
+    """
+    entities = entities.repartition(int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions")), "item_id")
     none = F.array().cast("array<struct<lang:string,name:string,source:string>>")
     rows = lambda m, f: F.coalesce(F.flatten(F.transform(F.sort_array(F.map_entries(m)), f)), none)
     one = lambda lang, name, source: F.struct(lang.alias("lang"), name.alias("name"), F.lit(source).alias("source"))

@@ -343,3 +343,12 @@ def test_keys_of_items_are_not_shuffled(spark):
     for df in (members, diff):
         grouped = [line for line in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Aggregate" in line]
         assert grouped and all("Aggregate [item_id#" in line and ", key#" not in line for line in grouped)
+
+
+def test_entities_and_pages_are_dealt_before_they_are_read(spark):
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    e = spark.createDataFrame([(1, "A b", [], {"en": "c"}, {}, {})], "item_id long, latin string, synonyms array<string>, labels map<string,string>, aliases map<string,array<string>>, wikipedia map<string,string>").coalesce(1)
+    assert names.entity_names(e).rdd.getNumPartitions() == parts
+    p = spark.createDataFrame([(1, "a", "<a href='x'>a</a>")], "key long, wanted string, body string").coalesce(1)
+    plan = payloads.gallery_species(p)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [key#" in plan
