@@ -352,3 +352,13 @@ def test_entities_and_pages_are_dealt_before_they_are_read(spark):
     p = spark.createDataFrame([(1, "a", "<a href='x'>a</a>")], "key long, wanted string, body string").coalesce(1)
     plan = payloads.gallery_species(p)._jdf.queryExecution().optimizedPlan().toString()
     assert "RepartitionByExpression [key#" in plan
+
+
+def test_packets_are_built_records(spark):
+    from catalens.plans import registry
+
+    some = {name: {r.item_id: r for r in registry.queries()[name](spark, "/root/testdata/sf0.001").collect()} for name in ("validate_packets", "build_records", "apply_inference")}
+    assert some["validate_packets"].keys() == some["build_records"].keys() and any(r.ok for r in some["validate_packets"].values())
+    for k, r in some["validate_packets"].items():
+        built, told = some["build_records"][k], some["apply_inference"][k]
+        assert ("no family" in r.errors, "no id" in r.errors, bool(r.warnings)) == (built.family == "", built.gbif_id is None, told.status == "needs_review")
