@@ -108,3 +108,18 @@ def test_media_tokens_are_one_pattern(spark):
     title = F.concat(F.initcap("t"), F.lit("'"))
     df = spark.createDataFrame([("Pollen map",)], "t string").select(title.alias("title")).filter(media._any(F.lower("title"), media.REJECTED))
     assert _named(df, "initcap(") == 2  # the row's title and one test of it
+
+
+def test_seasons_are_patterns_made_once(monkeypatch):
+    def slow(t):
+        low = t.lower()
+        blooms = bool(text._IN_FLOWER.search(low))
+        return next(((a, b, phrase) for phrase, a, b in text.SEASONS if (" " in phrase or blooms) and re.search(rf"\b{phrase}\b", low)), None)
+
+    rng = random.Random(6)
+    parts = [phrase for phrase, _, _ in text.SEASONS] + ["In Fall", "flowers", "Blooming", "early", "late", "falls", "springs", "the", "midsummer", "."]
+    some = ["".join(rng.choice(parts) + rng.choice((" ", " ", "", ", ")) for _ in range(rng.randrange(6))) for _ in range(2000)]
+    want = [slow(t) for t in some]
+    monkeypatch.setattr(text, "_word", None)  # no text makes patterns of its own
+    assert [text.flowering_in(t) for t in some] == want and len(set(want)) == len(text.SEASONS) + 1
+    assert text.height_in("reaches a metre") is None and text.height_in("Reaches 2 m") == (200, 200, "Reaches 2 m")
