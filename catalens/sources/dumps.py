@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from catalens.sources.shared import listed_together
+
 
 def read_whole(spark: SparkSession, path: str) -> DataFrame:
     """(file, body) of text files, each as one row."""
@@ -43,7 +45,8 @@ def scan_job_packets(spark: SparkSession, path: str, schemas: dict[str, str], tr
     without any. ``lacking`` names the files that aren't there or aren't JSON, but for those in ``optional``.
     """
     names = ",".join([*schemas])
-    rows = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.json")
+    with listed_together(spark):
+        rows = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.json")
     file = F.col("_metadata.file_path")
     folder = lambda up: F.url_decode(F.replace(F.element_at(F.split(file, "/"), -up), F.lit("+"), F.lit("%2B")))
     rows = rows.select((folder(2) == "translations").alias("spoken"), folder(2).alias("near"), folder(3).alias("far"), file_name_of(file).alias("name"), F.when(F.try_parse_json("value").isNotNull(), F.col("value")).alias("body"))

@@ -6,6 +6,7 @@ import re
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyarrow import fs
@@ -31,20 +32,38 @@ def store_of(path: str) -> tuple[fs.FileSystem, str]:
 def write_files(files: DataFrame, folder: str) -> int:
     """Write (path, body) rows as files below ``folder``, each under its own name; how many there are now.
 
-    For sources that hold a file for each item under a given name, as patches and packets do; tables go through Spark's writers.
+    For sources that hold a file for each item under a given name, as patches and packets do; tables go through Spark's
+    writers. Files are dealt to as many tasks as a shuffle has, as a table of one part may be many files.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, top = store_of(folder)
         for batch in batches:
+            made = set()
             for path, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 whole = f"{top.rstrip('/')}/{path}"
-                store.create_dir(whole.rsplit("/", 1)[0], recursive=True)
+                here = whole.rsplit("/", 1)[0]
+                if here not in made:
+                    store.create_dir(here, recursive=True)
+                    made.add(here)
                 with store.open_output_stream(whole) as out:
                     out.write(body.encode())
             yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
 
-    return files.select("path", "body").mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    dealt = files.select("path", "body").repartition(int(files.sparkSession.conf.get("spark.sql.shuffle.partitions")), "path")
+    return dealt.mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
+@contextmanager
+def listed_together(spark: SparkSession) -> Iterator[None]:
+    """Folders of many files are listed by as many tasks as a shuffle has; else each folder, or file of a stream, is a task up to 10,000."""
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(key)
+    spark.conf.set(key, spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def saved(df: DataFrame) -> DataFrame:

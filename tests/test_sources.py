@@ -119,3 +119,27 @@ def test_packets_from_one_scan(spark, tmp_path):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1 and "Join" not in plan
     assert found.select(F.count("*")).first()[0] == 2
+
+
+def test_files_are_dealt_before_they_are_written(spark, tmp_path, monkeypatch):
+    files = spark.createDataFrame([(f"a{i % 3}/b{i}.json", str(i)) for i in range(60)], "path string, body string").coalesce(1)
+    kind, parts = type(files), []
+    pipe = kind.mapInArrow
+    monkeypatch.setattr(kind, "mapInArrow", lambda df, *a: parts.append(df.rdd.getNumPartitions()) or pipe(df, *a))
+    assert write_files(files, str(tmp_path)) == 60 and parts == [int(spark.conf.get("spark.sql.shuffle.partitions"))]
+    assert {(f"{p.parent.name}/{p.name}", p.read_text()) for p in tmp_path.glob("*/*.json")} == {tuple(r) for r in files.collect()}
+
+
+def most_tasks(spark, group):
+    tracker = spark.sparkContext.statusTracker()
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(group)]
+    return max(tracker.getStageInfo(s).numTasks for j in jobs for s in j.stageIds if tracker.getStageInfo(s))
+
+
+def test_packet_folders_are_listed_together(spark):
+    from catalens.plans import sources
+
+    spark.sparkContext.setJobGroup("packets", "packets")
+    assert sources.scan_job_packets(spark, "/root/testdata/sf0.01").count() == 100
+    spark.sparkContext.setJobGroup("", "")
+    assert most_tasks(spark, "packets") < 50
