@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from catalens.operators.catalog import counts_of
 from catalens.plans.registry import query
 from catalens.sources import catalog_dump, checklist, dumps, payloads
-from catalens.sources.shared import scratch, write_files
+from catalens.sources.shared import listed_together, scratch, write_files
 from catalens.streaming import patches
 
 
@@ -204,8 +204,9 @@ def scan_patch_dir(spark, d):
     body = F.to_json(F.struct(text("L", k).alias("label"), F.when(k % 4 != 0, "l").alias("leaf"), F.when(k % 4 == 1, " ").otherwise("s").alias("stem")))
     name = text(F.when(k % 7 == 0, "_").otherwise(""), k, "_", F.replace("s_name", F.lit("#"), F.lit("_#_")), ".json")
     write_files(t(spark, d, "supplier").select(name.alias("path"), body.alias("body")), f"{path}/in")
-    for _ in range(2):
-        patches.stream_patch_files(spark, f"{path}/in", "label string, leaf string, stem string", ["label", "leaf", "stem"], f"{path}/out", f"{path}/checkpoint", 1_000_000).awaitTermination()
+    with listed_together(spark):
+        for _ in range(2):
+            patches.stream_patch_files(spark, f"{path}/in", "label string, leaf string, stem string", ["label", "leaf", "stem"], f"{path}/out", f"{path}/checkpoint", 1_000_000).awaitTermination()
     accepted, rejected = patches.patches_so_far(spark, f"{path}/out")
     return accepted.unionByName(rejected).select("item_id", "latin", "label", F.array_join("lacking", ",").alias("lacking"), "batch")
 

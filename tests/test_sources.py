@@ -143,3 +143,14 @@ def test_packet_folders_are_listed_together(spark):
     assert sources.scan_job_packets(spark, "/root/testdata/sf0.01").count() == 100
     spark.sparkContext.setJobGroup("", "")
     assert most_tasks(spark, "packets") < 50
+
+
+def test_patch_files_are_listed_together(spark, monkeypatch):
+    from catalens.plans import sources
+
+    runs, stream = [], patches.stream_patch_files
+    monkeypatch.setattr(patches, "stream_patch_files", lambda *a: runs.append(stream(*a)) or runs[-1])
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(key)
+    assert sources.scan_patch_dir(spark, "/root/testdata/sf0.01").count() == 85 and spark.conf.get(key) == before
+    assert max(most_tasks(spark, str(q.runId)) for q in runs) < 50
