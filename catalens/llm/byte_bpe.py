@@ -189,7 +189,7 @@ def encoded(path: str, text: str, to: str):
 def _flat(column: pa.ListArray) -> tuple[list[int], list[tuple[int, int]]]:
     """All ids, and where each row's begin and end."""
     ends = np.cumsum(np.nan_to_num(column.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)).tolist()
-    return column.flatten().to_pylist(), list(zip([0, *ends[:-1]], ends))
+    return column.flatten().to_numpy(zero_copy_only=False).tolist(), list(zip([0, *ends[:-1]], ends))
 
 
 def decoded(path: str, ids: str, to: str):

@@ -88,6 +88,21 @@ def test_bpe_keeps_other_columns(spark):
     assert coded.columns == ["id", "text", "TEXT2", "ids", "decoded"] and bytes(coded.first().decoded) == b"the thing"
 
 
+def test_ids_leave_arrow_as_an_array():
+    class Ids:
+        def __init__(self, rows):
+            self.rows = pa.array(rows, pa.list_(pa.int32()))
+
+        def value_lengths(self):
+            return self.rows.value_lengths()
+
+        def flatten(self):
+            return type("Flat", (), {"to_numpy": lambda _, **k: self.rows.flatten().to_numpy(**k)})()  # has no to_pylist, which boxes each id
+
+    assert byte_bpe._flat(Ids([[5, 7], None, [], [9]])) == ([5, 7, 9], [(0, 2), (2, 2), (2, 2), (2, 3)])
+    assert byte_bpe._flat(Ids([None])) == ([], [(0, 0)]) and byte_bpe._flat(Ids([])) == ([], [])
+
+
 # ---- wavelet shards
 
 
