@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catalens.llm.common import saved, whole_runs
+from catalens.llm.common import partitions_for, saved, whole_runs
 from catalens.llm.components import cells, connected_components, forest, run_pairs
 
 # ---------------------------------------------------------------- near-duplicates
@@ -196,6 +196,10 @@ def op4_near_vectors(embeddings: DataFrame) -> DataFrame:
 
 #: The tree is fitted on at most so many vectors; each node splits into BRANCH; a leaf of the tree stands for LEAF rows or so.
 FIT_ROWS, BRANCH, LEAF, CALIBRATION, RECALL = 20_000, 8, 200, 100, 0.97
+#: Neighbouring leaves are searched as one group: of about so many components at most, of so many rows at least where tasks are to spare.
+GROUP_VALUES, GROUP_ROWS = 1 << 23, 8192
+#: A task routes so many queries at once, and compares so many with so many rows.
+ROUTED, ASKED, COMPARED = 64, 1024, 2048
 
 
 class KMeansTree:
@@ -209,6 +213,16 @@ class KMeansTree:
         self.rng = np.random.default_rng(seed)
         self._grow(sample, max(2, leaf_rows), branch)
         self.points = np.array(self.centres)
+        self.leaf_nodes = np.flatnonzero(np.array(self.leaf) >= 0)  # leaves are numbered in the order of their nodes
+        self.parent = np.zeros(len(self.centres), np.int64)
+        self.levels: list[tuple[np.ndarray, np.ndarray]] = []  # of each level, its nodes, and where each parent's children begin
+        open_ = [0]
+        while open_ := [node for node in open_ if self.children[node]]:
+            sizes = [len(self.children[node]) for node in open_]
+            below = [child for node in open_ for child in self.children[node]]
+            self.parent[below] = np.repeat(open_, sizes)
+            self.levels.append((np.array(below), np.cumsum([0, *sizes[:-1]])))
+            open_ = below
 
     def _grow(self, x: np.ndarray, leaf_rows: int, branch: int) -> int:
         node = len(self.centres)
@@ -250,19 +264,57 @@ class KMeansTree:
 
     def best_bins(self, query: np.ndarray, leaves: int) -> list[int]:
         """The first ``leaves`` leaves by best-bin-first: always the open branch whose centre is nearest goes on."""
+        return self._best_bins(squared(query[None], self.points)[0], [(0.0, 0)], leaves)
+
+    def _best_bins(self, near: np.ndarray, queue: list[tuple[float, int]], leaves: int) -> list[int]:
         out: list[int] = []
-        queue = [(0.0, 0)]
+        heapq.heapify(queue)
         while queue and len(out) < leaves:
             _, node = heapq.heappop(queue)
-            while self.children[node]:
-                near = squared(query[None], self.points[self.children[node]])[0]
-                order = near.argsort(kind="stable").tolist()
+            while children := self.children[node]:
+                d = near[children]
+                order = d.argsort(kind="stable").tolist()
                 for c in order[1:]:
-                    heapq.heappush(queue, (float(near[c]), self.children[node][c]))
-                node = self.children[node][order[0]]
+                    heapq.heappush(queue, (float(d[c]), children[c]))
+                node = children[order[0]]
             out.append(self.leaf[node])
         return out
 
+    def visited(self, queries: np.ndarray, leaves: int) -> np.ndarray:
+        """For each query and leaf, whether the leaf is among the first ``leaves`` by best-bin-first.
+
+        A leaf is reached from an open branch by nearest children. No branch is taken before those that lead to it, so
+        the largest distance among these tells its turn; only leaves behind the branch at which the search ends share
+        their turn, and are put in order one by one.
+        """
+        if leaves >= self.n_leaves:
+            return np.ones((len(queries), self.n_leaves), bool)
+        near = squared(queries, self.points)
+        turn = np.full(near.shape, -np.inf)
+        for nodes, starts in self.levels:
+            sizes = np.diff(starts, append=len(nodes))
+            d = near[:, nodes]
+            least = d == np.repeat(np.minimum.reduceat(d, starts, axis=1), sizes, axis=1)
+            count = least.cumsum(1, dtype=np.int32)
+            least &= count - np.repeat(count[:, starts] - least[:, starts], sizes, axis=1) == 1  # of equal children the first
+            before = turn[:, self.parent[nodes]]
+            turn[:, nodes] = np.where(least, before, np.maximum(before, d))
+        at = turn[:, self.leaf_nodes]
+        last = np.partition(at, leaves - 1, axis=1)[:, leaves - 1 : leaves]
+        seen = at < last
+        lack, level = leaves - seen.sum(1), at == last
+        whole = level.sum(1) == lack
+        seen[whole] |= level[whole]
+        finite = np.isfinite(near).all(1)
+        for i in np.flatnonzero(~whole | ~finite).tolist():
+            if finite[i]:
+                branches = np.flatnonzero((turn[i] == last[i]) & (turn[i, self.parent] < last[i])).tolist()
+                seen[i, self._best_bins(near[i], [(float(near[i, b]), b) for b in branches], int(lack[i]))] = True
+            else:  # squares beyond doubles have no order
+                seen[i] = False
+                seen[i, self._best_bins(near[i], [(0.0, 0)], leaves)] = True
+        return seen
+
 
 def squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a * a).sum(1)[:, None] - 2 * a @ b.T + (b * b).sum(1)
@@ -274,23 +326,72 @@ def exact(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return np.sqrt(np.einsum("ij,ij->i", d, d))
 
 
-def nearest_of(query: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int, own: int | None) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and distances of a query's k nearest rows, nearest first, ties to the smaller id."""
-    d = exact(query, x)
-    keep = np.flatnonzero(ids != own)
-    if len(keep) > 4 * k:
-        keep = keep[d[keep] <= np.partition(d[keep], k - 1)[k - 1]]
-    order = keep[np.lexsort((ids[keep], d[keep]))][:k]
-    return ids[order], d[order]
+def extended(x: np.ndarray) -> np.ndarray:
+    """Vectors with 1 and their squared length behind them: a product with (-2 q, q q, 1) is the squared distance to q."""
+    out = np.empty((len(x), x.shape[1] + 2))
+    out[:, :-2], out[:, -2] = x, 1
+    out[:, -1] = np.einsum("ij,ij->i", out[:, :-2], out[:, :-2])
+    return out
+
+
+def nearest_rows(own: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, bounds: np.ndarray, seen: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query id, vec_id, distance) of each query's k nearest rows, ties to the smaller id, among the rows of the leaves that it has ``seen``.
+
+    ``rows`` are ``extended`` and lie leaf by leaf between ``bounds``. A product of matrices leaves out the rows that are
+    further than k others by more than its rounding; the distances of all others are measured by ``exact``'s rule.
+    """
+    dim = queries.shape[1]
+    rounding = 8 * (dim + 4) * np.finfo(float).eps
+    square = np.einsum("ij,ij->i", queries, queries)
+    factors = np.concatenate([-2 * queries, square[:, None], np.ones((len(queries), 1))], axis=1)
+    most = np.full(len(queries), np.inf)  # a row whose squared distance is larger is none of a query's k nearest
+    out: tuple[list, list, list] = ([np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)])
+    waiting, limit = 0, max(1 << 14, 4 * k * len(queries))
+
+    def settle() -> int:
+        out[0][:], out[1][:], out[2][:] = _best(out, k)
+        count = np.bincount(out[0][0], minlength=len(queries))
+        full = count >= k
+        most[full] = np.fmin(most[full], out[2][0][count.cumsum()[full] - 1] ** 2 * (1 + rounding))
+        return len(out[0][0])
+
+    for leaf in np.flatnonzero(seen.any(0) & (np.diff(bounds) > 0)).tolist():
+        asks = np.flatnonzero(seen[:, leaf])
+        for at in range(int(bounds[leaf]), int(bounds[leaf + 1]), COMPARED):
+            upto = min(at + COMPARED, int(bounds[leaf + 1]))
+            y, y_ids = rows[at:upto], ids[at:upto]
+            near = factors[asks] @ y.T
+            slack = rounding * (square[asks] + y[:, -1].max()) + np.finfo(float).tiny
+            order = y_ids.argsort(kind="stable")
+            low, high = (y_ids.searchsorted(own[asks], side, sorter=order) for side in ("left", "right"))
+            for i in np.flatnonzero(high > low).tolist():
+                near[i, order[low[i] : high[i]]] = np.inf
+            new = np.flatnonzero(np.isinf(most[asks]))
+            if len(new) and len(y) >= k:
+                bound = np.partition(near[new], k - 1, axis=1)[:, k - 1] + slack[new]
+                most[asks[new]] = np.where(np.isfinite(bound), bound, np.inf)
+            far = near > (most[asks] + slack)[:, None]  # what is no number is measured as well
+            i, j = np.divmod(np.flatnonzero(~far), len(y))
+            other = y_ids[j] != own[asks[i]]
+            i, j = asks[i[other]], j[other]
+            for part in range(0, len(i), 1 << 14):
+                of, row = i[part : part + (1 << 14)], j[part : part + (1 << 14)]
+                out[0].append(of)
+                out[1].append(y_ids[row])
+                out[2].append(exact(queries[of], y[row, :dim]))
+                waiting += len(of)
+                if waiting > limit:
+                    waiting = settle()
+    settle()
+    return own[out[0][0]], out[1][0], out[2][0]
 
 
 def _matrix(column: pa.ListArray, dim: int) -> np.ndarray:
     return column.flatten().to_numpy().astype(np.float64).reshape(-1, dim)
 
 
-def _found(query: list, vec: list, score: list) -> pa.RecordBatch:
-    cat = lambda xs, t: pa.array(np.concatenate(xs).astype(t))
-    return pa.RecordBatch.from_arrays([cat(query, np.int64), cat(vec, np.int64), cat(score, np.float64)], names=["query_id", "vec_id", "score"])
+def _found(query: np.ndarray, vec: np.ndarray, score: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(query), pa.array(vec), pa.array(score)], names=["query_id", "vec_id", "score"])
 
 
 def _best(out: tuple[list, list, list], k: int) -> tuple[list, list, list]:
@@ -305,29 +406,37 @@ def _best(out: tuple[list, list, list], k: int) -> tuple[list, list, list]:
     return [q[keep]], [v[keep]], [d[keep]]
 
 
-def search(df: DataFrame, queries: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", k: int = 10, recall: float = RECALL, fit_rows: int = FIT_ROWS, leaf: int = LEAF, calibration: int = CALIBRATION) -> DataFrame:
+def search(df: DataFrame, queries: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", k: int = 10, recall: float = RECALL, fit_rows: int = FIT_ROWS, leaf: int = LEAF, calibration: int = CALIBRATION, group_values: int = GROUP_VALUES, group_rows: int = GROUP_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest rows found of each query by Euclidean distance, rows of its own id left out.
 
     ``queries`` has the columns of ``df``. The tree is fitted on a sample of at most about ``fit_rows`` rows, and every
     row is put into a leaf. About ``calibration`` queries are answered exactly over all rows; the leaves that a search
-    visits, by best bin first, are as many as find ``recall`` of those answers. Leaves over the usual size are cut into
-    parts, and each part answers by itself, so that no task holds more rows than that. Vectors that are null, zero or
-    hold null or non-finite components take no part; nor do rows with a null id. Vectors of different lengths have no
-    distance: each length is searched by itself, with a tree of its own. Repeated rows are candidates as often as they
-    come; a repeated query is answered once, and a query id that comes with several vectors has one list for all of
-    them. Ties go to the smaller vec_id. Fewer candidates than k give as many rows. Other columns play no part.
+    visits, by best bin first, are as many as find ``recall`` of those answers. Neighbouring leaves are a group, and a
+    large leaf takes part in several, so that no task holds more rows than a group's; a query goes once to each group in
+    which it visits a leaf, with the leaves that it visits there, so that what is sent follows the groups, not the
+    visits. Vectors that are null, zero or hold null or non-finite components take no part; nor do rows with a null id.
+    Vectors of different lengths have no distance: each length is searched by itself, with a tree of its own. Repeated
+    rows are candidates as often as they come; a repeated query is answered once, and a query id that comes with several
+    vectors has one list for all of them. Ties go to the smaller vec_id. Fewer candidates than k give as many rows. Other
+    columns play no part.
     """
-    clean = lambda t: t.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("v")).filter(F.col("vec_id").isNotNull() & usable(F.col("v")))
-    rows, asked = clean(df), clean(queries).dropDuplicates()
+    kind = "array<float>" if all(t.select(F.col(vector)).dtypes[0][1] == "array<float>" for t in (df, queries)) else "array<double>"
+    clean = lambda t: t.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast(kind).alias("v")).filter(F.col("vec_id").isNotNull() & usable(F.col("v")))
+    rows, asked = clean(df), saved(clean(queries).dropDuplicates())
     lengths = [(r["dim"], r["n"]) for r in rows.groupBy(F.size("v").alias("dim")).agg(F.count("*").alias("n")).collect()]  # a row for each length of vector
-    parts = [_found_of_length(rows.filter(F.size("v") == dim), asked.filter(F.size("v") == dim), dim, n, k, recall, fit_rows, leaf, calibration) for dim, n in sorted(lengths)]
+    parts = [_found_of_length(rows.filter(F.size("v") == dim), asked.filter(F.size("v") == dim), dim, n, k, recall, fit_rows, leaf, calibration, kind, group_values, group_rows) for dim, n in sorted(lengths)]
     return ranked(reduce(DataFrame.unionByName, parts), k) if parts else df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
 
 
-def _found_of_length(rows: DataFrame, asked: DataFrame, dim: int, n: int, k: int, recall: float, fit_rows: int, leaf: int, calibration: int) -> DataFrame:
-    """(query_id, vec_id, score) of the k best of each visited part, among vectors of one length."""
+def _drawn(seed: int, share: float) -> Column:
+    """Whether a row is in a sample of that share, by its id and vector."""
+    return F.pmod(F.xxhash64("vec_id", F.col("v").cast("array<double>"), F.lit(seed)), F.lit(1 << 30)) <= share * (1 << 30)
+
+
+def _found_of_length(rows: DataFrame, asked: DataFrame, dim: int, n: int, k: int, recall: float, fit_rows: int, leaf: int, calibration: int, kind: str, group_values: int, group_rows: int) -> DataFrame:
+    """(query_id, vec_id, score) of the k best of each visited group, among vectors of one length."""
     spark = rows.sparkSession
-    drawn = rows.filter(F.pmod(F.xxhash64("vec_id", "v", F.lit(3)), F.lit(1 << 30)) <= min(1.0, fit_rows / n) * (1 << 30)).select("v").limit(2 * fit_rows).collect() or rows.select("v").limit(1).collect()
+    drawn = rows.filter(_drawn(3, min(1.0, fit_rows / n))).select("v").limit(2 * fit_rows).collect() or rows.select("v").limit(1).collect()
     sample = np.array([r["v"] for r in drawn])
     tree = spark.sparkContext.broadcast(KMeansTree(sample, max(2, round(leaf * len(sample) / n))))
 
@@ -335,62 +444,74 @@ def _found_of_length(rows: DataFrame, asked: DataFrame, dim: int, n: int, k: int
         for batch in batches:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(tree.value.assign(_matrix(batch.column(1), dim)))], names=["vec_id", "v", "leaf"])
 
-    placed = saved(rows.mapInArrow(place, "vec_id long, v array<double>, leaf long").withColumn("row", F.monotonically_increasing_id()))
+    placed = saved(rows.mapInArrow(place, f"vec_id long, v {kind}, leaf long").withColumn("row", F.monotonically_increasing_id()))
     visits = _calibrated(asked, placed, tree, dim, k, recall, calibration)
-    part_rows = 8 * leaf
+
+    size = np.zeros(tree.value.n_leaves, np.int64)
+    for r in placed.groupBy("leaf").agg(F.count("*").alias("n")).collect():  # at most as many as the sample has rows
+        size[r["leaf"]] = r["n"]
+    parallel = partitions_for(spark)
+    groups = max(math.ceil(n * dim / group_values), min(parallel, math.ceil(n / group_rows)))
+    per = math.ceil(n / groups)
+    ends = size.cumsum()
+    # of each group, the leaves that have rows in it
+    first = [int(np.searchsorted(ends, g * per, "right")) for g in range(groups)]
+    last = [int(np.searchsorted(ends - size, (g + 1) * per, "left")) for g in range(groups)]
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = [tree.value.best_bins(q, visits) for q in _matrix(batch.column(1), dim)]
-            index = pa.array(np.repeat(np.arange(len(at)), [len(a) for a in at]))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(index), batch.column(1).take(index), pa.array(np.array([x for a in at for x in a], np.int64))], names=["vec_id", "v", "leaf"])
-
-    parts = placed.groupBy("leaf").agg(F.ceil(F.count("*") / part_rows).cast("int").alias("parts"))
-    stored = placed.join(parts, "leaf").select("leaf", F.pmod(F.xxhash64("row"), F.col("parts")).cast("int").alias("part"), F.lit(False).alias("asks"), "vec_id", "v")
-    visited = asked.mapInArrow(route, "vec_id long, v array<double>, leaf long").join(parts, "leaf").select("leaf", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(True).alias("asks"), "vec_id", "v")
+            for at in range(0, batch.num_rows, ASKED):
+                part = batch.slice(at, ASKED)
+                v = _matrix(part.column(1), dim)
+                seen = np.concatenate([tree.value.visited(v[i : i + ROUTED], visits) for i in range(0, len(v), ROUTED)])
+                seen[:, size == 0] = False
+                for g in range(groups):
+                    here = seen[:, first[g] : last[g]]
+                    to = np.flatnonzero(here.any(1))
+                    if len(to):
+                        bits = np.packbits(here[to], axis=1)
+                        leaves = pa.FixedSizeBinaryArray.from_buffers(pa.binary(bits.shape[1]), len(to), [None, pa.py_buffer(bits.tobytes())]).cast(pa.binary())
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(to), g, np.int32)), part.column(0).take(pa.array(to)), part.column(1).take(pa.array(to)), leaves], names=["group", "vec_id", "v", "leaves"])
+
+    spans = spark.createDataFrame([(i, int(e - s), int(s)) for i, (s, e) in enumerate(zip(size, ends)) if s], "leaf long, start long, size long")
+    spot = F.col("start") + F.pmod(F.xxhash64("row"), F.col("size"))
+    stored = placed.join(F.broadcast(spans), "leaf").select(F.floor(spot / per).cast("int").alias("group"), F.lit(False).alias("asks"), "leaf", "vec_id", "v", F.lit(None).cast("binary").alias("leaves"))
+    routed = asked.repartition(parallel).mapInArrow(route, f"group int, vec_id long, v {kind}, leaves binary")
+    visiting = routed.select("group", F.lit(True).alias("asks"), F.lit(-1).cast("long").alias("leaf"), "vec_id", "v", "leaves")
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # a part's rows come first, then the queries that visit it
-        now, ids, x = None, [], []
+        # a group's rows come first, leaf by leaf, then the queries that visit it
+        now, held = None, []
         store: tuple | None = None
-        # answers of all leaves of this task, cut down to k for each query now and then, and sent at the end
-        out: tuple[list, list, list] = ([], [], [])
-        rows = 0
         for batch in batches:
-            leaf_, part_, asks, own = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))  # none is null
-            v = _matrix(batch.column(4), dim)
-            new = np.ones(len(leaf_), bool)
-            new[1:] = (leaf_[1:] != leaf_[:-1]) | (part_[1:] != part_[:-1]) | (asks[1:] != asks[:-1])
-            bounds = np.append(np.flatnonzero(new), len(leaf_)).tolist()
+            group, asks = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))  # none is null
+            new = np.ones(len(group), bool)
+            new[1:] = (group[1:] != group[:-1]) | (asks[1:] != asks[:-1])
+            bounds = np.append(np.flatnonzero(new), len(group)).tolist()
             for s, e in zip(bounds[:-1], bounds[1:]):
-                key = (leaf_[s], part_[s])
-                if key != now:
-                    now, ids, x, store = key, [], [], None
+                if group[s] != now:
+                    now, held, store = int(group[s]), [], None
                 if not asks[s]:
-                    ids.append(own[s:e])
-                    x.append(v[s:e])
+                    held.append(batch.slice(s, e - s))
                     continue
-                if store is None and ids:
-                    store = np.concatenate(ids), np.concatenate(x)
-                for i in range(s, e):
-                    if store is not None:
-                        got, d = nearest_of(v[i], *store, k, int(own[i]))
-                        out[0].append(np.full(len(got), own[i]))
-                        out[1].append(got)
-                        out[2].append(d)
-                        rows += len(got)
-            if rows > 500_000:
-                out = _best(out, k)
-                rows = len(out[0][0])
-        if out[0]:
-            yield _found(*_best(out, k))
-
-    both = stored.unionByName(visited).repartition("leaf", "part").sortWithinPartitions("leaf", "part", "asks")
-    return both.select("leaf", "part", "asks", "vec_id", "v").mapInArrow(answer, "query_id long, vec_id long, score double")
+                leaves = last[now] - first[now]
+                if held:
+                    in_leaf, ids = (np.concatenate([b.column(i).to_numpy() for b in held]) for i in (2, 3))
+                    x = np.concatenate([b.column(4).flatten().to_numpy().reshape(-1, dim) for b in held])
+                    held = []
+                    store = ids, extended(x), np.searchsorted(in_leaf, np.arange(first[now], last[now] + 1))
+                    del x
+                for at in range(s, e, ASKED) if store else ():
+                    part = batch.slice(at, min(ASKED, e - at))
+                    bits = np.frombuffer(b"".join(part.column(5).to_pylist()), np.uint8).reshape(part.num_rows, -1)
+                    yield _found(*nearest_rows(part.column(3).to_numpy(), _matrix(part.column(4), dim), *store, np.unpackbits(bits, axis=1, count=leaves).astype(bool), k))
+
+    both = stored.unionByName(visiting).repartitionById(groups, "group").sortWithinPartitions("group", "asks", "leaf")
+    return both.select("group", "asks", "leaf", "vec_id", "v", "leaves").mapInArrow(answer, "query_id long, vec_id long, score double")
 
 
 def ranked(found: DataFrame, k: int) -> DataFrame:
-    """The k smallest of each query; at most k from each part come in."""
+    """The k smallest of each query; at most k for each vector from each part come in."""
     best = F.expr("row_number() over (partition by query_id order by score, vec_id)")
     return found.withColumn("rank", best).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
@@ -398,12 +519,11 @@ def ranked(found: DataFrame, k: int) -> DataFrame:
 def brute_force(asked: list[tuple[int, np.ndarray]], rows: DataFrame, k: int, dim: int) -> DataFrame:
     """Exact answers of a bounded list of queries, by comparing all rows (vec_id, v) with each in one pass."""
 
+    own, queries = np.array([q for q, _ in asked], np.int64), np.array([v for _, v in asked])
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, x = batch.column(0).to_numpy(), _matrix(batch.column(1), dim)
-            got = [(np.full(len(i), q), i, d) for q, v in asked for i, d in [nearest_of(v, ids, x, k, q)]]
-            if got:
-                yield _found(*map(list, zip(*got)))
+            yield _found(*nearest_rows(own, queries, batch.column(0).to_numpy(), extended(_matrix(batch.column(1), dim)), np.array([0, batch.num_rows]), np.ones((len(own), 1), bool), k))
 
     return ranked(rows.mapInArrow(scan, "query_id long, vec_id long, score double"), k)
 
@@ -412,10 +532,11 @@ def _calibrated(asked: DataFrame, placed: DataFrame, tree, dim: int, k: int, rec
     """How many leaves, best bin first, hold ``recall`` of the true neighbours of a sample of the queries."""
     total = asked.count()
     share = min(1.0, calibration / max(1, total))
-    few = [(r["vec_id"], np.array(r["v"])) for r in asked.filter(F.pmod(F.xxhash64("vec_id", "v", F.lit(5)), F.lit(1 << 30)) <= share * (1 << 30)).limit(2 * calibration).collect()]
+    few = [(r["vec_id"], np.array(r["v"])) for r in asked.filter(_drawn(5, share)).limit(2 * calibration).collect()]
     if not few:
         return tree.value.n_leaves
-    truth = brute_force(few, placed.select("vec_id", "v"), k, dim).select("query_id", "vec_id").join(placed.select("vec_id", "leaf"), "vec_id").select("query_id", "leaf").collect()
+    found = brute_force(few, placed.select("vec_id", "v"), k, dim).select("query_id", "vec_id")  # k rows for each of few queries
+    truth = placed.select("vec_id", "leaf").join(F.broadcast(found), "vec_id").select("query_id", "leaf").collect()
     place = {q: {leaf: i for i, leaf in enumerate(tree.value.best_bins(v, tree.value.n_leaves))} for q, v in few}
     ranks = sorted(place[r["query_id"]][r["leaf"]] for r in truth)
     return ranks[min(len(ranks) - 1, math.ceil(recall * len(ranks)) - 1)] + 1 if ranks else tree.value.n_leaves

@@ -4,9 +4,11 @@ import base64
 import gzip
 import hashlib
 import itertools
+import json
 import math
 import random
 import re
+import uuid
 import zlib
 
 import numpy as np
@@ -497,6 +499,56 @@ def test_neighbours_of_few_and_odd_rows(spark):
     assert vectors.op8_neighbours(df.filter("false")).count() == 0
 
 
+def test_neighbours_of_many_groups_and_copies(spark):
+    rng = np.random.default_rng(9)
+    x = np.round(rng.standard_normal((700, 6)), 1).astype(np.float32)
+    x[100:400] = x[5]  # one leaf that several groups share
+    rows = [(int(i), v.tolist()) for i, v in enumerate(x)]
+    rows += [(0, x[9].tolist()), (100, x[5].tolist()), (100, x[5].tolist()), (103, x[5].tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    queries = df.filter("vec_id % 50 = 0 or vec_id < 9")
+    got = {}
+    for r in vectors.search(df, queries, recall=1.0, leaf=10, calibration=10_000, group_values=6 * 40, group_rows=1).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.score, r.vec_id))
+    for q, found in got.items():
+        asked = {tuple(v) for i, v in rows if i == q}
+        want = sorted(near for v in asked for near in slow_neighbours(rows, v, q))[:10]
+        assert [v for _, _, v in sorted(found)] == [i for _, i in want] and np.allclose([s for _, s, _ in sorted(found)], [d for d, _ in want])
+    assert sorted(got) == sorted({i for i, _ in rows if i % 50 == 0 or i < 9})
+
+
+def test_neighbours_send_queries_in_small_batches(spark, tmp_path, monkeypatch):
+    rng = np.random.default_rng(10)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.standard_normal((5000, 24)))], "vec_id long, embedding array<double>").repartition(4)
+    plain = type(df).mapInArrow
+
+    def told(self, func, schema, *a, **b):
+        def run(batches):
+            most = [0, 0]
+            for batch in func(batches):
+                most = [max(most[0], batch.nbytes), most[1] + batch.nbytes]
+                yield batch
+            (tmp_path / uuid.uuid4().hex).write_text(json.dumps(most))
+
+        return plain(self, run, schema, *a, **b)
+
+    monkeypatch.setattr(type(df), "mapInArrow", told)
+    assert vectors.search(df, df.filter("vec_id % 2 = 0"), leaf=20).count() == 25_000
+    most = [json.loads(p.read_text()) for p in tmp_path.iterdir()]
+    assert max(m[0] for m in most) < 2_000_000 and max(m[1] for m in most) < 6_000_000  # the vectors have 960,000 bytes
+
+
+def test_leaves_visited_are_those_of_best_bin_first():
+    rng = np.random.default_rng(12)
+    for x in (rng.standard_normal((3000, 8)), rng.integers(0, 3, (3000, 4)).astype(float), np.ones((5, 2)), rng.standard_normal((3000, 3)) * 1e200):
+        with np.errstate(all="ignore"):
+            tree = vectors.KMeansTree(x, 6)
+            near = vectors.squared(x[:40], tree.points)  # a single query's product may be rounded otherwise
+            for leaves in (1, 2, 9, 60, tree.n_leaves - 1, tree.n_leaves):
+                seen = tree.visited(x[:40], leaves)
+                assert [set(np.flatnonzero(s).tolist()) for s in seen] == [set(tree._best_bins(d, [(0.0, 0)], leaves)) for d in near]
+
+
 # ---- WARC
 
 
